@@ -1,0 +1,17 @@
+"""Join helpers: broadcast only behind a proven size bound."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
+    """Return ``broadcast(df)`` when ``df`` has at most ``max_rows`` rows, else ``df`` unchanged.
+
+    The check reads at most ``max_rows + 1`` rows (``limit`` stops the scan early), so it is
+    cheap for a dimension table and never pulls a large side anywhere. Beyond the bound the
+    planner keeps its own choice (sort-merge / shuffled hash join, AQE re-planning).
+    """
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df
