@@ -59,3 +59,22 @@ def running_sums(df: DataFrame, order_col: str, sum_cols: list[str], descending:
     return out.select(
         *[c for c in df.columns],
         *[(F.sum(c).over(w) + F.col(f"_o_{c}")).alias(f"{prefix}{c}") for c in sum_cols])
+
+
+def dense_index(df: DataFrame, col: str, out: str, n_buckets: int | None = None) -> DataFrame:
+    """``(col, out)``: a dense 0-based integer id for every distinct value of ``col``.
+
+    Unlike ``StringIndexer`` no label list passes through the driver: distinct values are spread
+    over ``n_buckets`` hash buckets (balanced by construction), bucket sizes give offsets (a table
+    of ``n_buckets`` rows), and a row number inside each bucket completes the id. Ids are unique,
+    dense and repeatable; their order is hash order, which is all an id needs.
+    """
+    n_buckets = n_buckets or default_buckets(df)
+    d = df.select(col).distinct().where(F.col(col).isNotNull())
+    d = d.withColumn("_h", F.xxhash64(col)).withColumn(BUCKET, F.pmod(F.col("_h"), F.lit(n_buckets)))
+    sizes = d.groupBy(BUCKET).agg(F.count(F.lit(1)).alias("_n"))
+    wt = Window.orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)  # n_buckets rows
+    offsets = sizes.select(BUCKET, F.coalesce(F.sum("_n").over(wt), F.lit(0)).alias("_o"))
+    w = Window.partitionBy(BUCKET).orderBy("_h", col)
+    return (d.join(F.broadcast(offsets), BUCKET)
+            .select(col, (F.col("_o") + F.row_number().over(w) - 1).cast("int").alias(out)))

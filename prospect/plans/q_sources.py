@@ -1 +1,153 @@
-"""Registered queries."""
+"""Registered scan / sink / preview queries.
+
+The scan queries first write data Spark derives from the given tables in the format the
+original jobs read (``;``-separated with header, all-string CSV, headerless TSV) into the shared
+scratch folder, then read it back with the operator under test.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from prospect.operators import metrics as M
+from prospect.operators import prep as P
+from prospect.plans.oracle import with_ctes
+from prospect.plans.q_stats import Y_NUM, cts
+from prospect.plans.registry import register
+from prospect.session import scratch_path
+from prospect.sources import sinks
+from prospect.sources.contacts import MACRO_DOTTED, dotted, ratings, rule_scored
+from prospect.sources.tables import Tables, read_all_string, read_delimited, read_positional
+
+RUN_DATE = "2018-08-03"
+
+_CONTACT_TYPES = [
+    ("contact_id", T.LongType()), ("job", T.StringType()), ("marital", T.StringType()),
+    ("education", T.StringType()), ("nation", T.StringType()), ("month", T.StringType()),
+    ("day_of_week", T.StringType()), ("poutcome", T.StringType()), ("duration", T.DoubleType()),
+    ("campaign", T.LongType()), ("pdays", T.LongType()), ("previous", T.LongType()),
+    ("emp_var_rate", T.DoubleType()), ("cons_conf_idx", T.DoubleType()), ("euribor3m", T.DoubleType()),
+    ("nr_employed", T.DoubleType()), ("y", T.StringType())]
+
+
+def contact_schema(dotted_names: bool = True) -> T.StructType:
+    """Explicit schema of the contact file (no inference pass)."""
+    return T.StructType([T.StructField(MACRO_DOTTED.get(n, n) if dotted_names else n, t, True)
+                         for n, t in _CONTACT_TYPES])
+
+
+def _write_contacts_csv(spark, d, sep=";", dotted_names=True):
+    path = scratch_path(spark, "contacts-csv")
+    c = cts(spark, d)
+    (dotted(c) if dotted_names else c).write.option("header", True).option("sep", sep).csv(path)
+    return path
+
+
+@register("scan_delimited", with_ctes("SELECT * FROM contacts"))
+def q_scan_delimited(spark, d):
+    path = _write_contacts_csv(spark, d)
+    return P.sanitize_columns(read_delimited(spark, path, contact_schema(), sep=";"))
+
+
+@register("load_contacts", with_ctes("SELECT * FROM contacts_t", extra=Y_NUM))
+def q_load_contacts(spark, d):
+    """A4: delimited scan + rename + numeric target in one call."""
+    from prospect.sources.contacts import load_contacts
+    return load_contacts(spark, _write_contacts_csv(spark, d), contact_schema())
+
+
+_AS_TEXT = ["contact_id", "job", "marital", "duration", "campaign", "pdays", "cons_conf_idx", "y"]
+
+
+@register("scan_all_string", with_ctes(
+    f"SELECT {', '.join(f'CAST({c} AS VARCHAR) AS {c}' for c in _AS_TEXT)} FROM contacts"))
+def q_scan_all_string(spark, d):
+    path = scratch_path(spark, "contacts-text")
+    cts(spark, d).select(*_AS_TEXT).write.option("header", True).csv(path)
+    return read_all_string(spark, path)
+
+
+@register("cast_numeric", with_ctes(
+    "SELECT contact_id, CAST(duration AS DOUBLE) AS duration, CAST(campaign AS DOUBLE) AS campaign, "
+    "CAST(pdays AS DOUBLE) AS pdays, cons_conf_idx FROM contacts"))
+def q_cast_numeric(spark, d):
+    path = scratch_path(spark, "contacts-text")
+    cts(spark, d).select(*_AS_TEXT).write.option("header", True).csv(path)
+    s = P.cast_columns(read_all_string(spark, path), ["duration", "campaign", "pdays", "cons_conf_idx"], "double")
+    return P.cast_columns(s, ["contact_id"], "bigint").select("contact_id", "duration", "campaign", "pdays",
+                                                             "cons_conf_idx")
+
+
+@register("scan_tsv_positional", with_ctes("SELECT userId, itemId, rating FROM ratings"))
+def q_scan_tsv_positional(spark, d):
+    path = scratch_path(spark, "ratings-tsv")
+    ratings(Tables(spark, d)).write.option("header", False).option("sep", "\t").csv(path)
+    r = read_positional(spark, path, ["userId", "itemId", "rating"], sep="\t")
+    return P.cast_columns(P.cast_columns(r, ["userId", "itemId"], "string"), ["rating"], "double")
+
+
+@register("sink_roundtrip", with_ctes(
+    f"SELECT contact_id, label, prediction, score, '{RUN_DATE}' AS run_date FROM scored"))
+def q_sink_roundtrip(spark, d):
+    base = scratch_path(spark, "predictions")
+    s = rule_scored(cts(spark, d))
+    sinks.write_dated(s, base, RUN_DATE)
+    return sinks.read_dated(spark, base, RUN_DATE)
+
+
+@register("metrics_report", with_ctes(f"""
+SELECT round((tp + tn) / nullif(tp + tn + fp + fn, 0), 4) AS accuracy, round(tp / nullif(tp + fp, 0), 4) AS precision,
+       round(tp / nullif(tp + fn, 0), 4) AS recall, '{RUN_DATE}' AS run_date
+FROM (SELECT count(*) FILTER (WHERE label = 0 AND prediction = 0)::DOUBLE AS tn,
+             count(*) FILTER (WHERE label = 1 AND prediction = 1)::DOUBLE AS tp,
+             count(*) FILTER (WHERE label = 1 AND prediction = 0)::DOUBLE AS fn,
+             count(*) FILTER (WHERE label = 0 AND prediction = 1)::DOUBLE AS fp FROM scored)
+"""))
+def q_metrics_report(spark, d):
+    base = scratch_path(spark, "metrics")
+    sinks.write_dated(M.binary_metrics(rule_scored(cts(spark, d))), base, RUN_DATE, fmt="csv")
+    schema = T.StructType([T.StructField(n, T.DoubleType()) for n in ("accuracy", "precision", "recall")])
+    return sinks.read_dated(spark, base, RUN_DATE, fmt="csv", schema=schema)
+
+
+_PREVIEW = ["contact_id", "job", "marital", "education", "month", "day_of_week", "poutcome", "campaign",
+            "pdays", "previous", "y"]
+
+
+@register("preview_transposed", with_ctes(f"""
+SELECT CAST(rn AS INTEGER) AS row_pos, "column", value FROM (
+  SELECT row_number() OVER (ORDER BY contact_id) AS rn, * FROM (SELECT * FROM contacts ORDER BY contact_id LIMIT 5))
+UNPIVOT INCLUDE NULLS (value FOR "column" IN ({', '.join(f'CAST({c} AS VARCHAR) AS {c}' for c in _PREVIEW)}))
+"""))
+def q_preview_transposed(spark, d):
+    """First rows by id, one (row, column, value) line per cell; only ``n`` rows leave the scan."""
+    head = cts(spark, d).orderBy("contact_id").limit(5)
+    w = Window.orderBy("contact_id")  # five rows
+    head = head.select(F.row_number().over(w).alias("row_pos"), *[F.col(c).cast("string").alias(c) for c in _PREVIEW])
+    return head.unpivot(["row_pos"], _PREVIEW, "column", "value")
+
+
+def _top_user_sql():
+    return "(SELECT userId FROM ratings GROUP BY userId ORDER BY count(*) DESC, userId LIMIT 1)"
+
+
+@register("items_x_user", with_ctes(f"SELECT DISTINCT itemId, {_top_user_sql()} AS userId FROM ratings"))
+def q_items_x_user(spark, d):
+    from prospect.operators.recommend import candidate_items, most_active_user
+    r = ratings(Tables(spark, d))
+    return candidate_items(r, most_active_user(r))
+
+
+@register("distinct_items", with_ctes("SELECT DISTINCT itemId FROM ratings"))
+def q_distinct_items(spark, d):
+    return ratings(Tables(spark, d)).select("itemId").distinct()
+
+
+@register("topk_items", with_ctes(
+    "SELECT itemId, sum(rating) AS total FROM ratings GROUP BY itemId ORDER BY total DESC, itemId LIMIT 10"))
+def q_topk_items(spark, d):
+    from prospect.operators.recommend import top_k
+    r = ratings(Tables(spark, d)).groupBy("itemId").agg(F.sum("rating").alias("total"))
+    return top_k(r, "total", 10, tie="itemId")

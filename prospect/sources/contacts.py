@@ -108,3 +108,11 @@ def rule_scored(c: DataFrame) -> DataFrame:
         F.when((F.col("marital") != "F") & (F.col("pdays") < 200), 1.0).otherwise(0.0).alias("prediction"),
         (F.col("nr_employed") / 500000.0).alias("score"),
     )
+
+
+def load_contacts(spark, path: str, schema=None, sep: str = ";"):
+    """A4: delimited contact file -> dotted names rewritten -> numeric target ``y_numeric`` (no->0, yes->1)."""
+    from prospect.operators.prep import map_values, sanitize_columns
+    from prospect.sources.tables import read_delimited
+    df = sanitize_columns(read_delimited(spark, path, schema, sep=sep, infer=schema is None))
+    return df.withColumn("y_numeric", map_values("y", {"no": 0, "yes": 1}))
