@@ -1 +1,148 @@
-"""Registered queries."""
+"""Registered feature-encoding and sampling queries."""
+
+from __future__ import annotations
+
+from pyspark.ml import Pipeline
+from pyspark.ml.feature import StringIndexer
+from pyspark.sql import functions as F
+
+from prospect.functions.hashing import hash_unit
+from prospect.operators import features as FE
+from prospect.operators import sampling as SA
+from prospect.operators.recommend import index_interactions
+from prospect.plans.oracle import md5_unit, with_ctes
+from prospect.plans.q_stats import cts
+from prospect.plans.registry import register
+from prospect.sources.contacts import ratings
+from prospect.sources.tables import Tables
+from prospect.spec import CONTACTS, TableSpec
+
+CATS = list(CONTACTS.categorical)
+ASM_NUMS = ["campaign", "pdays", "previous", "cons_conf_idx", "nr_employed"]
+ASM_SPEC = TableSpec(categorical=tuple(CATS), numeric=tuple(ASM_NUMS))
+
+
+def _dicts():
+    return ",\n".join(
+        f"d_{f} AS (SELECT value, row_number() OVER (ORDER BY n DESC, value) - 1 AS idx, count(*) OVER () AS nf "
+        f"FROM (SELECT {f} AS value, count(*) AS n FROM contacts GROUP BY {f}))" for f in CATS)
+
+
+@register("string_index", with_ctes(
+    "SELECT c.contact_id, " + ", ".join(f"CAST(d_{f}.idx AS DOUBLE) AS {f}_index" for f in CATS)
+    + " FROM contacts c " + " ".join(f"JOIN d_{f} ON c.{f} = d_{f}.value" for f in CATS), extra=_dicts()))
+def q_string_index(spark, d):
+    c = cts(spark, d)
+    m = StringIndexer(inputCols=CATS, outputCols=[f"{f}_index" for f in CATS], handleInvalid="keep").fit(c)
+    return m.transform(c).select("contact_id", *[f"{f}_index" for f in CATS])
+
+
+def _onehot_sql(drop_last: bool):
+    cond = " WHERE d.idx < d.nf - 1" if drop_last else ""
+    return with_ctes("\nUNION ALL ".join(
+        f"SELECT c.contact_id, '{f}' AS feature, CAST(d.idx AS INTEGER) AS slot, 1.0::DOUBLE AS value "
+        f"FROM contacts c JOIN d_{f} d ON c.{f} = d.value{cond}" for f in CATS), extra=_dicts())
+
+
+def _onehot(spark, d, drop_last):
+    c = cts(spark, d)
+    # The original layout: unseen values are an error, so dropLast removes the last real category.
+    stages = FE.encoding_stages(TableSpec(categorical=tuple(CATS), numeric=()), drop_last=drop_last,
+                                handle_invalid="error", impute=False, with_label=False)[:-1]
+    t = Pipeline(stages=stages).fit(c).transform(c)
+    parts = [FE.vector_long(t, "contact_id", f"{f}_vec").withColumn("feature", F.lit(f)) for f in CATS]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.select("contact_id", "feature", "slot", "value")
+
+
+@register("one_hot", _onehot_sql(True))
+def q_one_hot(spark, d):
+    return _onehot(spark, d, True)
+
+
+@register("dummies", _onehot_sql(False))
+def q_dummies(spark, d):
+    return _onehot(spark, d, False)
+
+
+def _assemble_sql():
+    offs = []
+    for i, f in enumerate(CATS):
+        prev = " + ".join(f"(SELECT max(nf) - 1 FROM d_{g})" for g in CATS[:i]) or "0"
+        offs.append(f"SELECT c.contact_id, {prev} + d.idx AS slot, 1.0::DOUBLE AS value "
+                    f"FROM contacts c JOIN d_{f} d ON c.{f} = d.value WHERE d.idx < d.nf - 1")
+    total = " + ".join(f"(SELECT max(nf) - 1 FROM d_{g})" for g in CATS)
+    for j, n in enumerate(ASM_NUMS):
+        offs.append(f"SELECT contact_id, {total} + {j} AS slot, CAST({n} AS DOUBLE) AS value FROM contacts")
+    body = "\nUNION ALL ".join(offs)
+    return with_ctes(f"SELECT contact_id, CAST(slot AS INTEGER) AS slot, value FROM ({body}) WHERE value <> 0",
+                     extra=_dicts())
+
+
+def _assembled(spark, d):
+    c = cts(spark, d)
+    model = FE.feature_pipeline(ASM_SPEC, handle_invalid="error", impute=False, with_label=False).fit(c)
+    return model.transform(c)
+
+
+@register("assemble", _assemble_sql())
+def q_assemble(spark, d):
+    return FE.vector_long(_assembled(spark, d), "contact_id", "features")
+
+
+@register("feature_count", with_ctes(
+    "SELECT CAST(" + " + ".join(f"(SELECT max(nf) - 1 FROM d_{g})" for g in CATS) + f" + {len(ASM_NUMS)} AS INTEGER)"
+    " AS n_features", extra=_dicts()))
+def q_feature_count(spark, d):
+    t = _assembled(spark, d)
+    n = FE.feature_count(t)
+    # One value read from the fitted vector's metadata, attached to the data it describes.
+    return t.limit(1).select(F.lit(n).cast("int").alias("n_features"))
+
+
+@register("id_index")
+def q_id_index(spark, d):
+    """Dense integer user / item ids without a driver-side label list (rows-only check)."""
+    indexed, _, _ = index_interactions(ratings(Tables(spark, d)))
+    return indexed.select("userId", "itemId", "rating", "userIndex", "itemIndex")
+
+
+# ---- sampling (F) ----
+
+@register("hash_split", with_ctes(
+    f"SELECT contact_id, CASE WHEN {md5_unit('contact_id', 420)} < 0.8 THEN 'train' ELSE 'test' END AS split "
+    f"FROM contacts"))
+def q_hash_split(spark, d):
+    return SA.hash_split(cts(spark, d), "contact_id", {"train": 0.8, "test": 0.2}, seed=420).select(
+        "contact_id", "split")
+
+
+@register("stratified_sample", with_ctes(
+    f"SELECT contact_id, y FROM contacts WHERE {md5_unit('contact_id', 7)} < "
+    f"CASE WHEN y = 'yes' THEN 1.0 WHEN y = 'no' THEN 0.2 ELSE 0.0 END"))
+def q_stratified_sample(spark, d):
+    return SA.hash_sample_by(cts(spark, d), "contact_id", "y", {"yes": 1.0, "no": 0.2}, seed=7).select(
+        "contact_id", "y")
+
+
+@register("holdout_disjoint", with_ctes(f"""
+SELECT (SELECT count(*) FROM bal) AS n_train_balanced, (SELECT count(*) FROM ho) AS n_holdout,
+       (SELECT count(*) FROM bal JOIN ho USING (contact_id)) AS n_overlap,
+       (SELECT count(*) FILTER (WHERE y = 'yes') FROM bal) AS n_train_yes
+""", extra=f"""
+ho AS (SELECT * FROM contacts WHERE NOT ({md5_unit('contact_id', 11)} < 0.8)),
+tr AS (SELECT * FROM contacts WHERE {md5_unit('contact_id', 11)} < 0.8),
+bal AS (SELECT * FROM tr WHERE {md5_unit('contact_id', 12)} <
+        CASE WHEN y = 'yes' THEN 1.0 WHEN y = 'no' THEN 0.2 ELSE 0.0 END)
+"""))
+def q_holdout_disjoint(spark, d):
+    bal, ho = SA.holdout_then_balance(cts(spark, d), "contact_id", "y", {"yes": 1.0, "no": 0.2},
+                                      holdout=0.2, seed=11)
+    b = bal.select("contact_id", "y").withColumn("in_bal", F.lit(1))
+    h = ho.select("contact_id").withColumn("in_ho", F.lit(1))
+    j = b.join(h, "contact_id", "full")
+    return j.agg(F.count("in_bal").alias("n_train_balanced"), F.count("in_ho").alias("n_holdout"),
+                 F.count_if(F.col("in_bal").isNotNull() & F.col("in_ho").isNotNull()).alias("n_overlap"),
+                 F.count_if(F.col("y") == "yes").alias("n_train_yes"))
