@@ -1 +1,182 @@
-"""Registered queries."""
+"""Registered model, recommender and tuning queries.
+
+Fitted models have no SQL twin: these are rows-only checks here, with property tests in
+``tests/test_models.py``. The saturated logistic regression is the exception: its fitted
+probabilities equal the per-category rates, which SQL computes exactly.
+"""
+
+from __future__ import annotations
+
+import numpy as np
+from pyspark.ml import Pipeline
+from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.feature import OneHotEncoder, StringIndexer
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import functions as F
+
+from prospect.operators import metrics as M
+from prospect.operators import models as MD
+from prospect.operators import recommend as R
+from prospect.operators import sampling as SA
+from prospect.operators import tuning as TU
+from prospect.plans.oracle import with_ctes
+from prospect.plans.q_stats import cts
+from prospect.plans.registry import register
+from prospect.session import scratch_path
+from prospect.sources.contacts import ratings
+from prospect.sources.tables import Tables
+from prospect.spec import CONTACTS
+
+SPLIT = {"train": 0.8, "test": 0.2}
+SEED = 420
+BALANCE = {"yes": 1.0, "no": 0.2}
+
+# Fitted pipelines saved by ``train_pipeline`` in this process, by input folder (A15 -> A8).
+_SAVED: dict[str, str] = {}
+
+
+def _parts(spark, d):
+    return SA.split_frames(cts(spark, d), "contact_id", SPLIT, seed=SEED)
+
+
+def _fit_and_score(spark, d, name, balanced=False, **params):
+    p = _parts(spark, d)
+    train = SA.hash_sample_by(p["train"], "contact_id", "y", BALANCE, seed=SEED + 1) if balanced else p["train"]
+    model = MD.train_pipeline(train, CONTACTS, name, **params)
+    return MD.score(p["test"], model, "contact_id")
+
+
+for _name in ("lr", "dt", "rf", "gbt", "svc", "mlp"):
+    def _q(spark, d, _n=_name):
+        return _fit_and_score(spark, d, _n)
+    _q.__doc__ = f"G: {_name} with the original settings, trained on the hash train split, test rows scored."
+    register(f"model_{_name}")(_q)
+
+
+@register("model_gbt_balanced")
+def q_model_gbt_balanced(spark, d):
+    """Boosting on class-balanced training rows (depth 3, 100 trees, rate 0.1), judged on the hold-out."""
+    return _fit_and_score(spark, d, "gbt", balanced=True, maxIter=100, stepSize=0.1, maxDepth=3)
+
+
+@register("train_pipeline")
+def q_train_pipeline(spark, d):
+    """E7 + A14/A15: fit encoders + GBT (60 rounds, step 0.01, depth 5) on train rows, save, score test."""
+    p = _parts(spark, d)
+    unfit = Pipeline(stages=[])
+    path = scratch_path(spark, "pipeline-model")
+    unfit.write().overwrite().save(path + "-unfit")
+    model = MD.train_pipeline(p["train"], CONTACTS, "gbt")
+    MD.save(model, path)
+    _SAVED[d] = path
+    return MD.score(p["test"], model, "contact_id")
+
+
+@register("score_batch")
+def q_score_batch(spark, d):
+    """G11 + A8: load the saved pipeline and score every contact (a narrow projection)."""
+    if d not in _SAVED:
+        q_train_pipeline(spark, d)
+    model = MD.load(_SAVED[d])
+    return MD.score(cts(spark, d), model, "contact_id")
+
+
+@register("model_comparison")
+def q_model_comparison(spark, d):
+    """Every classifier on the same split and cached features; one report row each."""
+    p = _parts(spark, d)
+    rows = None
+    for scale, names in ((False, ["lr", "dt", "rf", "gbt", "svc"]), (True, ["mlp"])):
+        t = MD.Trainer(p["train"], CONTACTS, scale=scale)
+        try:
+            for n in names:
+                s = MD.score(p["test"], t.fit(n), "contact_id").persist()
+                r = M.binary_metrics(s).crossJoin(M.auc_exact(s, score="p1")) \
+                    .select(F.lit(n).alias("model"), "auc", "accuracy", "precision", "recall")
+                r = spark.createDataFrame(r.collect(), r.schema)  # one row; the scored rows are released
+                s.unpersist()
+                rows = r if rows is None else rows.unionByName(r)
+        finally:
+            t.close()
+    return rows
+
+
+@register("lr_saturated", with_ctes(
+    "SELECT marital AS category, round(avg(CASE WHEN y = 'yes' THEN 1.0 ELSE 0.0 END), 6) AS rate "
+    "FROM contacts GROUP BY marital"))
+def q_lr_saturated(spark, d):
+    """G1 exact check: unregularised LR on one one-hot column reproduces the category rates."""
+    c = cts(spark, d).withColumn("label", F.when(F.col("y") == "yes", 1.0).otherwise(0.0))
+    pipe = Pipeline(stages=[
+        StringIndexer(inputCol="marital", outputCol="mi"),
+        OneHotEncoder(inputCol="mi", outputCol="mv", dropLast=True),
+        LogisticRegression(featuresCol="mv", labelCol="label", regParam=0.0, maxIter=200, tol=1e-12)])
+    s = pipe.fit(c).transform(c)
+    return s.groupBy(F.col("marital").alias("category")).agg(
+        F.round(F.avg(vector_to_array("probability")[1]), 6).alias("rate"))
+
+
+def _ratings_split(spark, d):
+    r = ratings(Tables(spark, d)).withColumn("key", F.concat_ws(":", "userId", "itemId"))
+    indexed, users, items = R.index_interactions(r)
+    return SA.hash_split(indexed, "key", SPLIT, seed=SEED), users, items
+
+
+@register("als_fit")
+def q_als_fit(spark, d):
+    """G9 + H12: ALS (reg 0.01) on the train split; RMSE on train and on test (cold start dropped)."""
+    s, _, _ = _ratings_split(spark, d)
+    model = R.fit_als(s.where(F.col("split") == "train"))
+    pred = model.transform(s)
+    return pred.groupBy("split").agg(
+        F.sqrt(F.avg(F.pow(F.col("rating") - F.col("prediction"), 2))).alias("rmse"), F.count(F.lit(1)).alias("n"))
+
+
+@register("als_topn")
+def q_als_topn(spark, d):
+    """Top 10 items for the most active user."""
+    s, users, items = _ratings_split(spark, d)
+    model = R.fit_als(s.where(F.col("split") == "train"))
+    r = ratings(Tables(spark, d))
+    who = spark.range(1).select(F.lit(R.most_active_user(r)).alias("userId"))
+    return R.recommend_for(model, who, users, items, n=10)
+
+
+@register("cv_report")
+def q_cv_report(spark, d):
+    """H2/H3: 3-fold CV of GBT over iterations {20, 40, 60} by AUC; avg metric per candidate, best marked."""
+    p = _parts(spark, d)
+    _, report = TU.cross_validate(p["train"], CONTACTS, "gbt", {"maxIter": [20, 40, 60]}, folds=3, parallelism=3)
+    return report
+
+
+def _balanced_features(spark, d):
+    p = _parts(spark, d)
+    bal = SA.hash_sample_by(p["train"], "contact_id", "y", BALANCE, seed=SEED + 1)
+    t = MD.Trainer(bal, CONTACTS)
+    ho = t.features_model.transform(p["test"]).select("label", "features")
+    return t, ho
+
+
+@register("sweep_grid")
+def q_sweep_grid(spark, d):
+    """H4: trees {50, 100, 200} x rate {0.1, 0.01, 0.005, 0.001} on balanced training, hold-out
+    accuracy and recall; one fit per rate, tree counts from prefixes."""
+    t, ho = _balanced_features(spark, d)
+    try:
+        out = TU.sweep(t.x, ho, [0.1, 0.01, 0.005, 0.001], [50, 100, 200], parallelism=4)
+        return spark.createDataFrame(out.collect(), out.schema)  # 12 rows; cached input released below
+    finally:
+        t.close()
+
+
+@register("sweep_trees")
+def q_sweep_trees(spark, d):
+    """H6: 50 tree counts from 2 to 100 at rate 0.01, all from one 100-tree fit."""
+    t, ho = _balanced_features(spark, d)
+    try:
+        counts = sorted({int(x) for x in np.linspace(2, 100, 50)})
+        out = TU.sweep(t.x, ho, [0.01], counts, parallelism=1)
+        return spark.createDataFrame(out.collect(), out.schema)
+    finally:
+        t.close()
