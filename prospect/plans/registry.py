@@ -28,7 +28,8 @@ def register(name: str, sql: str | None = None):
 
 def _load_all() -> None:
     # Importing the modules registers their queries.
-    from prospect.plans import q_metrics, q_prep, q_stats, q_features, q_models, q_sources  # noqa: F401
+    from prospect.plans import (q_features, q_metrics, q_models, q_prep, q_sources, q_stats,  # noqa: F401
+                                q_streaming)
 
 
 def queries() -> dict[str, Builder]:
