@@ -146,3 +146,45 @@ def q_holdout_disjoint(spark, d):
     return j.agg(F.count("in_bal").alias("n_train_balanced"), F.count("in_ho").alias("n_holdout"),
                  F.count_if(F.col("in_bal").isNotNull() & F.col("in_ho").isNotNull()).alias("n_overlap"),
                  F.count_if(F.col("y") == "yes").alias("n_train_yes"))
+
+
+# ---- SMOTE (F4) ----
+
+SMOTE_COLS = ["cons_conf_idx", "nr_employed"]
+
+
+def _smote_sql():
+    key = "(CAST(m.contact_id AS VARCHAR) || ':' || CAST(g.copy AS VARCHAR))"
+    return with_ctes(f"""
+SELECT r.contact_id, CAST(r.copy AS INTEGER) AS copy, nn.nid,
+       round(x.a + r.u * (p.a - x.a), 6) AS cons_conf_idx, round(x.b + r.u * (p.b - x.b), 6) AS nr_employed
+FROM r JOIN nn ON nn.qid = r.contact_id AND nn.rank = r.pick
+JOIN m x ON x.contact_id = r.contact_id JOIN m p ON p.contact_id = nn.nid
+""", extra=f"""
+m AS (SELECT contact_id, cons_conf_idx AS a, nr_employed AS b FROM contacts WHERE y = 'yes'),
+st AS (SELECT min(a) AS lo_a, max(a) AS hi_a, min(b) AS lo_b, max(b) AS hi_b, count(*) AS n,
+              (SELECT count(*) FROM contacts WHERE y = 'no') - count(*) AS n_new FROM m),
+z AS (SELECT contact_id, (a - lo_a) / (hi_a - lo_a) AS z0, (b - lo_b) / (hi_b - lo_b) AS z1 FROM m, st),
+nn AS (SELECT q.contact_id AS qid, p.contact_id AS nid,
+              row_number() OVER (PARTITION BY q.contact_id
+                                 ORDER BY sqrt((p.z0 - q.z0) * (p.z0 - q.z0) + (p.z1 - q.z1) * (p.z1 - q.z1)), p.contact_id) AS rank
+       FROM z q JOIN z p ON p.contact_id <> q.contact_id QUALIFY rank <= 5),
+kk AS (SELECT qid, count(*) AS kk FROM nn GROUP BY qid),
+hr AS (SELECT contact_id, row_number() OVER (ORDER BY ('0x' || substr(md5('42:' || CAST(contact_id AS VARCHAR)), 1, 8))::BIGINT,
+                                               contact_id) - 1 AS rank0 FROM m),
+reps AS (SELECT hr.contact_id, n_new // n + CASE WHEN rank0 < n_new % n THEN 1 ELSE 0 END AS reps FROM hr, st),
+r AS (SELECT m.contact_id, g.copy,
+             CAST(floor({md5_unit(key, 43)} * kk.kk) + 1 AS INTEGER) AS pick, {md5_unit(key, 44)} AS u
+      FROM reps m JOIN kk ON kk.qid = m.contact_id, LATERAL (SELECT range AS copy FROM range(0, m.reps)) g)
+""")
+
+
+@register("smote_exact", _smote_sql())
+def q_smote_exact(spark, d):
+    """synthetic minority rows to parity on two numeric features; exact grid k-NN (k = 5)."""
+    from prospect.operators.smote import synthetic_rows
+    c = cts(spark, d)
+    n_no = c.where(F.col("y") == "no").count()
+    m = c.where(F.col("y") == "yes").select("contact_id", *SMOTE_COLS)
+    syn = synthetic_rows(m, "contact_id", SMOTE_COLS, n_no - m.count(), k=5, seed=42)
+    return syn.select("contact_id", "copy", "nid", *[F.round(x, 6).alias(x) for x in SMOTE_COLS])
