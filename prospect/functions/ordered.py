@@ -78,3 +78,48 @@ def dense_index(df: DataFrame, col: str, out: str, n_buckets: int | None = None)
     w = Window.partitionBy(BUCKET).orderBy("_h", col)
     return (d.join(F.broadcast(offsets), BUCKET)
             .select(col, (F.col("_o") + F.row_number().over(w) - 1).cast("int").alias(out)))
+
+
+def keyed_sequence(df: DataFrame, key: str, order: list[str], lags: dict[str, str],
+                   number: str | None = None) -> DataFrame:
+    """Per ``key``, in ``order``: a 0-based row number and the previous row's value of some
+    columns, i.e. ``row_number() - 1`` and ``lag(c)`` over ``PARTITION BY key ORDER BY order``,
+    without sending a whole key to one task.
+
+    ``order[0]`` is a coarse ordering column (a date); ``order[1:]`` breaks ties inside it, and
+    the whole of ``order`` must be a total order within a key. Three steps:
+
+    1. one row per ``(key, order[0])`` with its size and its last row: a partial aggregate, so
+       a hot key is combined map-side before the shuffle;
+    2. a window per key over that table gives each group the number of earlier rows of its key
+       and the last row of the group before; a key has at most one row per distinct coarse
+       value (for a date: per calendar day), whatever its row count;
+    3. rows are numbered inside their ``(key, order[0])`` group, and joined to step 2 on the
+       same columns, so the window and the join share one shuffle.
+
+    A key with a third of all rows is thus spread over as many tasks as it has distinct coarse
+    values. ``key`` and ``order[0]`` must be non-null (rows with nulls there get null results).
+    ``lags`` maps output name -> source column; returns ``df`` plus those and ``number``.
+    """
+    if len(order) < 2:
+        raise ValueError("order needs a coarse column and at least one tie-breaker")
+    coarse, fine = order[0], order[1:]
+    src = list(lags.values())
+    last = F.struct(*[F.col(c).alias(f"v{i}") for i, c in enumerate(src)])
+    groups = df.groupBy(key, coarse).agg(F.count(F.lit(1)).alias("_c"),
+                                         F.max_by(last, F.struct(*fine)).alias("_last"))
+    wg = Window.partitionBy(key).orderBy(coarse)
+    groups = groups.select(
+        key, coarse,
+        F.coalesce(F.sum("_c").over(wg.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"),
+        F.lag("_last").over(wg).alias("_prev"))
+    w = Window.partitionBy(key, coarse).orderBy(*fine)
+    local = df.select("*", F.row_number().over(w).alias("_lrn"),
+                      *[F.lag(c).over(w).alias(f"_ll{i}") for i, c in enumerate(src)])
+    j = local.join(groups, [key, coarse], "left")
+    first = F.col("_lrn") == 1
+    extra = [F.when(first, F.col(f"_prev.v{i}")).otherwise(F.col(f"_ll{i}")).alias(out)
+             for i, out in enumerate(lags)]
+    if number:
+        extra.append((F.col("_off") + F.col("_lrn") - 1).cast("bigint").alias(number))
+    return j.select(*[F.col(f"`{c}`") for c in df.columns], *extra)

@@ -7,7 +7,7 @@ narrow filters / projections.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from prospect.functions.hashing import hash_unit
@@ -38,6 +38,15 @@ def split_frames(df: DataFrame, key: str, weights: dict[str, float], seed: int =
     return {name: s.where(F.col("_split") == name).drop("_split") for name in weights}
 
 
+def fold_index(key: str, folds: int, seed: int = 0) -> Column:
+    """Fold number in ``[0, folds)`` from ``hash_unit(key, seed)``.
+
+    Use a seed different from the one that made the train split: train rows share a hash range,
+    so folds made with the split seed would cover unequal slices of it.
+    """
+    return F.least(F.floor(hash_unit(key, seed) * folds), F.lit(folds - 1)).cast("int")
+
+
 def hash_sample(df: DataFrame, key: str, fraction: float, seed: int = 0) -> DataFrame:
     """Plain fraction sample."""
     return df.where(hash_unit(key, seed) < F.lit(float(fraction)))

@@ -19,9 +19,9 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from prospect.functions.hashing import hash_unit
 from prospect.operators.features import encoding_stages
 from prospect.operators.models import make_classifier
+from prospect.operators.sampling import fold_index
 from prospect.spec import TableSpec
 
 
@@ -39,8 +39,27 @@ def grid_frame(spark: SparkSession, maps: list) -> DataFrame:
     return spark.createDataFrame(rows, "candidate int, params string")
 
 
+def cv_plan(train: DataFrame, key: str, maps: list, folds: int = 3, fold_seed: int = 4201) -> DataFrame:
+    """H1/H2 work plan: one row per (candidate, fold) with its parameters and the sizes of the fit
+    and validation parts.
+
+    Fold sizes come from one global aggregate (partial counts per task, no shuffle of rows); the
+    grid is a handful of parameter structs exploded next to them, so no join is needed.
+    """
+    fold = fold_index(key, folds, fold_seed)
+    sizes = train.agg(F.count(F.lit(1)).alias("_n"),
+                      *[F.count_if(fold == f).alias(f"_v{f}") for f in range(folds)])
+    names = sorted({p.name for m in maps for p in m})
+    grid = F.array(*[F.struct(F.lit(i).alias("candidate"),
+                              *[F.lit({p.name: v for p, v in m.items()}.get(n)).alias(n) for n in names])
+                     for i, m in enumerate(maps)])
+    per_fold = F.array(*[F.struct(F.lit(f).alias("fold"), F.col(f"_v{f}").alias("valid_rows")) for f in range(folds)])
+    out = sizes.select("_n", F.explode(grid).alias("g"), F.explode(per_fold).alias("f"))
+    return out.select("g.*", "f.fold", (F.col("_n") - F.col("f.valid_rows")).alias("train_rows"), "f.valid_rows")
+
+
 def cross_validate(train: DataFrame, spec: TableSpec, name: str, grid: dict[str, list], folds: int = 3,
-                   seed: int = 420, parallelism: int = 4, **params):
+                   seed: int = 420, parallelism: int = 4, fold_seed: int = 4201, **params):
     """H2/H3: k-fold CV of encoding stages + classifier by exact AUC; returns (cv model, report frame).
 
     The encoders are refitted inside every fold, so no fold sees statistics of its own test part.
@@ -48,8 +67,7 @@ def cross_validate(train: DataFrame, spec: TableSpec, name: str, grid: dict[str,
     clf = make_classifier(name, **params)
     est = Pipeline(stages=[*encoding_stages(spec), clf])
     maps = param_grid(clf, grid)
-    fold = F.least(F.floor(hash_unit(spec.id, seed) * folds), F.lit(folds - 1)).cast("int")
-    data = train.withColumn("_fold", fold)
+    data = train.withColumn("_fold", fold_index(spec.id, folds, fold_seed))
     cv = CrossValidator(estimator=est, estimatorParamMaps=maps, numFolds=folds, foldCol="_fold", seed=seed,
                         evaluator=BinaryClassificationEvaluator(numBins=0), parallelism=parallelism)
     model = cv.fit(data)

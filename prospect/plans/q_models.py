@@ -19,7 +19,7 @@ from prospect.operators import models as MD
 from prospect.operators import recommend as R
 from prospect.operators import sampling as SA
 from prospect.operators import tuning as TU
-from prospect.plans.oracle import with_ctes
+from prospect.plans.oracle import md5_unit, with_ctes
 from prospect.plans.q_stats import cts
 from prospect.plans.registry import register
 from prospect.session import scratch_path
@@ -180,3 +180,41 @@ def q_sweep_trees(spark, d):
         return spark.createDataFrame(out.collect(), out.schema)
     finally:
         t.close()
+
+
+# H1 reference grid for boosting: depth x subsampling x iterations (cartesian, first key slowest).
+GBT_GRID = {"maxDepth": [5, 15, 20, 30], "subsamplingRate": [0.75, 1.0], "maxIter": [60]}
+_GRID_VALUES = ", ".join(f"({i}, {d}, {r}, {n})" for i, (d, r, n) in enumerate(
+    (d, r, n) for d in GBT_GRID["maxDepth"] for r in GBT_GRID["subsamplingRate"] for n in GBT_GRID["maxIter"]))
+
+
+@register("grid_rows", with_ctes(f"""
+SELECT g.candidate, g.maxDepth, g.subsamplingRate, g.maxIter, CAST(f.fold AS INTEGER) AS fold,
+       n.n - coalesce(v.valid_rows, 0) AS train_rows, coalesce(v.valid_rows, 0) AS valid_rows
+FROM g, range(0, 3) f(fold), (SELECT count(*) AS n FROM t) n
+LEFT JOIN (SELECT fold, count(*) AS valid_rows FROM t GROUP BY fold) v ON v.fold = f.fold
+""", extra=f"""
+t AS (SELECT least(floor({md5_unit('contact_id', 4201)} * 3), 2) AS fold
+      FROM contacts WHERE {md5_unit('contact_id', SEED)} < 0.8),
+g AS (SELECT CAST(c AS INTEGER) AS candidate, CAST(d AS INTEGER) AS maxDepth, CAST(r AS DOUBLE) AS subsamplingRate,
+             CAST(n AS INTEGER) AS maxIter FROM (VALUES {_GRID_VALUES}) v(c, d, r, n))
+"""))
+def q_grid_rows(spark, d):
+    """H1 + H2: the reference boosting grid (8 candidates) x 3 hash folds of the train split, with
+    the fit / validation row counts each cross-validation run will see."""
+    from pyspark.ml.classification import GBTClassifier
+    maps = TU.param_grid(GBTClassifier(), GBT_GRID)
+    return TU.cv_plan(_parts(spark, d)["train"], "contact_id", maps, folds=3)
+
+
+@register("sweep_lr")
+def q_sweep_lr(spark, d):
+    """H5: 50 learning rates evenly spaced in [0.0001, 0.1], 100 trees each, balanced training,
+    hold-out accuracy / recall / precision at 100 trees; fits run concurrently."""
+    t, ho = _balanced_features(spark, d)
+    try:
+        rates = [float(x) for x in np.linspace(0.0001, 0.1, 50)]
+        out = TU.sweep(t.x, ho, rates, [100], parallelism=8)
+        return spark.createDataFrame(out.collect(), out.schema)
+    finally:
+        t.close()

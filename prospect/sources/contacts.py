@@ -5,18 +5,21 @@
 * ``rule_scored``: a deterministic score / prediction on contacts, so metrics are exact
   without a model.
 
-Shuffle layout of ``contacts`` (see ``explain``): line items are partially aggregated and
-shuffled once on the order key, the order side meets them on that same key, the result is
-shuffled once on the customer key, and the customer join and the per-customer window both
-reuse that one partitioning. ``nation``/``region`` are broadcast behind a row bound.
+Shuffle layout of ``contacts`` (see ``explain``): the per-customer sequence (previous contact,
+days since it, its outcome) runs first on the narrow order rows, range-partitioned on
+(customer, date, order) so a customer with a third of all orders still spreads over many tasks
+(``functions.ordered.keyed_sequence``). Line items are partially aggregated and meet the orders on
+the order key; customers join on the customer key, where AQE splits a hot key. ``nation`` /
+``region`` are broadcast behind a row bound.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from prospect.functions.joins import bounded_broadcast
+from prospect.functions.ordered import keyed_sequence
 from prospect.sources.tables import Tables
 
 # Dimension tables with at most this many rows are broadcast.
@@ -43,40 +46,35 @@ def contacts(t: Tables) -> DataFrame:
         DIM_ROWS)
     cust = (t.customer.select("c_custkey", "c_nationkey", "c_mktsegment", "c_acctbal")
             .join(geo, F.col("c_nationkey") == F.col("n_nationkey")))
-    o = t.orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate",
-                        "o_orderpriority")
+    y = F.when((F.col("o_orderpriority") == "1-URGENT") & (F.col("o_orderstatus") != "F"), "yes").otherwise("no")
+    o = t.orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", y.alias("y"))
+    # Previous contact of the same customer: skew-safe row number and lag (a hot customer is
+    # spread over several tasks), on the narrow order rows before the wide joins.
+    o = keyed_sequence(o, "o_custkey", ["o_orderdate", "o_orderkey"],
+                       {"prev_date": "o_orderdate", "prev_y": "y"}, number="previous")
     b = (o.join(li, F.col("o_orderkey") == F.col("l_orderkey"), "left")
          .join(cust, F.col("o_custkey") == F.col("c_custkey")))
-    w = Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey")
-    prev_date = F.lag("o_orderdate").over(w)
-    prev_y = F.lag("y").over(w)
-    y = F.when((F.col("o_orderpriority") == "1-URGENT") & (F.col("o_orderstatus") != "F"), "yes").otherwise("no")
-    b = b.select(
+    prev_date, prev_y = F.col("prev_date"), F.col("prev_y")
+    return b.select(
         F.col("o_orderkey").alias("contact_id"),
         F.col("c_mktsegment").alias("job"),
         F.col("o_orderstatus").alias("marital"),
         "education", "nation",
         F.lower(F.date_format("o_orderdate", "MMM")).alias("month"),
         F.lower(F.date_format("o_orderdate", "E")).alias("day_of_week"),
+        F.when(prev_y.isNull(), "nonexistent").when(prev_y == "yes", "success").otherwise("failure")
+        .alias("poutcome"),
         "duration",
         F.coalesce(F.col("campaign"), F.lit(0)).alias("campaign"),
-        "o_custkey", "o_orderdate", "o_orderkey",
+        F.when(prev_date.isNull(), F.lit(999))
+        .otherwise(F.least(F.datediff(F.col("o_orderdate"), prev_date), F.lit(998)))
+        .cast("bigint").alias("pdays"),
+        "previous",
         "emp_var_rate",
         F.col("c_acctbal").alias("cons_conf_idx"),
         "euribor3m",
         F.col("o_totalprice").alias("nr_employed"),
-        y.alias("y"),
-    )
-    return b.select(
-        "contact_id", "job", "marital", "education", "nation", "month", "day_of_week",
-        F.when(prev_y.isNull(), "nonexistent").when(prev_y == "yes", "success").otherwise("failure")
-        .alias("poutcome"),
-        "duration", "campaign",
-        F.when(prev_date.isNull(), F.lit(999))
-        .otherwise(F.least(F.datediff(F.col("o_orderdate"), prev_date), F.lit(998)))
-        .cast("bigint").alias("pdays"),
-        (F.row_number().over(w) - 1).cast("bigint").alias("previous"),
-        "emp_var_rate", "cons_conf_idx", "euribor3m", "nr_employed", "y",
+        "y",
     )
 
 

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from prospect.functions.ordered import dense_index, running_sums
+from prospect.functions.ordered import dense_index, keyed_sequence, running_sums
 from prospect.operators import metrics as M
 from prospect.operators import prep as P
 from prospect.operators import sampling as SA
@@ -130,3 +130,28 @@ def test_histogram_counts_every_value_once(spark):
     assert len(h) == 30 and sum(r["n"] for r in h) == 999
     counts, _ = np.histogram([v for v in vals if v is not None], bins=30)
     assert [r["n"] for r in sorted(h, key=lambda r: r["bin"])] == counts.tolist()
+
+
+def test_keyed_sequence_equals_window_with_hot_key(spark):
+    from pyspark.sql import Window
+    rng = np.random.default_rng(5)
+    n = 4000
+    # Key 0 owns a third of the rows; many rows share a day, so the tie-breaker matters.
+    keys = np.where(rng.random(n) < 1 / 3, 0, rng.integers(1, 200, n))
+    rows = [(int(i), int(k), int(d), str(rng.integers(0, 3))) for i, k, d in
+            zip(rng.permutation(n), keys, rng.integers(0, 40, n))]
+    df = spark.createDataFrame(rows, "id long, k long, day int, v string")
+    got = keyed_sequence(df, "k", ["day", "id"], {"prev_v": "v", "prev_day": "day"}, number="rn")
+    w = Window.partitionBy("k").orderBy("day", "id")
+    ref = df.select("*", F.lag("v").over(w).alias("prev_v"), F.lag("day").over(w).alias("prev_day"),
+                    (F.row_number().over(w) - 1).cast("bigint").alias("rn"))
+    assert got.count() == n
+    assert got.exceptAll(ref.select(got.columns)).count() == 0
+
+
+def test_cv_folds_balanced_on_train_split(spark):
+    df = spark.range(0, 6000).withColumnRenamed("id", "k")
+    train = SA.split_frames(df, "k", {"train": 0.8, "test": 0.2}, seed=420)["train"]
+    sizes = [r["n"] for r in train.groupBy(SA.fold_index("k", 3, 4201).alias("f"))
+             .agg(F.count(F.lit(1)).alias("n")).collect()]
+    assert len(sizes) == 3 and min(sizes) / max(sizes) > 0.9
