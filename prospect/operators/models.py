@@ -54,6 +54,28 @@ def make_classifier(name: str, n_features: int | None = None, features: str = "f
     raise ValueError(name)
 
 
+# Rows per partition of the cached training frame. Iterative learners run a few jobs per
+# iteration; with tiny partitions the task overhead, not the data, sets the time.
+ROWS_PER_PARTITION = 250_000
+
+
+def _cached_by_size(x: DataFrame) -> DataFrame:
+    """Persist ``x`` with about ``ROWS_PER_PARTITION`` rows per partition.
+
+    The row count comes with materialising the cache; when the upstream layout has more
+    partitions than the rows need, a narrow ``coalesce`` of the cached data replaces it.
+    """
+    x = x.persist(StorageLevel.MEMORY_AND_DISK)
+    n = x.count()
+    want = max(1, -(-n // ROWS_PER_PARTITION))
+    if want < x.rdd.getNumPartitions():
+        y = x.coalesce(want).persist(StorageLevel.MEMORY_AND_DISK)
+        y.count()
+        x.unpersist()
+        x = y
+    return x
+
+
 class Trainer:
     """Fit encoders once on training rows, then any number of classifiers on the cached features."""
 
@@ -64,7 +86,7 @@ class Trainer:
         self.features_model = Pipeline(stages=stages).fit(train)
         x = self.features_model.transform(train).where(F.col("label").isNotNull())
         self.features_col = "scaled" if scale else "features"
-        self.x = x.select("label", self.features_col).persist(StorageLevel.MEMORY_AND_DISK)
+        self.x = _cached_by_size(x.select("label", self.features_col))
         self.n_features = feature_count(x, "features")
 
     def fit(self, name: str, **params) -> PipelineModel:

@@ -218,3 +218,11 @@ def q_sweep_lr(spark, d):
         return spark.createDataFrame(out.collect(), out.schema)
     finally:
         t.close()
+
+
+@register("als_cv")
+def q_als_cv(spark, d):
+    """H1 + H2 for ALS: regParam {0.01, 0.1} x rank {5, 10}, 3 hash folds of the train split, RMSE."""
+    s, _, _ = _ratings_split(spark, d)
+    return R.cross_validate_als(s.where(F.col("split") == "train"), "key",
+                                {"regParam": [0.01, 0.1], "rank": [5, 10]}, folds=3)

@@ -6,8 +6,8 @@
   without a model.
 
 Shuffle layout of ``contacts`` (see ``explain``): the per-customer sequence (previous contact,
-days since it, its outcome) runs first on the narrow order rows, range-partitioned on
-(customer, date, order) so a customer with a third of all orders still spreads over many tasks
+days since it, its outcome) runs first on the narrow order rows, split by (customer, order day)
+so a customer with a third of all orders still spreads over as many tasks as it has order days
 (``functions.ordered.keyed_sequence``). Line items are partially aggregated and meet the orders on
 the order key; customers join on the customer key, where AQE splits a hot key. ``nation`` /
 ``region`` are broadcast behind a row bound.
