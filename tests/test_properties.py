@@ -155,3 +155,38 @@ def test_cv_folds_balanced_on_train_split(spark):
     sizes = [r["n"] for r in train.groupBy(SA.fold_index("k", 3, 4201).alias("f"))
              .agg(F.count(F.lit(1)).alias("n")).collect()]
     assert len(sizes) == 3 and min(sizes) / max(sizes) > 0.9
+
+
+def _brute_knn(pts: np.ndarray, ids: np.ndarray, k: int) -> set:
+    lo, hi = pts.min(0), pts.max(0)
+    span = np.where(hi > lo, hi - lo, 1.0)
+    z = np.where(hi > lo, (pts - lo) / span, 0.0)
+    out = set()
+    for a in range(len(ids)):
+        d = np.sqrt(((z - z[a]) ** 2).sum(1))
+        order = sorted((round(float(d[b]), 9), int(ids[b])) for b in range(len(ids)) if b != a)[:k]
+        out |= {(int(ids[a]), nid, r + 1, dist) for r, (dist, nid) in enumerate(order)}
+    return out
+
+
+def test_knn_exact_in_five_dims_with_duplicates(spark):
+    from prospect.operators.smote import knn
+    rng = np.random.default_rng(11)
+    n, d = 300, 5
+    pts = rng.normal(size=(n, d)) * np.array([1, 5, 0.1, 2, 3])
+    pts[:40] = pts[0]                 # a block of identical points
+    pts[:, 2] = np.round(pts[:, 2], 1)  # a coarse dimension
+    ids = rng.permutation(n) + 1000
+    cols = [f"x{i}" for i in range(d)]
+    df = spark.createDataFrame([(int(i), *map(float, p)) for i, p in zip(ids, pts)],
+                               "id long, " + ", ".join(f"{c} double" for c in cols))
+    got = {(r["qid"], r["nid"], r["rank"], round(r["dist"], 9)) for r in knn(df, "id", cols, k=5).collect()}
+    assert got == _brute_knn(pts, ids, 5)
+
+
+def test_knn_constant_features(spark):
+    from prospect.operators.smote import knn
+    df = spark.createDataFrame([(i, 1.0, 2.0) for i in range(20)], "id long, a double, b double")
+    got = {(r["qid"], r["nid"], r["rank"]) for r in knn(df, "id", ["a", "b"], k=3).collect()}
+    want = {(q, n, r + 1) for q in range(20) for r, n in enumerate([x for x in range(20) if x != q][:3])}
+    assert got == want
