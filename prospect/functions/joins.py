@@ -15,3 +15,15 @@ def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     """
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
+
+
+def hot_keys(df: DataFrame, key: str, min_rows: int, max_keys: int) -> tuple[DataFrame, int]:
+    """Keys holding more than ``min_rows`` rows, and how many there are (capped at ``max_keys + 1``).
+
+    One partially aggregated count per key (a hot key is combined map-side, so the count itself
+    is skew-safe). At most ``total rows / min_rows`` keys qualify, which bounds the frame; the
+    count reads at most ``max_keys + 1`` of them.
+    """
+    hot = (df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+           .where(F.col("_n") > F.lit(min_rows)).select(key))
+    return hot, hot.limit(max_keys + 1).count()

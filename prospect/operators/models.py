@@ -54,22 +54,27 @@ def make_classifier(name: str, n_features: int | None = None, features: str = "f
     raise ValueError(name)
 
 
-# Rows per partition of the cached training frame. Iterative learners run a few jobs per
-# iteration; with tiny partitions the task overhead, not the data, sets the time.
+# Partition sizing of the cached training frame. Iterative learners run a few jobs per
+# iteration over it: too few partitions leave cores idle, too many small ones make the task
+# overhead, not the data, set the time.
 ROWS_PER_PARTITION = 250_000
+MIN_ROWS_PER_PARTITION = 25_000
 
 
 def _cached_by_size(x: DataFrame) -> DataFrame:
-    """Persist ``x`` with about ``ROWS_PER_PARTITION`` rows per partition.
+    """Persist ``x`` with at most ``ROWS_PER_PARTITION`` rows per partition, and at least as many
+    partitions as the cluster runs at once while each keeps ``MIN_ROWS_PER_PARTITION`` rows.
 
-    The row count comes with materialising the cache; when the upstream layout has more
-    partitions than the rows need, a narrow ``coalesce`` of the cached data replaces it.
+    The row count comes with materialising the cache; a different layout is then made from the
+    cached rows (narrow ``coalesce`` to shrink, round-robin ``repartition`` to grow).
     """
     x = x.persist(StorageLevel.MEMORY_AND_DISK)
     n = x.count()
-    want = max(1, -(-n // ROWS_PER_PARTITION))
-    if want < x.rdd.getNumPartitions():
-        y = x.coalesce(want).persist(StorageLevel.MEMORY_AND_DISK)
+    slots = x.sparkSession.sparkContext.defaultParallelism
+    want = max(1, -(-n // ROWS_PER_PARTITION), min(slots, n // MIN_ROWS_PER_PARTITION))
+    have = x.rdd.getNumPartitions()
+    if want != have:
+        y = (x.coalesce(want) if want < have else x.repartition(want)).persist(StorageLevel.MEMORY_AND_DISK)
         y.count()
         x.unpersist()
         x = y
@@ -83,11 +88,18 @@ class Trainer:
         stages = encoding_stages(spec, handle_invalid=handle_invalid)
         if scale:
             stages.append(StandardScaler(inputCol="features", outputCol="scaled", withMean=False, withStd=True))
-        self.features_model = Pipeline(stages=stages).fit(train)
-        x = self.features_model.transform(train).where(F.col("label").isNotNull())
-        self.features_col = "scaled" if scale else "features"
-        self.x = _cached_by_size(x.select("label", self.features_col))
-        self.n_features = feature_count(x, "features")
+        # The encoder fits (imputer means, category counts) and the transform each read the
+        # training rows: keep the narrow input once instead of recomputing its joins per pass.
+        keep = [c for c in (spec.label, *spec.categorical, *spec.numeric) if c in train.columns]
+        rows = train.select(*keep).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            self.features_model = Pipeline(stages=stages).fit(rows)
+            x = self.features_model.transform(rows).where(F.col("label").isNotNull())
+            self.features_col = "scaled" if scale else "features"
+            self.x = _cached_by_size(x.select("label", self.features_col))
+            self.n_features = feature_count(x, "features")
+        finally:
+            rows.unpersist()
 
     def fit(self, name: str, **params) -> PipelineModel:
         clf = make_classifier(name, self.n_features, features=self.features_col, **params)

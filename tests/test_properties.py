@@ -190,3 +190,14 @@ def test_knn_constant_features(spark):
     got = {(r["qid"], r["nid"], r["rank"]) for r in knn(df, "id", ["a", "b"], k=3).collect()}
     want = {(q, n, r + 1) for q in range(20) for r, n in enumerate([x for x in range(20) if x != q][:3])}
     assert got == want
+
+
+def test_contacts_same_rows_on_every_history_plan(spark, small_dir):
+    from prospect.sources.contacts import contacts
+    from prospect.sources.tables import Tables
+    base = contacts(Tables(spark, small_dir))
+    # Customers above 8 orders take the two-level plan; then every customer does.
+    for hot_rows, max_keys in ((8, 100_000), (0, 3)):
+        c = contacts(Tables(spark, small_dir), hot_rows=hot_rows, max_hot_keys=max_keys)
+        assert c.count() == base.count()
+        assert c.exceptAll(base).count() == 0
