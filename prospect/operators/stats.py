@@ -225,48 +225,81 @@ def pearson_matrix(df: DataFrame, cols: list[str], digits: int = 6) -> DataFrame
     return st.select("f1", "f2", F.round("r", digits).alias("r"))
 
 
+# Bound on the (key, p) pairs of one quantile answer, which is returned as a small frame.
+MAX_QUANTILE_ROWS = 100_000
+
+
 def exact_quantiles(long: DataFrame, key: str, value: str, probs: list[float],
-                    n_buckets: int = 4096) -> DataFrame:
+                    accuracy: int = 100_000) -> DataFrame:
     """Exact linear-interpolated quantiles per key, without holding a key's values in one task.
 
-    1. distinct (key, value) with counts (partial aggregation);
-    2. equal-width value ranges per key -> per-range counts -> per-range rank offsets
-       (at most #keys x ``n_buckets`` rows);
-    3. only the ranges that contain a wanted rank are opened; a window inside each such range
-       finds the values at ranks ``floor(p(n-1))`` and ``ceil(p(n-1))``.
-    Returns ``(key, p, q)``.
+    1. One pass builds a mergeable ``percentile_approx`` sketch per key. Its answer for
+       ``p -/+ 2 / accuracy`` brackets the exact ranks ``floor(p(n-1))`` and ``ceil(p(n-1))``:
+       the sketch's rank error is at most ``n / accuracy``.
+    2. One counting pass gives, per (key, p), the rows below the bracket and inside it.
+    3. Only rows inside the bracket (about ``4 n / accuracy``) are reduced to distinct values with
+       counts, so a hot value is one row, and a running count inside the bracket finds the two
+       ranks.
+    If a bracket ever misses its ranks, that (key, p) is redone with the key's whole range, so the
+    answer is exact either way. Returns ``(key, p, q)``.
     """
-    counts = long.where(F.col(value).isNotNull()).groupBy(key, value).agg(F.count(F.lit(1)).alias("c"))
-    per_key = counts.groupBy(key).agg(F.sum("c").alias("n"), F.min(value).alias("lo"), F.max(value).alias("hi"))
-    width = F.col("hi") - F.col("lo")
-    bucket = F.when(width > 0, F.least(F.floor((F.col(value) - F.col("lo")) * n_buckets / width),
-                                       F.lit(n_buckets - 1))).otherwise(F.lit(0)).cast("bigint")
-    # per_key has one row per key (bounded by the schema).
-    cb = counts.join(F.broadcast(per_key), key).withColumn("b", bucket)
-    bt = cb.groupBy(key, "b").agg(F.sum("c").alias("bc"))
-    wo = Window.partitionBy(key).orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
-    bt = bt.withColumn("off", F.coalesce(F.sum("bc").over(wo), F.lit(0)))
-    targets = per_key.select(key, "n", F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("p"))
+    v = long.where(F.col(value).isNotNull()).select(key, F.col(value).cast("double").alias("_v"))
+    eps = 2.0 / accuracy
+    probs = [float(p) for p in probs]
+    edges = [max(0.0, p - eps) for p in probs] + [min(1.0, p + eps) for p in probs]
+    sk = v.groupBy(key).agg(F.count(F.lit(1)).alias("n"), F.min("_v").alias("mn"), F.max("_v").alias("mx"),
+                            F.percentile_approx("_v", edges, accuracy).alias("qs"))
+    k = len(probs)
+    t = sk.select(key, "n", "mn", "mx", F.explode(F.array(*[
+        F.struct(F.lit(p).alias("p"), F.col("qs")[i].alias("lo"), F.col("qs")[k + i].alias("hi"))
+        for i, p in enumerate(probs)])).alias("s")).select(key, "n", "mn", "mx", "s.*")
     pos = F.col("p") * (F.col("n") - 1)
-    targets = targets.select(key, "p", pos.alias("pos"),
-                             F.floor(pos).cast("bigint").alias("r_lo"), F.ceil(pos).cast("bigint").alias("r_hi"))
-    ranks = targets.select(key, "p", F.explode(F.array("r_lo", "r_hi")).alias("r")).distinct()
-    # Which range holds rank r: off <= r < off + bc. Both sides are small (#keys x ranges).
-    hit = ranks.join(bt, (ranks[key] == bt[key]) & (F.col("off") <= F.col("r")) &
-                     (F.col("r") < F.col("off") + F.col("bc"))).select(ranks[key], "p", "r", "b", "off")
-    want = hit.select(key, "b").distinct()
-    opened = cb.join(F.broadcast(want), [key, "b"])
-    wi = Window.partitionBy(key, "b").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
-    opened = opened.withColumn("cum", F.sum("c").over(wi))
-    # Value at rank r: cum_prev <= r - off < cum.
-    vals = opened.join(F.broadcast(hit), [key, "b"]).where(
-        (F.col("cum") - F.col("c") <= F.col("r") - F.col("off")) & (F.col("r") - F.col("off") < F.col("cum"))
-    ).select(key, "p", "r", F.col(value).alias("v"))
-    lo_v = vals.select(key, "p", F.col("r").alias("r_lo"), F.col("v").alias("v_lo"))
-    hi_v = vals.select(key, "p", F.col("r").alias("r_hi"), F.col("v").alias("v_hi"))
-    out = targets.join(lo_v, [key, "p", "r_lo"]).join(hi_v, [key, "p", "r_hi"])
-    return out.select(key, "p", (F.col("v_lo") + (F.col("pos") - F.col("r_lo")) * (F.col("v_hi") - F.col("v_lo")))
-                      .alias("q"))
+    t = t.select(key, "p", "mn", "mx", "lo", "hi", pos.alias("pos"),
+                 F.floor(pos).cast("bigint").alias("r_lo"), F.ceil(pos).cast("bigint").alias("r_hi"))
+    # The brackets have #keys x #probs rows (keys are features or classes here): materialised once
+    # and broadcast, so the rows are never shuffled by key (one task per feature).
+    spark = long.sparkSession
+    t_rows = t.limit(MAX_QUANTILE_ROWS + 1).collect()
+    if len(t_rows) > MAX_QUANTILE_ROWS:
+        raise ValueError(f"more than {MAX_QUANTILE_ROWS} (key, p) pairs")
+    t = spark.createDataFrame(t_rows, t.schema)
+
+    def answer(t: DataFrame) -> DataFrame:
+        # One aggregate: rows below the bracket collapse to one NULL-valued row per (key, p), rows
+        # inside to one row per distinct value; rows above are dropped. NULLs sort first, so the
+        # running count over that small table gives the rank range of every value.
+        j = v.join(F.broadcast(t.select(key, "p", "lo", "hi")), key).where(F.col("_v") <= F.col("hi"))
+        d = j.groupBy(key, "p", F.when(F.col("_v") >= F.col("lo"), F.col("_v")).alias("vv")).agg(
+            F.count(F.lit(1)).alias("c"))
+        w = Window.partitionBy(key, "p").orderBy(F.col("vv").asc_nulls_first()).rowsBetween(
+            Window.unboundedPreceding, 0)
+        d = d.withColumn("cum", F.sum("c").over(w))
+        d = d.join(F.broadcast(t.select(key, "p", "pos", "r_lo", "r_hi")), [key, "p"])
+        hit = lambda r: F.col("vv").isNotNull() & (F.col("cum") - F.col("c") <= F.col(r)) & (F.col(r) < F.col("cum"))
+        g = d.groupBy(key, "p", "pos", "r_lo", "r_hi").agg(
+            F.coalesce(F.max(F.when(F.col("vv").isNull(), F.col("c"))), F.lit(0)).alias("below"),
+            F.coalesce(F.sum(F.when(F.col("vv").isNotNull(), F.col("c"))), F.lit(0)).alias("inside"),
+            F.max(F.when(hit("r_lo"), F.col("vv"))).alias("v_lo"),
+            F.max(F.when(hit("r_hi"), F.col("vv"))).alias("v_hi"))
+        ok = (F.col("below") <= F.col("r_lo")) & (F.col("r_hi") < F.col("below") + F.col("inside"))
+        # A (key, p) with no row at or below ``hi`` is absent from ``g``: a miss as well.
+        out = t.select(key, "p").join(g, [key, "p"], "left")
+        return out.select(key, "p", F.coalesce(ok, F.lit(False)).alias("ok"),
+                          (F.col("v_lo") + (F.col("pos") - F.col("r_lo")) * (F.col("v_hi") - F.col("v_lo"))).alias("q"))
+
+    first = answer(t)
+    # The answer is computed once, checked, and handed back as a small frame instead of being
+    # recomputed by the caller.
+    rows = first.collect()  # as many rows as the brackets: bounded above
+    key_type = long.schema[key].dataType.simpleString()
+    schema = f"`{key}` {key_type}, p double, q double"
+    good = spark.createDataFrame([(r[key], r["p"], r["q"]) for r in rows if r["ok"]], schema)
+    missed = [(r[key], r["p"]) for r in rows if not r["ok"]]
+    if not missed:
+        return good
+    miss = spark.createDataFrame(missed, f"`{key}` {key_type}, p double")
+    redo = t.join(miss, [key, "p"]).withColumn("lo", F.col("mn")).withColumn("hi", F.col("mx"))
+    return good.unionByName(answer(redo).select(key, "p", "q"))
 
 
 def profile_numeric(df: DataFrame, cols: list[str], probs=(0.25, 0.5, 0.75), digits: int = 6) -> DataFrame:

@@ -66,11 +66,17 @@ def test_exact_quantiles_match_numpy(spark):
     vals = np.concatenate([rng.exponential(size=2000), np.full(500, 0.25)])
     rows = [("a", float(v)) for v in vals] + [("b", float(v)) for v in rng.integers(0, 9, 301)]
     df = spark.createDataFrame(rows, "feature string, value double")
-    got = {(r["feature"], r["p"]): r["q"] for r in S.exact_quantiles(df, "feature", "value", [0.1, 0.5, 0.9], n_buckets=32).collect()}
-    for f in ("a", "b"):
-        x = np.array([v for g, v in rows if g == f])
-        for p in (0.1, 0.5, 0.9):
-            assert got[(f, p)] == pytest.approx(np.quantile(x, p), abs=1e-12)
+    # A hot value (a third of "c") and a far outlier, as the 999 sentinel makes.
+    rows += [("c", 7.0)] * 700 + [("c", float(v)) for v in rng.normal(size=1400)] + [("c", 1e9)]
+    df = spark.createDataFrame(rows, "feature string, value double")
+    probs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 1.0]
+    for acc in (20, 100_000):  # a coarse sketch gives real brackets; a fine one is exact
+        got = {(r["feature"], r["p"]): r["q"]
+               for r in S.exact_quantiles(df, "feature", "value", probs, accuracy=acc).collect()}
+        for f in ("a", "b", "c"):
+            x = np.array([v for g, v in rows if g == f])
+            for p in probs:
+                assert got[(f, p)] == pytest.approx(np.quantile(x, p), abs=1e-9)
 
 
 def test_auc_equals_brute_force_and_mllib(spark):
