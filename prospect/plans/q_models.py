@@ -91,9 +91,10 @@ def q_model_comparison(spark, d):
         try:
             for n in names:
                 s = MD.score(p["test"], t.fit(n), "contact_id").persist()
-                r = M.binary_metrics(s).crossJoin(M.auc_exact(s, score="p1")) \
-                    .select(F.lit(n).alias("model"), "auc", "accuracy", "precision", "recall")
-                r = spark.createDataFrame(r.collect(), r.schema)  # one row; the scored rows are released
+                m = M.binary_metrics(s).first()  # one row each
+                a = M.auc_exact(s, score="p1").first()
+                r = spark.createDataFrame([(n, a["auc"], m["accuracy"], m["precision"], m["recall"])],
+                                          "model string, auc double, accuracy double, precision double, recall double")
                 s.unpersist()
                 rows = r if rows is None else rows.unionByName(r)
         finally:

@@ -151,3 +151,41 @@ def q_topk_items(spark, d):
     from prospect.operators.recommend import top_k
     r = ratings(Tables(spark, d)).groupBy("itemId").agg(F.sum("rating").alias("total"))
     return top_k(r, "total", 10, tie="itemId")
+
+
+_VEC_COLS = ["campaign", "pdays", "nr_employed", "cons_conf_idx"]
+
+
+@register("csv_export", with_ctes(
+    "SELECT contact_id, " + ", ".join(f"CAST({c} AS DOUBLE) AS f{i}" for i, c in enumerate(_VEC_COLS))
+    + " FROM contacts"))
+def q_csv_export(spark, d):
+    """A12 + B15: an assembled vector column written as CSV with a header in overwrite mode
+    (vectors as text, which CSV can hold), read back and parsed; the text form round-trips."""
+    from pyspark.ml.feature import VectorAssembler
+    path = scratch_path(spark, "scored-csv")
+    v = VectorAssembler(inputCols=_VEC_COLS, outputCol="features").transform(cts(spark, d))
+    out = v.select("contact_id", "features")
+    sinks.vectors_to_text(out).write.mode("overwrite").option("header", True).csv(path)
+    back = spark.read.option("header", True).schema("contact_id long, features string").csv(path)
+    parts = F.split(F.regexp_replace("features", r"[\[\]]", ""), ",")
+    return back.select("contact_id", *[parts[i].cast("double").alias(f"f{i}") for i in range(len(_VEC_COLS))])
+
+
+@register("single_csv", with_ctes("""
+SELECT round((tp + tn) / nullif(tp + tn + fp + fn, 0), 4) AS accuracy, round(tp / nullif(tp + fp, 0), 4) AS precision,
+       round(tp / nullif(tp + fn, 0), 4) AS recall, CAST(1 AS BIGINT) AS n_files
+FROM (SELECT count(*) FILTER (WHERE label = 0 AND prediction = 0)::DOUBLE AS tn,
+             count(*) FILTER (WHERE label = 1 AND prediction = 1)::DOUBLE AS tp,
+             count(*) FILTER (WHERE label = 1 AND prediction = 0)::DOUBLE AS fn,
+             count(*) FILTER (WHERE label = 0 AND prediction = 1)::DOUBLE AS fp FROM scored)
+"""))
+def q_single_csv(spark, d):
+    """The metrics row exported as one CSV file (behind a row bound), read back."""
+    path = scratch_path(spark, "metrics-single")
+    sinks.write_single_csv(M.binary_metrics(rule_scored(cts(spark, d))), path)
+    back = spark.read.option("header", True).schema("accuracy double, precision double, recall double").csv(path)
+    # One row read back; the same aggregate counts the files it came from.
+    return back.withColumn("_file", F.input_file_name()).agg(
+        *[F.max(c).alias(c) for c in ("accuracy", "precision", "recall")],
+        F.count_distinct("_file").alias("n_files"))
