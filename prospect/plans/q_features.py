@@ -109,6 +109,25 @@ def q_id_index(spark, d):
     return indexed.select("userId", "itemId", "rating", "userIndex", "itemIndex")
 
 
+def _id_summary_sql(col: str, short: str) -> str:
+    n = f"count(DISTINCT {col})"
+    return (f"{n} AS n_{short}, {n} AS {short}_ids, {n} AS {short}_pairs, "
+            f"CAST(0 AS BIGINT) AS {short}_min, {n} - 1 AS {short}_max")
+
+
+@register("id_index_check", with_ctes(
+    f"SELECT count(*) AS n_rows, {_id_summary_sql('userId', 'u')}, {_id_summary_sql('itemId', 'i')} FROM ratings"))
+def q_id_index_check(spark, d):
+    """E9 exact: the user / item ids are dense (0 .. n-1), one per value, one value per id."""
+    indexed, _, _ = index_interactions(ratings(Tables(spark, d)))
+    aggs = [F.count(F.lit(1)).alias("n_rows")]
+    for col, idx, short in (("userId", "userIndex", "u"), ("itemId", "itemIndex", "i")):
+        aggs += [F.count_distinct(col).alias(f"n_{short}"), F.count_distinct(idx).alias(f"{short}_ids"),
+                 F.count_distinct(col, idx).alias(f"{short}_pairs"),
+                 F.min(idx).cast("bigint").alias(f"{short}_min"), F.max(idx).cast("bigint").alias(f"{short}_max")]
+    return indexed.agg(*aggs)
+
+
 # ---- sampling (F) ----
 
 @register("hash_split", with_ctes(
