@@ -19,10 +19,13 @@ from prospect.spec import CONTACTS
 from prospect.streaming import score_stream as SS
 
 
-def _arrivals(spark, df, name, files=4):
+def _arrivals(spark, df, name, batches=4):
+    """Write ``df`` with its own parallelism (one file per task) and return the folder and the
+    files per trigger that replay it as about ``batches`` micro-batches."""
     path = scratch_path(spark, name)
-    df.repartition(files).write.parquet(path)
-    return path
+    df.write.parquet(path)
+    n_files = len(spark.read.parquet(path).inputFiles())
+    return path, max(1, -(-n_files // batches))
 
 
 @register("stream_score")
@@ -32,8 +35,8 @@ def q_stream_score(spark, d):
     c = cts(spark, d)
     parts = SA.split_frames(c, "contact_id", {"train": 0.8, "test": 0.2}, seed=420)
     model = MD.train_pipeline(parts["train"], CONTACTS, "lr")
-    src = _arrivals(spark, c, "arrivals")
-    stream = SS.scored_stream(spark, src, c.schema, model, "contact_id", max_files_per_trigger=1)
+    src, per_trigger = _arrivals(spark, c, "arrivals")
+    stream = SS.scored_stream(spark, src, c.schema, model, "contact_id", max_files_per_trigger=per_trigger)
     sink = scratch_path(spark, "stream-sink")
     SS.run_to_files(stream, sink, scratch_path(spark, "stream-ckpt"))
     return spark.read.parquet(sink)
@@ -44,8 +47,8 @@ def q_stream_score(spark, d):
 def q_stream_confusion(spark, d):
     """Running confusion counts over arriving scored rows; equals the batch C15 counts."""
     s = rule_scored(cts(spark, d))
-    src = _arrivals(spark, s, "scored-arrivals")
-    stream = spark.readStream.schema(s.schema).option("maxFilesPerTrigger", 1).parquet(src)
+    src, per_trigger = _arrivals(spark, s, "scored-arrivals")
+    stream = spark.readStream.schema(s.schema).option("maxFilesPerTrigger", per_trigger).parquet(src)
     sink = scratch_path(spark, "confusion")
     SS.run_complete_to_table(SS.running_confusion(stream), sink, scratch_path(spark, "confusion-ckpt"))
     return spark.read.parquet(sink).select("label", "prediction", F.col("n").cast("bigint").alias("n"))
