@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from prospect.operators.features import encoding_stages, feature_count
+from prospect.session import checkpoint_root
 from prospect.spec import TableSpec
 
 # The classifier settings of the original notebooks.
@@ -85,6 +86,8 @@ class Trainer:
     """Fit encoders once on training rows, then any number of classifiers on the cached features."""
 
     def __init__(self, train: DataFrame, spec: TableSpec, handle_invalid: str = "keep", scale: bool = False):
+        # Iterative learners cut their lineage every few iterations into the shared folder.
+        checkpoint_root(train.sparkSession)
         stages = encoding_stages(spec, handle_invalid=handle_invalid)
         if scale:
             stages.append(StandardScaler(inputCol="features", outputCol="scaled", withMean=False, withStd=True))

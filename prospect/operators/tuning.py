@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from prospect.operators.features import encoding_stages
 from prospect.operators.models import make_classifier
 from prospect.operators.sampling import fold_index
+from prospect.session import checkpoint_root
 from prospect.spec import TableSpec
 
 
@@ -64,6 +65,7 @@ def cross_validate(train: DataFrame, spec: TableSpec, name: str, grid: dict[str,
 
     The encoders are refitted inside every fold, so no fold sees statistics of its own test part.
     """
+    checkpoint_root(train.sparkSession)
     clf = make_classifier(name, **params)
     est = Pipeline(stages=[*encoding_stages(spec), clf])
     maps = param_grid(clf, grid)
@@ -131,6 +133,7 @@ def sweep(train_x: DataFrame, holdout_x: DataFrame, rates: list[float], trees: l
     """H4/H5: GBT over learning rates x tree counts; one fit per rate (at the largest count),
     tree counts from prefixes; fits run concurrently. ``(rate, trees, accuracy, recall, precision)``."""
     top = max(trees)
+    checkpoint_root(train_x.sparkSession)
 
     def one(rate):
         m = make_classifier("gbt", features=features, maxIter=top, stepSize=rate, maxDepth=max_depth,
