@@ -141,3 +141,13 @@ def save(model: PipelineModel, path: str) -> None:
 def load(path: str) -> PipelineModel:
     """Load a fitted pipeline."""
     return PipelineModel.load(path)
+
+
+def load_classifier(path: str):
+    """Load a lone fitted classifier with its *model* class, read from the saved metadata
+    (the original loaded the estimator class, whose result cannot ``transform``)."""
+    from pyspark import SparkContext
+    from pyspark.ml import classification as C
+    from pyspark.ml.util import DefaultParamsReader
+    meta = DefaultParamsReader.loadMetadata(path, SparkContext.getOrCreate())
+    return getattr(C, meta["class"].rsplit(".", 1)[-1]).load(path)

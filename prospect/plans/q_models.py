@@ -8,7 +8,7 @@ probabilities equal the per-category rates, which SQL computes exactly.
 from __future__ import annotations
 
 import numpy as np
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import OneHotEncoder, StringIndexer
 from pyspark.ml.functions import vector_to_array
@@ -81,6 +81,20 @@ def q_score_batch(spark, d):
     return MD.score(cts(spark, d), model, "contact_id")
 
 
+@register("score_lone_model")
+def q_score_lone_model(spark, d):
+    """A9 + A15: the fitted classifier saved on its own, loaded with its model class, applied to
+    the features of the saved encoder stages; test rows scored."""
+    p = _parts(spark, d)
+    model = MD.train_pipeline(p["train"], CONTACTS, "gbt", maxIter=20)
+    path = scratch_path(spark, "lone-classifier")
+    model.stages[-1].write().overwrite().save(path)
+    clf = MD.load_classifier(path)
+    feats = PipelineModel(stages=model.stages[:-1]).transform(p["test"])
+    out = clf.transform(feats)
+    return out.select("contact_id", "label", "prediction", vector_to_array("probability")[1].alias("p1"))
+
+
 @register("model_comparison")
 def q_model_comparison(spark, d):
     """Every classifier on the same split and cached features; one report row each."""

@@ -77,3 +77,15 @@ def test_stream_scoring_equals_batch(spark, small_dir):
     got = _preds(spark.read.parquet(sink))
     assert got == _preds(MD.score(c, model, "contact_id"))
     assert len(got) == c.count()
+
+
+def test_lone_classifier_scores_like_the_pipeline(spark, small_dir):
+    from pyspark.ml import PipelineModel
+    p = _split(spark, small_dir)
+    model = MD.train_pipeline(p["train"], CONTACTS, "gbt", maxIter=5)
+    path = scratch_path(spark, "lone")
+    model.stages[-1].write().overwrite().save(path)
+    clf = MD.load_classifier(path)
+    out = clf.transform(PipelineModel(stages=model.stages[:-1]).transform(p["test"]))
+    got = _preds(out.select("contact_id", "prediction", vector_to_array("probability")[1].alias("p1")))
+    assert got == _preds(MD.score(p["test"], model, "contact_id"))
