@@ -6,6 +6,9 @@ split points, computed by one aggregate), per-range totals give each range an of
 at most ``n_buckets`` rows), and the running sum inside each range is a window partitioned by the
 range. Results are exact; only the range boundaries are approximate, which changes the balance
 of the tasks, never the sums.
+
+The same offset idea gives dense ids (``dense_index``: hash buckets + bucket offsets) and a
+per-key row number / lag that a hot key cannot concentrate in one task (``keyed_sequence``).
 """
 
 from __future__ import annotations
