@@ -229,13 +229,27 @@ def pearson_matrix(df: DataFrame, cols: list[str], digits: int = 6) -> DataFrame
 MAX_QUANTILE_ROWS = 100_000
 
 
+def _edges(probs: list[float], accuracy: int) -> list[float]:
+    eps = 2.0 / accuracy
+    return [max(0.0, p - eps) for p in probs] + [min(1.0, p + eps) for p in probs]
+
+
+def quantile_sketch(value: str, probs: list[float], accuracy: int = 100_000) -> list[Column]:
+    """The aggregate columns ``exact_quantiles`` needs per key (``n, mn, mx, qs``), so a caller can
+    compute them inside its own aggregate pass and hand the rows over as ``sketch``."""
+    v = F.col(value).cast("double")
+    return [F.count(v).alias("n"), F.min(v).alias("mn"), F.max(v).alias("mx"),
+            F.percentile_approx(v, _edges([float(p) for p in probs], accuracy), accuracy).alias("qs")]
+
+
 def exact_quantiles(long: DataFrame, key: str, value: str, probs: list[float],
-                    accuracy: int = 100_000) -> DataFrame:
+                    accuracy: int = 100_000, sketch: list | None = None) -> DataFrame:
     """Exact linear-interpolated quantiles per key, without holding a key's values in one task.
 
-    1. One pass builds a mergeable ``percentile_approx`` sketch per key. Its answer for
-       ``p -/+ 2 / accuracy`` brackets the exact ranks ``floor(p(n-1))`` and ``ceil(p(n-1))``:
-       the sketch's rank error is at most ``n / accuracy``.
+    1. One pass builds a mergeable ``percentile_approx`` sketch per key (or ``sketch`` rows from
+       ``quantile_sketch`` computed by the caller). Its answer for ``p -/+ 2 / accuracy``
+       brackets the exact ranks ``floor(p(n-1))`` and ``ceil(p(n-1))``: the sketch's rank error
+       is at most ``n / accuracy``.
     2. One counting pass gives, per (key, p), the rows below the bracket and inside it.
     3. Only rows inside the bracket (about ``4 n / accuracy``) are reduced to distinct values with
        counts, so a hot value is one row, and a running count inside the bracket finds the two
@@ -244,11 +258,18 @@ def exact_quantiles(long: DataFrame, key: str, value: str, probs: list[float],
     answer is exact either way. Returns ``(key, p, q)``.
     """
     v = long.where(F.col(value).isNotNull()).select(key, F.col(value).cast("double").alias("_v"))
-    eps = 2.0 / accuracy
     probs = [float(p) for p in probs]
-    edges = [max(0.0, p - eps) for p in probs] + [min(1.0, p + eps) for p in probs]
-    sk = v.groupBy(key).agg(F.count(F.lit(1)).alias("n"), F.min("_v").alias("mn"), F.max("_v").alias("mx"),
-                            F.percentile_approx("_v", edges, accuracy).alias("qs"))
+    spark = long.sparkSession
+    key_type = long.schema[key].dataType.simpleString()
+    if sketch is None:
+        # One row per key (keys are features or classes here): a bounded list.
+        sketch = long.groupBy(key).agg(*quantile_sketch(value, probs, accuracy)).where(F.col("n") > 0) \
+            .limit(MAX_QUANTILE_ROWS + 1).collect()
+    sketch = [r for r in sketch if r["n"]]
+    if len(sketch) * len(probs) > MAX_QUANTILE_ROWS:
+        raise ValueError(f"more than {MAX_QUANTILE_ROWS} (key, p) pairs")
+    sk = spark.createDataFrame([(r[key], r["n"], r["mn"], r["mx"], [float(x) for x in r["qs"]]) for r in sketch],
+                               f"`{key}` {key_type}, n bigint, mn double, mx double, qs array<double>")
     k = len(probs)
     t = sk.select(key, "n", "mn", "mx", F.explode(F.array(*[
         F.struct(F.lit(p).alias("p"), F.col("qs")[i].alias("lo"), F.col("qs")[k + i].alias("hi"))
@@ -256,13 +277,8 @@ def exact_quantiles(long: DataFrame, key: str, value: str, probs: list[float],
     pos = F.col("p") * (F.col("n") - 1)
     t = t.select(key, "p", "mn", "mx", "lo", "hi", pos.alias("pos"),
                  F.floor(pos).cast("bigint").alias("r_lo"), F.ceil(pos).cast("bigint").alias("r_hi"))
-    # The brackets have #keys x #probs rows (keys are features or classes here): materialised once
-    # and broadcast, so the rows are never shuffled by key (one task per feature).
-    spark = long.sparkSession
-    t_rows = t.limit(MAX_QUANTILE_ROWS + 1).collect()
-    if len(t_rows) > MAX_QUANTILE_ROWS:
-        raise ValueError(f"more than {MAX_QUANTILE_ROWS} (key, p) pairs")
-    t = spark.createDataFrame(t_rows, t.schema)
+    # The brackets are a small local frame (#keys x #probs rows), always broadcast, so the rows are
+    # never shuffled by key (that would be one task per feature).
 
     def answer(t: DataFrame) -> DataFrame:
         # One aggregate: rows below the bracket collapse to one NULL-valued row per (key, p), rows
@@ -291,7 +307,6 @@ def exact_quantiles(long: DataFrame, key: str, value: str, probs: list[float],
     # The answer is computed once, checked, and handed back as a small frame instead of being
     # recomputed by the caller.
     rows = first.collect()  # as many rows as the brackets: bounded above
-    key_type = long.schema[key].dataType.simpleString()
     schema = f"`{key}` {key_type}, p double, q double"
     good = spark.createDataFrame([(r[key], r["p"], r["q"]) for r in rows if r["ok"]], schema)
     missed = [(r[key], r["p"]) for r in rows if not r["ok"]]
@@ -302,26 +317,32 @@ def exact_quantiles(long: DataFrame, key: str, value: str, probs: list[float],
     return good.unionByName(answer(redo).select(key, "p", "q"))
 
 
-def profile_numeric(df: DataFrame, cols: list[str], probs=(0.25, 0.5, 0.75), digits: int = 6) -> DataFrame:
-    """Per numeric column: count, NULLs, distinct, mean, std, min, quartiles, max, zeros."""
+def profile_numeric(df: DataFrame, cols: list[str], probs=(0.25, 0.5, 0.75), digits: int = 6,
+                    accuracy: int = 100_000) -> DataFrame:
+    """Per numeric column: count, NULLs, distinct, mean, std, min, quartiles, max, zeros.
+
+    Two passes over the rows: one aggregate gives the moments, the exact distinct count (Spark
+    plans it with ``Expand`` in the same scan) and the quantile sketch; ``exact_quantiles`` then
+    reads the rows once more. The result has one row per column.
+    """
+    probs = [float(p) for p in probs]
     long = _long(df, cols, "double")
-    base = long.groupBy("feature").agg(
-        F.count("value").alias("n"),
+    stats = long.groupBy("feature").agg(
         F.count_if(F.col("value").isNull()).alias("n_null"),
         F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"), F.max("value").alias("max"),
-        F.count_if(F.col("value") == 0).alias("n_zero"))
-    distinct = long.where(F.col("value").isNotNull()).groupBy("feature", "value").agg(F.lit(1).alias("o")) \
-        .groupBy("feature").agg(F.count(F.lit(1)).alias("n_distinct"))
-    q = exact_quantiles(long, "feature", "value", list(probs))
-    qw = q.groupBy("feature").pivot("p", [float(p) for p in probs]).agg(F.first("q"))
-    names = {float(p): f"p{int(round(p * 100))}" for p in probs}
-    qw = qw.select("feature", *[F.round(F.col(f"`{p}`"), digits).alias(names[float(p)]) for p in probs])
-    return base.join(distinct, "feature", "left").join(qw, "feature", "left").select(
-        "feature", "n", "n_null", F.coalesce("n_distinct", F.lit(0)).alias("n_distinct"),
-        F.round("mean", digits).alias("mean"), F.round("std", digits).alias("std"),
-        F.round("min", digits).alias("min"), *[names[float(p)] for p in probs],
-        F.round("max", digits).alias("max"), "n_zero")
+        F.count_if(F.col("value") == 0).alias("n_zero"),
+        F.count_distinct("value").alias("n_distinct"),
+        *quantile_sketch("value", probs, accuracy)).collect()  # one row per column
+    q = {(r["feature"], r["p"]): r["q"]
+         for r in exact_quantiles(long, "feature", "value", probs, accuracy, sketch=stats).collect()}
+    names = [f"p{int(round(p * 100))}" for p in probs]
+    rows = [(r["feature"], r["n"], r["n_null"], r["n_distinct"], r["mean"], r["std"], r["mn"],
+             *[q.get((r["feature"], p)) for p in probs], r["mx"], r["n_zero"]) for r in stats]
+    schema = ("feature string, n bigint, n_null bigint, n_distinct bigint, mean double, std double, min double, "
+              + ", ".join(f"{n} double" for n in names) + ", max double, n_zero bigint")
+    out = df.sparkSession.createDataFrame(rows, schema)
+    return out.select("feature", "n", "n_null", "n_distinct",
+                      *[F.round(c, digits).alias(c) for c in ("mean", "std", "min", *names, "max")], "n_zero")
 
 
 def profile_categorical(df: DataFrame, cols: list[str]) -> DataFrame:
