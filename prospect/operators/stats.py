@@ -321,9 +321,9 @@ def profile_numeric(df: DataFrame, cols: list[str], probs=(0.25, 0.5, 0.75), dig
                     accuracy: int = 100_000) -> DataFrame:
     """Per numeric column: count, NULLs, distinct, mean, std, min, quartiles, max, zeros.
 
-    Two passes over the rows: one aggregate gives the moments, the exact distinct count (Spark
-    plans it with ``Expand`` in the same scan) and the quantile sketch; ``exact_quantiles`` then
-    reads the rows once more. The result has one row per column.
+    Three passes over the rows: one aggregate gives the moments and the quantile sketch, one the
+    exact distinct counts, and ``exact_quantiles`` reads the rows once more. The result has one
+    row per column.
     """
     probs = [float(p) for p in probs]
     long = _long(df, cols, "double")
@@ -331,12 +331,16 @@ def profile_numeric(df: DataFrame, cols: list[str], probs=(0.25, 0.5, 0.75), dig
         F.count_if(F.col("value").isNull()).alias("n_null"),
         F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
         F.count_if(F.col("value") == 0).alias("n_zero"),
-        F.count_distinct("value").alias("n_distinct"),
         *quantile_sketch("value", probs, accuracy)).collect()  # one row per column
+    # Distinct values in their own aggregate: next to a distinct aggregate Spark would evaluate
+    # the sketch per (column, value) group.
+    distinct = {r["feature"]: r["n_distinct"] for r in long.where(F.col("value").isNotNull())
+                .select("feature", "value").distinct().groupBy("feature")
+                .agg(F.count(F.lit(1)).alias("n_distinct")).collect()}
     q = {(r["feature"], r["p"]): r["q"]
          for r in exact_quantiles(long, "feature", "value", probs, accuracy, sketch=stats).collect()}
     names = [f"p{int(round(p * 100))}" for p in probs]
-    rows = [(r["feature"], r["n"], r["n_null"], r["n_distinct"], r["mean"], r["std"], r["mn"],
+    rows = [(r["feature"], r["n"], r["n_null"], distinct.get(r["feature"], 0), r["mean"], r["std"], r["mn"],
              *[q.get((r["feature"], p)) for p in probs], r["mx"], r["n_zero"]) for r in stats]
     schema = ("feature string, n bigint, n_null bigint, n_distinct bigint, mean double, std double, min double, "
               + ", ".join(f"{n} double" for n in names) + ", max double, n_zero bigint")
