@@ -6,12 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from prospect.llm import langid, secrets, sentencepiece_codec, simhash
+from prospect.llm import langid, repair_ids, secrets, sentencepiece_codec, simhash, spotsigs
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_language": langid.op2_language,
     "op3_simhash": simhash.op3_simhash,
     "op6_sentencepiece": sentencepiece_codec.op6_sentencepiece,
+    "op7_spot_signatures": spotsigs.op7_spot_signatures,
+    "op8_repair_ids": repair_ids.op8_repair_ids,
     "op10_secret_scan": secrets.op10_secret_scan,
 }
 
