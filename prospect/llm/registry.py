@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from prospect.llm import langid, repair_ids, secrets, sentencepiece_codec, simhash, spotsigs
+from prospect.llm import anchors, langid, repair_ids, secrets, sentencepiece_codec, simhash, spotsigs
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_language": langid.op2_language,
     "op3_simhash": simhash.op3_simhash,
+    "op5_anchor_dedup": anchors.op5_anchor_dedup,
     "op6_sentencepiece": sentencepiece_codec.op6_sentencepiece,
     "op7_spot_signatures": spotsigs.op7_spot_signatures,
     "op8_repair_ids": repair_ids.op8_repair_ids,
