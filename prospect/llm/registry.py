@@ -6,16 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from prospect.llm import anchors, langid, repair_ids, secrets, sentencepiece_codec, simhash, spotsigs
+from prospect.llm import anchors, langid, mixing, repair_ids, secrets, sentencepiece_codec, simhash, spotsigs, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_language": langid.op2_language,
     "op3_simhash": simhash.op3_simhash,
+    "op4_temperature_mix": mixing.op4_temperature_mix,
     "op5_anchor_dedup": anchors.op5_anchor_dedup,
     "op6_sentencepiece": sentencepiece_codec.op6_sentencepiece,
     "op7_spot_signatures": spotsigs.op7_spot_signatures,
     "op8_repair_ids": repair_ids.op8_repair_ids,
+    "op9_url_filter": url_filter.op9_url_filter,
     "op10_secret_scan": secrets.op10_secret_scan,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op4_temperature_mix": mixing.ORACLE_SQL}
