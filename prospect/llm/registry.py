@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from prospect.llm import anchors, langid, mixing, repair_ids, secrets, sentencepiece_codec, simhash, spotsigs, url_filter
+from prospect.llm import anchors, flat_graph, langid, mixing, repair_ids, secret_scan, sentencepiece_codec, simhash, spotsigs, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_flat_graph": flat_graph.op1_flat_graph,
     "op2_language": langid.op2_language,
     "op3_simhash": simhash.op3_simhash,
     "op4_temperature_mix": mixing.op4_temperature_mix,
@@ -17,7 +18,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_spot_signatures": spotsigs.op7_spot_signatures,
     "op8_repair_ids": repair_ids.op8_repair_ids,
     "op9_url_filter": url_filter.op9_url_filter,
-    "op10_secret_scan": secrets.op10_secret_scan,
+    "op10_secret_scan": secret_scan.op10_secret_scan,
 }
 
 ORACLE_SQL: dict[str, str] = {"op4_temperature_mix": mixing.ORACLE_SQL}
