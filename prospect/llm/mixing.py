@@ -56,6 +56,8 @@ def exponent(shares: DataFrame, entropy: float | None, most_copies: float | None
             rows = grid.groupBy("k").agg(F.max("a").alias("a"), F.sum(pa).alias("z"), F.sum(pa * F.log("p")).alias("s"),
                                          F.max(pa / F.col("n")).alias("c")).collect()
             ok = {r["k"]: test(r) for r in rows}
+            if good_low and ok[STEPS] and hi == 1.0:
+                return 1.0
             if good_low:  # true up to some point
                 k = max([0, *(k for k in range(STEPS) if ok[k])])
             else:  # true from some point on
@@ -65,7 +67,7 @@ def exponent(shares: DataFrame, entropy: float | None, most_copies: float | None
 
     def rich(r) -> bool:
         from math import log
-        return log(r["z"]) - r["a"] * r["s"] / r["z"] >= entropy
+        return log(r["z"]) - r["a"] * r["s"] / r["z"] >= entropy - 1e-12
 
     def within(r) -> bool:
         return budget * r["c"] / r["z"] <= most_copies
@@ -110,7 +112,7 @@ def mix(df: DataFrame, id_col: str, text_col: str, source_col: str, towards_equa
     rows = written(rows, "mix-tokens")
     weights = written(source_weights(rows, towards_equal, entropy, most_copies, budget), "mix-weights")
     per = weights.select(F.col("source").alias("src"), "n", "target",
-                         F.floor(F.col("target") / F.col("n")).cast("long").alias("whole"),
+                         F.floor(F.col("target") / F.col("n") + 1e-9).cast("long").alias("whole"),
                          F.ceil(F.col("n") / F.lit(block_tokens)).cast("long").alias("blocks"))
     place = hash_order(seed, F.col("id"), F.col("h"))
     dealt = (rows.join(per, F.col("source").eqNullSafe(F.col("src")))
@@ -155,7 +157,7 @@ rich AS (
   SELECT 0 AS step, 0.0::DOUBLE AS lo, 1.0::DOUBLE AS hi
   UNION ALL
   SELECT step + 1, CASE WHEN ok THEN mid ELSE lo END, CASE WHEN ok THEN hi ELSE mid END
-  FROM (SELECT step, lo, hi, mid, ln(sum(pow(p, mid))) - mid * sum(pow(p, mid) * ln(p)) / sum(pow(p, mid)) >= max(entropy) AS ok
+  FROM (SELECT step, lo, hi, mid, ln(sum(pow(p, mid))) - mid * sum(pow(p, mid) * ln(p)) / sum(pow(p, mid)) >= max(entropy) - 1e-12 AS ok
         FROM (SELECT *, (lo + hi) / 2 AS mid FROM rich WHERE step < 42), shares, aim GROUP BY step, lo, hi, mid)),
 first AS (SELECT CASE WHEN (SELECT k FROM tot) > 1 THEN max(lo) ELSE 1.0 END AS a FROM rich WHERE step = 42),
 spare AS (
@@ -167,7 +169,7 @@ spare AS (
 expo AS (SELECT CASE WHEN max(total) * max(pow(p, a) / n) / sum(pow(p, a)) > 4.0 AND max(k) > 1
                      THEN (SELECT max(hi) FROM spare WHERE step = 42) ELSE max(a) END AS a FROM shares, tot, first),
 norm AS (SELECT max(a) AS a, sum(pow(p, a)) AS z FROM shares, expo),
-per AS (SELECT source AS src, n, pow(p, a) / z * total AS target, floor(pow(p, a) / z * total / n)::BIGINT AS whole,
+per AS (SELECT source AS src, n, pow(p, a) / z * total AS target, floor(pow(p, a) / z * total / n + 1e-9)::BIGINT AS whole,
                ceil(n / 50000.0)::BIGINT AS blocks FROM shares, norm, tot),
 dealt AS (SELECT doc_id, h, source, tokens, whole, target - whole * n AS rest, md5('17:' || coalesce(doc_id::VARCHAR, '') || ':' || h) AS place,
                  ('0x' || substr(md5('17:' || coalesce(doc_id::VARCHAR, '') || ':' || h), 1, 12))::BIGINT % blocks AS block

@@ -132,6 +132,7 @@ def with_next(docs: DataFrame) -> tuple[DataFrame, int]:
     """
     n = default_buckets(docs)
     rows = add_range_bucket(docs.select("id", "text", F.xxhash64("text", F.lit(1)).alias("h")), "id", n)
+    rows = rows.withColumn(BUCKET, F.coalesce(BUCKET, F.lit(float("inf"))))  # null ids: a part of their own, the last
     key = F.struct(F.col("id").isNull().alias("none"), "id", "h")
     firsts = rows.groupBy(BUCKET).agg(F.min(key).alias("first")).collect()
     parts = sorted((r[BUCKET], r["first"]) for r in firsts)
