@@ -22,7 +22,7 @@ BUCKET = "_range_bucket"
 
 def default_buckets(df: DataFrame) -> int:
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(4, min(4096, 4 * n))
+    return max(4, 4 * n)
 
 
 def add_range_bucket(df: DataFrame, col: str, n_buckets: int | None = None,
@@ -54,11 +54,11 @@ def running_sums(df: DataFrame, order_col: str, sum_cols: list[str], descending:
     totals = b.groupBy(BUCKET).agg(*[F.sum(c).alias(f"_t_{c}") for c in sum_cols])
     # At most n_buckets rows: a global window here is bounded by construction.
     wt = Window.orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(BUCKET, *[F.coalesce(F.sum(f"_t_{c}").over(wt), F.lit(0)).alias(f"_o_{c}")
-                                      for c in sum_cols])
+    offsets = totals.select(F.col(BUCKET).alias("_ob"), *[F.coalesce(F.sum(f"_t_{c}").over(wt), F.lit(0)).alias(f"_o_{c}")
+                                                          for c in sum_cols])
     order = F.col(order_col).desc() if descending else F.col(order_col).asc()
     w = Window.partitionBy(BUCKET).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    out = b.join(F.broadcast(offsets), BUCKET)
+    out = b.join(F.broadcast(offsets), F.col(BUCKET).eqNullSafe(F.col("_ob")))  # a NULL is a range of its own
     return out.select(
         *[c for c in df.columns],
         *[(F.sum(c).over(w) + F.col(f"_o_{c}")).alias(f"{prefix}{c}") for c in sum_cols])

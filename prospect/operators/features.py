@@ -3,7 +3,8 @@
 One multi-column ``StringIndexer`` (a single counting pass for all categoricals, labels bounded
 by category cardinality), one multi-column ``OneHotEncoder``, mean ``Imputer`` for numerics that
 can be missing, and ``VectorAssembler`` with one-hot blocks first, numerics last. The label is
-an explicit map (no -> 0, yes -> 1) in a ``SQLTransformer`` so rebalancing can never flip it.
+an explicit map (no -> 0, yes -> 1) made before the stages, so rebalancing can never flip it and a
+saved pipeline scores rows that have none.
 Every stage is fitted on training rows only and saved with the model.
 
 ``handle_invalid="keep"`` (the default for training) reserves the all-zero one-hot vector for
@@ -13,8 +14,8 @@ original layout where ``dropLast`` removes the last seen category (n - 1 slots p
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import Imputer, OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
+from pyspark.ml import Pipeline
+from pyspark.ml.feature import Imputer, OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -22,18 +23,17 @@ from pyspark.sql import functions as F
 from prospect.spec import TableSpec
 
 
-def label_stage(spec: TableSpec, out: str = "label") -> SQLTransformer:
-    """Explicit label map as a pipeline stage; rows with another value get NULL."""
-    return SQLTransformer(statement=(
-        f"SELECT *, CASE WHEN `{spec.label}` = '{spec.positive}' THEN 1.0 "
-        f"WHEN `{spec.label}` = '{spec.negative}' THEN 0.0 END AS {out} FROM __THIS__"))
+def labelled(df: DataFrame, spec: TableSpec, out: str = "label") -> DataFrame:
+    """The label as a double (1.0 positive, 0.0 negative, NULL for another value)."""
+    y = F.col(f"`{spec.label}`")
+    return df.withColumn(out, F.when(y == F.lit(spec.positive), F.lit(1.0)).when(y == F.lit(spec.negative), F.lit(0.0)))
 
 
 def encoding_stages(spec: TableSpec, drop_last: bool = True, handle_invalid: str = "keep",
-                    impute: bool = True, with_label: bool = True) -> list:
+                    impute: bool = True) -> list:
     cats = list(spec.categorical)
     nums = list(spec.numeric)
-    stages = [label_stage(spec)] if with_label else []
+    stages = []
     num_cols = nums
     if impute and nums:
         num_cols = [f"{c}_imp" for c in nums]
@@ -64,7 +64,3 @@ def vector_long(df: DataFrame, id_col: str, vec: str, nonzero: bool = True) -> D
     e = df.select(id_col, F.posexplode(vector_to_array(F.col(vec))).alias("slot", "value"))
     return e.where(F.col("value") != 0) if nonzero else e
 
-
-def index_labels(model: PipelineModel | object) -> dict:
-    """``{input column: labels in index order}`` of a fitted multi-column StringIndexer."""
-    return dict(zip(model.getInputCols(), model.labelsArray))

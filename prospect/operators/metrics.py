@@ -81,7 +81,13 @@ def classification_report(df: DataFrame, label: str = "label", prediction: str =
 
 
 def _score_counts(df: DataFrame, label: str, score: str) -> DataFrame:
-    """One row per distinct score with its positive and negative counts."""
+    """One row per distinct score with its positive and negative counts.
+
+    Rows whose score is NULL or NaN, or whose label is NULL, have no place in a ranking and are left
+    out together with their label, as if the table did not hold them.
+    """
+    s = F.col(score).cast("double")
+    df = df.where(s.isNotNull() & ~F.isnan(s) & F.col(label).isNotNull())
     return df.groupBy(F.col(score).alias("score")).agg(
         F.count_if(F.col(label) == 1).alias("pos"),
         F.count_if(F.col(label) != 1).alias("neg"),

@@ -2,9 +2,11 @@
 
 Training fits the encoding stages on the training rows, then persists only the narrow
 ``(label, features)`` frame that the iterative learners read many times, so the scan, joins and
-windows upstream run once per fit instead of once per iteration. The fitted feature stages and
-the classifier are saved together as one ``PipelineModel``, which scores new rows as a single
-narrow projection (no shuffle).
+windows upstream run once per fit instead of once per iteration. The rows are hash-partitioned by
+their id into a stated number of partitions and sorted inside them, so a fit depends on the rows and
+that number, not on the input's layout or the cluster. The fitted feature stages and the classifier
+are saved together as one ``PipelineModel`` without the label, which scores new rows, labelled or
+not, as a single narrow projection (no shuffle).
 """
 
 from __future__ import annotations
@@ -18,9 +20,9 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from prospect.operators.features import encoding_stages, feature_count
+from prospect.operators.features import encoding_stages, feature_count, labelled
 from prospect.session import checkpoint_root
-from prospect.spec import TableSpec
+from prospect.spec import CONTACTS, TableSpec
 
 # The classifier settings of the original notebooks.
 REFERENCE_PARAMS = {
@@ -55,51 +57,34 @@ def make_classifier(name: str, n_features: int | None = None, features: str = "f
     raise ValueError(name)
 
 
-# Partition sizing of the cached training frame. Iterative learners run a few jobs per
-# iteration over it: too few partitions leave cores idle, too many small ones make the task
-# overhead, not the data, set the time.
-ROWS_PER_PARTITION = 250_000
-MIN_ROWS_PER_PARTITION = 25_000
-
-
-def _cached_by_size(x: DataFrame) -> DataFrame:
-    """Persist ``x`` with at most ``ROWS_PER_PARTITION`` rows per partition, and at least as many
-    partitions as the cluster runs at once while each keeps ``MIN_ROWS_PER_PARTITION`` rows.
-
-    The row count comes with materialising the cache; a different layout is then made from the
-    cached rows (narrow ``coalesce`` to shrink, round-robin ``repartition`` to grow).
-    """
-    x = x.persist(StorageLevel.MEMORY_AND_DISK)
-    n = x.count()
-    slots = x.sparkSession.sparkContext.defaultParallelism
-    want = max(1, -(-n // ROWS_PER_PARTITION), min(slots, n // MIN_ROWS_PER_PARTITION))
-    have = x.rdd.getNumPartitions()
-    if want != have:
-        y = (x.coalesce(want) if want < have else x.repartition(want)).persist(StorageLevel.MEMORY_AND_DISK)
-        y.count()
-        x.unpersist()
-        x = y
-    return x
+# Partitions of a training frame: a parameter of the fit, like a seed. Split candidates are sampled
+# per partition, so another number may give slightly other trees; the rows' order and the number of
+# cores don't. Larger data take a larger number.
+TRAIN_PARTITIONS = 8
 
 
 class Trainer:
     """Fit encoders once on training rows, then any number of classifiers on the cached features."""
 
-    def __init__(self, train: DataFrame, spec: TableSpec, handle_invalid: str = "keep", scale: bool = False):
+    def __init__(self, train: DataFrame, spec: TableSpec, handle_invalid: str = "keep", scale: bool = False,
+                 partitions: int = TRAIN_PARTITIONS):
         # Iterative learners cut their lineage every few iterations into the shared folder.
         checkpoint_root(train.sparkSession)
+        self.spec = spec
         stages = encoding_stages(spec, handle_invalid=handle_invalid)
         if scale:
             stages.append(StandardScaler(inputCol="features", outputCol="scaled", withMean=False, withStd=True))
-        # The encoder fits (imputer means, category counts) and the transform each read the
-        # training rows: keep the narrow input once instead of recomputing its joins per pass.
-        keep = [c for c in (spec.label, *spec.categorical, *spec.numeric) if c in train.columns]
-        rows = train.select(*keep).persist(StorageLevel.MEMORY_AND_DISK)
+        # The encoder fits (imputer means, category counts) and the learners read these rows again
+        # and again: keep the narrow input once, in its fixed layout, instead of its joins per pass.
+        keep = [c for c in (spec.id, *spec.categorical, *spec.numeric) if c in train.columns]
+        rows = labelled(train, spec).where(F.col("label").isNotNull()).select("label", *keep)
+        rows = rows.repartition(partitions, spec.id).sortWithinPartitions(*rows.columns).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             self.features_model = Pipeline(stages=stages).fit(rows)
-            x = self.features_model.transform(rows).where(F.col("label").isNotNull())
+            x = self.features_model.transform(rows)
             self.features_col = "scaled" if scale else "features"
-            self.x = _cached_by_size(x.select("label", self.features_col))
+            self.x = x.select("label", self.features_col).persist(StorageLevel.MEMORY_AND_DISK)
+            self.x.count()
             self.n_features = feature_count(x, "features")
         finally:
             rows.unpersist()
@@ -113,24 +98,32 @@ class Trainer:
         self.x.unpersist()
 
 
-def train_pipeline(train: DataFrame, spec: TableSpec, name: str = "gbt", **params) -> PipelineModel:
+def train_pipeline(train: DataFrame, spec: TableSpec, name: str = "gbt", partitions: int = TRAIN_PARTITIONS,
+                   **params) -> PipelineModel:
     """Encoding stages + classifier fitted on ``train`` as one saved-able model."""
-    t = Trainer(train, spec, scale=(name == "mlp"))
+    t = Trainer(train, spec, scale=(name == "mlp"), partitions=partitions)
     try:
         return t.fit(name, **params)
     finally:
         t.close()
 
 
-def score(df: DataFrame, model: PipelineModel, id_col: str | None = None) -> DataFrame:
-    """``(id, label, prediction, p1)``; ``p1`` is the class-1 probability (raw margin for SVM)."""
-    out = model.transform(df)
+def unfitted_pipeline(spec: TableSpec, name: str = "gbt", **params) -> Pipeline:
+    """The whole estimator (encoding and classifier) before any fit, to be saved and fitted
+    elsewhere on rows that ``labelled`` has given a label."""
+    return Pipeline(stages=[*encoding_stages(spec), make_classifier(name, **params)])
+
+
+def score(df: DataFrame, model: PipelineModel, id_col: str | None = None, spec: TableSpec = CONTACTS) -> DataFrame:
+    """``(id, label, prediction, p1)``; ``p1`` is the class-1 probability (raw margin for SVM).
+    Rows of a table without the label column are scored all the same and have no ``label``."""
+    out = model.transform(labelled(df, spec) if spec.label in df.columns else df)
     if "probability" in out.columns:
         p1 = vector_to_array("probability")[1]
     else:
         p1 = vector_to_array("rawPrediction")[1]
-    keep = [id_col] if id_col else []
-    return out.select(*keep, "label", "prediction", p1.alias("p1"))
+    keep = [c for c in (id_col, "label") if c and c in out.columns]
+    return out.select(*keep, "prediction", p1.alias("p1"))
 
 
 def save(model: PipelineModel, path: str) -> None:

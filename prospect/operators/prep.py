@@ -21,11 +21,6 @@ def sanitize_columns(df: DataFrame, old: str = ".", new: str = "_") -> DataFrame
     return df.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(df.columns, names)])
 
 
-def rename_positional(df: DataFrame, names: list[str]) -> DataFrame:
-    """Name columns by position (B2)."""
-    return df.toDF(*names)
-
-
 def cast_columns(df: DataFrame, cols: list[str], to: str = "double") -> DataFrame:
     """Cast a column list in one projection (B3, B4). ``try_cast``: bad text becomes NULL, not an error."""
     return df.withColumns({c: F.col(c).try_cast(to) for c in cols})
@@ -110,3 +105,13 @@ def linspace(lo: Column, hi: Column, n: int) -> Column:
     """Array of ``n`` evenly spaced values from ``lo`` to ``hi`` inclusive (B19), built in the JVM."""
     i = F.sequence(F.lit(0), F.lit(n - 1))
     return F.transform(i, lambda k: lo + k * (hi - lo) / F.lit(n - 1))
+
+
+def columns_at(df: DataFrame, start: int, stop: int) -> DataFrame:
+    """The columns at positions ``start`` to ``stop`` (exclusive), as a slice."""
+    return df.select(*[F.col(f"`{c}`") for c in df.columns[start:stop]])
+
+
+def rows_with_null(df: DataFrame, col: str) -> DataFrame:
+    """The rows whose value is missing."""
+    return df.where(F.col(f"`{col}`").isNull())

@@ -15,8 +15,6 @@ from pyspark.sql import functions as F
 
 from prospect.spec import MONTHS, WEEKDAYS
 
-MAX_CLASSES = 1000
-
 
 def _long(df: DataFrame, cols: list[str], cast: str, keep: list[str] = ()) -> DataFrame:
     wide = df.select(*keep, *[F.col(c).cast(cast).alias(c) for c in cols])
@@ -153,18 +151,18 @@ def histogram(df: DataFrame, cols: list[str], bins: int = 30, by: str | None = N
         "feature", "lo", "hi", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin")
     ).withColumn("bin", F.col("bin").cast("bigint"))
     if by:
-        # Classes of a label: a bounded list (checked), so every (feature, class, bin) cell exists.
-        classes = [r[0] for r in df.select(by).distinct().limit(MAX_CLASSES + 1).collect()]
-        if len(classes) > MAX_CLASSES:
-            raise ValueError(f"{by} has more than {MAX_CLASSES} classes")
-        grid = grid.withColumn(by, F.explode(F.array(*[F.lit(v) for v in sorted(classes, key=repr)])))
+        # Every (feature, class, bin) cell exists: the classes meet the grid as a frame.
+        grid = grid.withColumn("_one", F.lit(1)).join(df.select(by).distinct().withColumn("_one", F.lit(1)), "_one").drop("_one")
+        cell = [grid["feature"] == counts["feature"], grid["bin"] == counts["bin"], grid[by].eqNullSafe(counts[by])]
+        out = grid.join(counts, cell, "left").select(grid["feature"], grid[by], grid["bin"], "lo", "hi", "n")
+    else:
+        out = grid.join(counts, ["feature", "bin"], "left")
     w = (F.col("hi") - F.col("lo")) / bins
-    out = grid.join(counts, ["feature", *keep, "bin"], "left").select(
+    return out.select(
         "feature", *keep, "bin",
         F.round(F.col("lo") + F.col("bin") * w, digits).alias("lo"),
         F.round(F.col("lo") + (F.col("bin") + 1) * w, digits).alias("hi"),
         F.coalesce(F.col("n"), F.lit(0)).cast("bigint").alias("n"))
-    return out
 
 
 def kde_by_class(df: DataFrame, cols: list[str], by: str, points: int = 100, digits: int = 6) -> DataFrame:

@@ -16,10 +16,11 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.ml import Pipeline
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from prospect.operators.features import encoding_stages
+from prospect.operators.features import encoding_stages, labelled
+from prospect.operators.metrics import binary_metrics
 from prospect.operators.models import make_classifier
 from prospect.operators.sampling import fold_index
 from prospect.session import checkpoint_root
@@ -34,12 +35,6 @@ def param_grid(estimator, grid: dict[str, list]) -> list:
     return b.build()
 
 
-def grid_frame(spark: SparkSession, maps: list) -> DataFrame:
-    """Grid rows as ``(candidate, params)`` with params as JSON text."""
-    rows = [(i, json.dumps({p.name: v for p, v in m.items()}, sort_keys=True)) for i, m in enumerate(maps)]
-    return spark.createDataFrame(rows, "candidate int, params string")
-
-
 def cv_plan(train: DataFrame, key: str, maps: list, folds: int = 3, fold_seed: int = 4201) -> DataFrame:
     """H1/H2 work plan: one row per (candidate, fold) with its parameters and the sizes of the fit
     and validation parts.
@@ -69,7 +64,7 @@ def cross_validate(train: DataFrame, spec: TableSpec, name: str, grid: dict[str,
     clf = make_classifier(name, **params)
     est = Pipeline(stages=[*encoding_stages(spec), clf])
     maps = param_grid(clf, grid)
-    data = train.withColumn("_fold", fold_index(spec.id, folds, fold_seed))
+    data = labelled(train, spec).withColumn("_fold", fold_index(spec.id, folds, fold_seed))
     cv = CrossValidator(estimator=est, estimatorParamMaps=maps, numFolds=folds, foldCol="_fold", seed=seed,
                         evaluator=BinaryClassificationEvaluator(numBins=0), parallelism=parallelism)
     model = cv.fit(data)
@@ -128,21 +123,33 @@ def tree_prefix_scores(model, x: DataFrame, counts: list[int], features: str = "
         F.round(F.try_divide(F.col("tp"), F.col("tp") + F.col("fp")), 6).alias("precision"))
 
 
+def holdout_metrics(model, x: DataFrame) -> dict:
+    """Accuracy, recall and precision of a fitted classifier on encoded hold-out rows."""
+    r = binary_metrics(model.transform(x), digits=6).first()
+    return {k: r[k] for k in ("accuracy", "recall", "precision")}
+
+
 def sweep(train_x: DataFrame, holdout_x: DataFrame, rates: list[float], trees: list[int], max_depth: int = 3,
           seed: int = 420, parallelism: int = 4, features: str = "features") -> DataFrame:
-    """H4/H5: GBT over learning rates x tree counts; one fit per rate (at the largest count),
-    tree counts from prefixes; fits run concurrently. ``(rate, trees, accuracy, recall, precision)``."""
+    """GBT over learning rates x tree counts; one fit per rate (at the largest count),
+    smaller counts from its prefixes, the largest from the model itself; fits and their scoring run
+    concurrently. ``(rate, trees, accuracy, recall, precision, is_best)``: a row a parameter is the
+    curve, ``is_best`` marks the highest accuracy (C23; ties: the first by rate, then trees)."""
     top = max(trees)
     checkpoint_root(train_x.sparkSession)
 
-    def one(rate):
+    def one(rate: float) -> list[tuple]:
         m = make_classifier("gbt", features=features, maxIter=top, stepSize=rate, maxDepth=max_depth,
                             seed=seed).fit(train_x)
-        return tree_prefix_scores(m, holdout_x, trees, features).withColumn("rate", F.lit(float(rate)))
+        smaller = [k for k in trees if k < top]
+        rows = [(r["trees"], r["accuracy"], r["recall"], r["precision"])
+                for r in tree_prefix_scores(m, holdout_x, smaller, features).collect()] if smaller else []
+        full = holdout_metrics(m, holdout_x)
+        return [(float(rate), int(k), *v) for k, *v in rows] + [(float(rate), top, *full.values())]
 
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as ex:
-        frames = list(ex.map(one, rates))
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out.select("rate", "trees", "accuracy", "recall", "precision")
+        rows = sorted(r for part in ex.map(one, rates) for r in part)
+    best = max(range(len(rows)), key=lambda i: (rows[i][2] if rows[i][2] is not None else -1.0, -i))
+    return train_x.sparkSession.createDataFrame(
+        [(*r, i == best) for i, r in enumerate(rows)],
+        "rate double, trees int, accuracy double, recall double, precision double, is_best boolean")

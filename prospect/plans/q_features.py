@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import StringIndexer
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from prospect.functions.hashing import hash_unit
@@ -48,13 +49,12 @@ def _onehot(spark, d, drop_last):
     c = cts(spark, d)
     # The original layout: unseen values are an error, so dropLast removes the last real category.
     stages = FE.encoding_stages(TableSpec(categorical=tuple(CATS), numeric=()), drop_last=drop_last,
-                                handle_invalid="error", impute=False, with_label=False)[:-1]
+                                handle_invalid="error", impute=False)[:-1]
     t = Pipeline(stages=stages).fit(c).transform(c)
-    parts = [FE.vector_long(t, "contact_id", f"{f}_vec").withColumn("feature", F.lit(f)) for f in CATS]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.select("contact_id", "feature", "slot", "value")
+    # One transform, one explode of (feature, vector) structs.
+    each = F.explode(F.array(*[F.struct(F.lit(f).alias("feature"), vector_to_array(f"{f}_vec").alias("v")) for f in CATS]))
+    e = t.select("contact_id", each.alias("e")).select("contact_id", "e.feature", F.posexplode("e.v").alias("slot", "value"))
+    return e.where(F.col("value") != 0)
 
 
 @register("one_hot", _onehot_sql(True))
@@ -83,7 +83,7 @@ def _assemble_sql():
 
 def _assembled(spark, d):
     c = cts(spark, d)
-    model = FE.feature_pipeline(ASM_SPEC, handle_invalid="error", impute=False, with_label=False).fit(c)
+    model = FE.feature_pipeline(ASM_SPEC, handle_invalid="error", impute=False).fit(c)
     return model.transform(c)
 
 
@@ -98,8 +98,8 @@ def q_assemble(spark, d):
 def q_feature_count(spark, d):
     t = _assembled(spark, d)
     n = FE.feature_count(t)
-    # One value read from the fitted vector's metadata, attached to the data it describes.
-    return t.limit(1).select(F.lit(n).cast("int").alias("n_features"))
+    # One value read from the fitted vector's metadata: a row of its own, whatever the table holds.
+    return spark.range(1).select(F.lit(n).cast("int").alias("n_features"))
 
 
 @register("id_index")

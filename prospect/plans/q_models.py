@@ -19,6 +19,7 @@ from prospect.operators import models as MD
 from prospect.operators import recommend as R
 from prospect.operators import sampling as SA
 from prospect.operators import tuning as TU
+from prospect.operators.features import labelled
 from prospect.plans.oracle import md5_unit, with_ctes
 from prospect.plans.q_stats import cts
 from prospect.plans.registry import register
@@ -27,13 +28,11 @@ from prospect.sources.contacts import ratings
 from prospect.sources.tables import Tables
 from prospect.spec import CONTACTS
 
+# Split and sampling weights, seed.
 SPLIT = {"train": 0.8, "test": 0.2}
 SEED = 420
 BALANCE = {"yes": 1.0, "no": 0.2}
 
-# Fitted pipelines saved by ``train_pipeline`` in this process, by input folder (A15 -> A8).
-_SAVED: dict[str, str] = {}
-
 
 def _parts(spark, d):
     return SA.split_frames(cts(spark, d), "contact_id", SPLIT, seed=SEED)
@@ -63,22 +62,20 @@ def q_model_gbt_balanced(spark, d):
 def q_train_pipeline(spark, d):
     """E7 + A14/A15: fit encoders + GBT (60 rounds, step 0.01, depth 5) on train rows, save, score test."""
     p = _parts(spark, d)
-    unfit = Pipeline(stages=[])
     path = scratch_path(spark, "pipeline-model")
-    unfit.write().overwrite().save(path + "-unfit")
+    MD.save(MD.unfitted_pipeline(CONTACTS, "gbt"), path + "-unfit")
     model = MD.train_pipeline(p["train"], CONTACTS, "gbt")
     MD.save(model, path)
-    _SAVED[d] = path
     return MD.score(p["test"], model, "contact_id")
 
 
 @register("score_batch")
 def q_score_batch(spark, d):
-    """G11 + A8: load the saved pipeline and score every contact (a narrow projection)."""
-    if d not in _SAVED:
-        q_train_pipeline(spark, d)
-    model = MD.load(_SAVED[d])
-    return MD.score(cts(spark, d), model, "contact_id")
+    """G11 + A8: fit and save a pipeline, load it, and score every contact as a new row without its
+    label (a narrow projection)."""
+    path = scratch_path(spark, "score-model")
+    MD.save(MD.train_pipeline(_parts(spark, d)["train"], CONTACTS, "gbt"), path)
+    return MD.score(cts(spark, d).drop("y"), MD.load(path), "contact_id")
 
 
 @register("score_lone_model")
@@ -86,15 +83,58 @@ def q_score_lone_model(spark, d):
     """A9 + A15: the fitted classifier saved on its own, loaded with its model class, applied to
     the features of the saved encoder stages; test rows scored."""
     p = _parts(spark, d)
-    model = MD.train_pipeline(p["train"], CONTACTS, "gbt", maxIter=20)
+    model = MD.train_pipeline(p["train"], CONTACTS, "gbt")
     path = scratch_path(spark, "lone-classifier")
     model.stages[-1].write().overwrite().save(path)
     clf = MD.load_classifier(path)
-    feats = PipelineModel(stages=model.stages[:-1]).transform(p["test"])
+    feats = PipelineModel(stages=model.stages[:-1]).transform(labelled(p["test"], CONTACTS))
     out = clf.transform(feats)
     return out.select("contact_id", "label", "prediction", vector_to_array("probability")[1].alias("p1"))
 
 
+def _same(a, b):
+    """Rows that two scorings of the same contacts share, and how many differ."""
+    j = a.select("contact_id", "prediction", F.round("p1", 9).alias("p")).join(
+        b.select("contact_id", F.col("prediction").alias("q"), F.round("p1", 9).alias("r")), "contact_id", "full")
+    same = F.col("prediction").eqNullSafe(F.col("q")) & F.col("p").eqNullSafe(F.col("r"))
+    return j.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(~same).alias("n_differ"),
+                 F.count_if(~F.coalesce(F.col("r").between(0, 1), F.lit(False))).alias("n_outside"))
+
+
+_TEST_SAME = with_ctes(f"SELECT count(*) AS n_rows, 0 AS n_differ, 0 AS n_outside FROM contacts WHERE {md5_unit('contact_id', SEED)} >= 0.8")
+
+
+@register("layout_diff", _TEST_SAME)
+def q_layout_diff(spark, d):
+    """One fit from two input layouts gives the same predictions on every test row."""
+    p = _parts(spark, d)
+    a = MD.train_pipeline(p["train"].repartition(3), CONTACTS, "gbt", maxIter=5)
+    b = MD.train_pipeline(p["train"].repartition(11, "nr_employed"), CONTACTS, "gbt", maxIter=5)
+    return _same(MD.score(p["test"], a, "contact_id"), MD.score(p["test"], b, "contact_id"))
+
+
+@register("reload_diff", _TEST_SAME)
+def q_reload_diff(spark, d):
+    """A8 + A14 + A15: a saved model, and a saved unfitted pipeline that is loaded and fitted on the
+    same rows, score like the original."""
+    p = _parts(spark, d)
+    path = scratch_path(spark, "reload")
+    model = MD.train_pipeline(p["train"], CONTACTS, "lr")
+    MD.save(model, path)
+    return _same(MD.score(p["test"], model, "contact_id"), MD.score(p["test"].drop("y"), MD.load(path), "contact_id"))
+
+
+@register("unfitted_refit", _TEST_SAME)
+def q_unfitted_refit(spark, d):
+    """The unfitted pipeline, saved, loaded and fitted twice, gives one model."""
+    p = _parts(spark, d)
+    path = scratch_path(spark, "unfitted")
+    MD.save(MD.unfitted_pipeline(CONTACTS, "dt", maxDepth=4), path)
+    rows = labelled(p["train"], CONTACTS).repartition(MD.TRAIN_PARTITIONS, "contact_id").sortWithinPartitions("contact_id")
+    fit = lambda: Pipeline.load(path).fit(rows)
+    return _same(MD.score(p["test"], fit(), "contact_id"), MD.score(p["test"], fit(), "contact_id"))
+
+
 @register("model_comparison")
 def q_model_comparison(spark, d):
     """Every classifier on the same split and cached features; one report row each."""
@@ -165,11 +205,15 @@ def q_cv_report(spark, d):
     return report
 
 
+# Sweeps run their fits concurrently, so each takes few partitions.
+SWEEP_PARTITIONS = 1
+
+
 def _balanced_features(spark, d):
     p = _parts(spark, d)
     bal = SA.hash_sample_by(p["train"], "contact_id", "y", BALANCE, seed=SEED + 1)
-    t = MD.Trainer(bal, CONTACTS)
-    ho = t.features_model.transform(p["test"]).select("label", "features")
+    t = MD.Trainer(bal, CONTACTS, partitions=SWEEP_PARTITIONS)
+    ho = t.features_model.transform(labelled(p["test"], CONTACTS)).select("label", "features").persist()
     return t, ho
 
 
@@ -180,9 +224,10 @@ def q_sweep_grid(spark, d):
     t, ho = _balanced_features(spark, d)
     try:
         out = TU.sweep(t.x, ho, [0.1, 0.01, 0.005, 0.001], [50, 100, 200], parallelism=4)
-        return spark.createDataFrame(out.collect(), out.schema)  # 12 rows; cached input released below
+        return out
     finally:
         t.close()
+        ho.unpersist()
 
 
 @register("sweep_trees")
@@ -192,12 +237,13 @@ def q_sweep_trees(spark, d):
     try:
         counts = sorted({int(x) for x in np.linspace(2, 100, 50)})
         out = TU.sweep(t.x, ho, [0.01], counts, parallelism=1)
-        return spark.createDataFrame(out.collect(), out.schema)
+        return out
     finally:
         t.close()
+        ho.unpersist()
 
 
-# H1 reference grid for boosting: depth x subsampling x iterations (cartesian, first key slowest).
+# The boosting grid: depth x subsampling x iterations (cartesian, first key slowest).
 GBT_GRID = {"maxDepth": [5, 15, 20, 30], "subsamplingRate": [0.75, 1.0], "maxIter": [60]}
 _GRID_VALUES = ", ".join(f"({i}, {d}, {r}, {n})" for i, (d, r, n) in enumerate(
     (d, r, n) for d in GBT_GRID["maxDepth"] for r in GBT_GRID["subsamplingRate"] for n in GBT_GRID["maxIter"]))
@@ -230,9 +276,10 @@ def q_sweep_lr(spark, d):
     try:
         rates = [float(x) for x in np.linspace(0.0001, 0.1, 50)]
         out = TU.sweep(t.x, ho, rates, [100], parallelism=8)
-        return spark.createDataFrame(out.collect(), out.schema)
+        return out
     finally:
         t.close()
+        ho.unpersist()
 
 
 @register("als_cv")

@@ -7,6 +7,8 @@ scratch folder, then read it back with the operator under test.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -189,3 +191,52 @@ def q_single_csv(spark, d):
     return back.withColumn("_file", F.input_file_name()).agg(
         *[F.max(c).alias(c) for c in ("accuracy", "precision", "recall")],
         F.count_distinct("_file").alias("n_files"))
+
+
+@register("temp_view_sql", with_ctes("SELECT marital, count(*) AS n, round(avg(nr_employed), 6) AS mean FROM contacts GROUP BY marital"))
+def q_temp_view_sql(spark, d):
+    """The contacts as a temporary view, queried by SQL text."""
+    view = f"contacts_{uuid.uuid4().hex[:8]}"
+    cts(spark, d).createOrReplaceTempView(view)
+    return spark.sql(f"SELECT marital, count(*) AS n, round(avg(nr_employed), 6) AS mean FROM {view} GROUP BY marital")
+
+
+@register("schema_listing", with_ctes("SELECT count(*) AS n_rows, 17 AS n_columns, 'contact_id:bigint' AS first_column FROM contacts"))
+def q_schema_listing(spark, d):
+    """Names and types of the table's columns, next to its size."""
+    c = cts(spark, d)
+    return c.agg(F.count(F.lit(1)).alias("n_rows"), F.lit(len(c.dtypes)).alias("n_columns"),
+                 F.lit(":".join(c.dtypes[0])).alias("first_column"))
+
+
+@register("position_slice", with_ctes("SELECT contact_id, job, marital, education FROM contacts"))
+def q_position_slice(spark, d):
+    """Columns picked by position."""
+    return P.columns_at(cts(spark, d), 0, 4)
+
+
+@register("rows_with_null", with_ctes("SELECT contact_id, campaign, pdays FROM contacts WHERE duration IS NULL"))
+def q_rows_with_null(spark, d):
+    """Rows whose value is missing."""
+    return P.rows_with_null(cts(spark, d), "duration").select("contact_id", "campaign", "pdays")
+
+
+@register("rarest_first", with_ctes(
+    "SELECT nation, n, row_number() OVER (ORDER BY n, nation) AS position FROM (SELECT nation, count(*) AS n FROM contacts GROUP BY nation)"))
+def q_rarest_first(spark, d):
+    """Categories by ascending frequency, ties by name; positions over one row a category."""
+    n = cts(spark, d).groupBy("nation").agg(F.count(F.lit(1)).alias("n"))
+    return n.select("nation", "n", F.row_number().over(Window.orderBy("n", "nation")).cast("bigint").alias("position"))
+
+
+@register("auc_missing_scores", with_ctes(
+    "SELECT round((sum(CASE WHEN label = 1 THEN r END) - count_if(label = 1) * (count_if(label = 1) + 1) / 2.0) "
+    "/ (count_if(label = 1) * count_if(label <> 1)), 6) AS auc FROM ranked", extra="""
+known AS (SELECT label, CASE WHEN contact_id % 7 > 0 AND contact_id % 11 > 0 THEN score END AS score FROM scored),
+ranked AS (SELECT *, rank() OVER (ORDER BY score) + (count(*) OVER (PARTITION BY score) - 1) / 2.0 AS r FROM known WHERE score IS NOT NULL)
+"""))
+def q_auc_missing_scores(spark, d):
+    """H8 with NULL and NaN scores, which are left out together with their labels."""
+    s = rule_scored(cts(spark, d))
+    gone = F.when(F.col("contact_id") % 7 == 0, F.lit(None)).when(F.col("contact_id") % 11 == 0, F.lit(float("nan"))).otherwise(F.col("score"))
+    return M.auc_exact(s.withColumn("score", gone))

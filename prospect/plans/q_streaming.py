@@ -52,3 +52,20 @@ def q_stream_confusion(spark, d):
     sink = scratch_path(spark, "confusion")
     SS.run_complete_to_table(SS.running_confusion(stream), sink, scratch_path(spark, "confusion-ckpt"))
     return spark.read.parquet(sink).select("label", "prediction", F.col("n").cast("bigint").alias("n"))
+
+
+@register("stream_batch_diff", with_ctes("SELECT count(*) AS n_rows, 0 AS n_differ FROM contacts"))
+def q_stream_batch_diff(spark, d):
+    """Arriving files scored by a linear SVM into the dated sink equal the batch scores."""
+    c = cts(spark, d)
+    parts = SA.split_frames(c, "contact_id", {"train": 0.8, "test": 0.2}, seed=420)
+    model = MD.train_pipeline(parts["train"], CONTACTS, "svc", maxIter=10)
+    src, per_trigger = _arrivals(spark, c, "svc-arrivals")
+    base = scratch_path(spark, "svc-dated")
+    SS.run_to_dated(SS.scored_stream(spark, src, c.schema, model, "contact_id", per_trigger), base,
+                    scratch_path(spark, "svc-ckpt"), "2018-08-03")
+    got = spark.read.parquet(base).where("run_date = date'2018-08-03'").select("contact_id", F.col("prediction").alias("p"), F.round("p1", 9).alias("s"))
+    want = MD.score(c, model, "contact_id").select("contact_id", "prediction", F.round("p1", 9).alias("p1"))
+    return got.join(want, "contact_id", "full").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_if(~(F.col("p").eqNullSafe(F.col("prediction")) & F.col("s").eqNullSafe(F.col("p1")))).alias("n_differ"))

@@ -49,7 +49,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not d:
         d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
         if not d:
-            # Unset: local runs and tests only.
+            if not sc.master.startswith("local[") and sc.master != "local":
+                raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+            # Unset on one machine: local runs and tests only.
             d = tempfile.mkdtemp(prefix="prospect-ckpt-")
         sc.setCheckpointDir(d)
         d = sc.getCheckpointDir() or d

@@ -5,29 +5,21 @@
 * ``rule_scored``: a deterministic score / prediction on contacts, so metrics are exact
   without a model.
 
-Shuffle layout of ``contacts`` (see ``explain``): line items are partially aggregated and meet
-the orders on the order key; the result is shuffled once on the customer key, shared by the
-customer join and the per-customer window (previous contact, days since it, its outcome).
-``nation`` / ``region`` are broadcast behind a row bound.
-
-Hot customers: one partially aggregated count per customer finds those with more than
-``HOT_ROWS`` orders. Their rows leave the window plan and are numbered per (customer, day)
-groups instead (``functions.ordered.keyed_sequence``), so a customer with a third of all
-orders spreads over as many tasks as it has order days, and its customer row is broadcast.
+``contacts`` has one plan for any data and runs no job while it is built. A customer's history is
+numbered per (customer, day) groups (``functions.ordered.keyed_sequence``), so one with a third of
+all orders spreads over as many tasks as it has order days; line items are partially aggregated and
+meet the orders on the order key; dimension joins are left to the planner's byte threshold and the
+skew-join rule.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from prospect.functions.joins import bounded_broadcast, hot_keys
 from prospect.functions.ordered import keyed_sequence
 from prospect.sources.tables import Tables
 
-# Dimension tables with at most this many rows are broadcast.
-DIM_ROWS = 10_000
-
 MACRO_DOTTED = {"emp_var_rate": "emp.var.rate", "cons_conf_idx": "cons.conf.idx",
                 "nr_employed": "nr.employed"}
 
@@ -41,53 +33,21 @@ def line_stats(lineitem: DataFrame) -> DataFrame:
     )
 
 
-# A customer with more orders than this is "hot": its history is numbered by the two-level,
-# skew-safe plan instead of one window partition. Hot keys number at most total / HOT_ROWS and
-# are broadcast up to MAX_HOT_KEYS; beyond that every customer takes the two-level plan.
-HOT_ROWS = 1_000_000
-MAX_HOT_KEYS = 100_000
-
 _ORDER = ["o_orderdate", "o_orderkey"]
 _LAGS = {"prev_date": "o_orderdate", "prev_y": "y"}
 
 
-def _window_history(b: DataFrame) -> DataFrame:
-    """Previous contact per customer with one window (one task per customer)."""
-    w = Window.partitionBy("o_custkey").orderBy(*_ORDER)
-    return b.select("*", F.lag("o_orderdate").over(w).alias("prev_date"), F.lag("y").over(w).alias("prev_y"),
-                    (F.row_number().over(w) - 1).cast("bigint").alias("previous"))
-
-
-def contacts(t: Tables, hot_rows: int = HOT_ROWS, max_hot_keys: int = MAX_HOT_KEYS) -> DataFrame:
+def contacts(t: Tables) -> DataFrame:
     li = line_stats(t.lineitem)
-    geo = bounded_broadcast(
-        t.nation.join(bounded_broadcast(t.region, DIM_ROWS), F.col("n_regionkey") == F.col("r_regionkey"))
-        .select("n_nationkey", F.col("n_name").alias("nation"), F.col("r_name").alias("education")),
-        DIM_ROWS)
+    geo = (t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
+           .select("n_nationkey", F.col("n_name").alias("nation"), F.col("r_name").alias("education")))
     cust = (t.customer.select("c_custkey", "c_nationkey", "c_mktsegment", "c_acctbal")
             .join(geo, F.col("c_nationkey") == F.col("n_nationkey")))
     y = F.when((F.col("o_orderpriority") == "1-URGENT") & (F.col("o_orderstatus") != "F"), "yes").otherwise("no")
     o = t.orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", y.alias("y"))
-
-    def joined(rows: DataFrame, customers: DataFrame) -> DataFrame:
-        return (rows.join(li, F.col("o_orderkey") == F.col("l_orderkey"), "left")
-                .join(customers, F.col("o_custkey") == F.col("c_custkey")))
-
-    hot, n_hot = hot_keys(o, "o_custkey", hot_rows, max_hot_keys)
-    if n_hot == 0:
-        # Usual case: the window reuses the customer-join shuffle (one shuffle on the customer key).
-        b = _window_history(joined(o, cust))
-    elif n_hot <= max_hot_keys:
-        flag = F.broadcast(hot.withColumn("_hot", F.lit(True)))
-        of = o.join(flag, "o_custkey", "left")
-        cold = _window_history(joined(of.where(F.col("_hot").isNull()).drop("_hot"), cust))
-        # Hot customers: history by (customer, day) groups; their few customer rows are broadcast.
-        hot_cust = F.broadcast(cust.join(F.broadcast(hot), F.col("c_custkey") == F.col("o_custkey"), "left_semi"))
-        warm = joined(keyed_sequence(of.where(F.col("_hot").isNotNull()).drop("_hot"), "o_custkey", _ORDER,
-                                     _LAGS, number="previous"), hot_cust)
-        b = cold.unionByName(warm)
-    else:
-        b = joined(keyed_sequence(o, "o_custkey", _ORDER, _LAGS, number="previous"), cust)
+    b = (keyed_sequence(o, "o_custkey", _ORDER, _LAGS, number="previous")
+         .join(li, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+         .join(cust, F.col("o_custkey") == F.col("c_custkey")))
     prev_date, prev_y = F.col("prev_date"), F.col("prev_y")
     return b.select(
         F.col("o_orderkey").alias("contact_id"),

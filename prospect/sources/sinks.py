@@ -44,15 +44,12 @@ def read_dated(spark: SparkSession, base: str, run_date: str, fmt: str = "parque
     if fmt == "csv":
         r = r.option("header", header)
     if schema is not None:
-        r = r.schema(schema.add("run_date", T.StringType()))
+        r = r.schema(T.StructType([*schema.fields, T.StructField("run_date", T.StringType())]))
     df = r.load(base)
     return df.where(F.col("run_date").cast("string") == run_date).withColumn(
         "run_date", F.col("run_date").cast("string"))
 
 
-def write_single_csv(df: DataFrame, path: str, max_rows: int = 1_000_000) -> None:
-    """One CSV file for a small result (A13); refuses results above ``max_rows``."""
-    n = df.limit(max_rows + 1).count()
-    if n > max_rows:
-        raise ValueError(f"result has more than {max_rows} rows; write it partitioned instead")
+def write_single_csv(df: DataFrame, path: str) -> None:
+    """One CSV file (A13), written by one task: for results that the caller knows to be small."""
     vectors_to_text(df).coalesce(1).write.mode("overwrite").option("header", True).csv(path)

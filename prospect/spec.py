@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 
 @dataclass(frozen=True)
@@ -21,14 +21,13 @@ class TableSpec:
     temporal: tuple[str, ...] = ()
     positive: str = "yes"
     negative: str = "no"
-    extra: dict = field(default_factory=dict)
 
     @property
     def plain_categorical(self) -> tuple[str, ...]:
         return tuple(c for c in self.categorical if c not in self.temporal)
 
 
-# The contact view built from the star schema (see sources/contacts.py).
+# Column roles of the contact view built from the star schema (see sources/contacts.py).
 CONTACTS = TableSpec(
     categorical=("job", "marital", "education", "nation", "month", "day_of_week", "poutcome"),
     numeric=("pdays", "previous", "emp_var_rate", "cons_conf_idx", "euribor3m", "nr_employed"),

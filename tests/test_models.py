@@ -89,3 +89,12 @@ def test_lone_classifier_scores_like_the_pipeline(spark, small_dir):
     out = clf.transform(PipelineModel(stages=model.stages[:-1]).transform(p["test"]))
     got = _preds(out.select("contact_id", "prediction", vector_to_array("probability")[1].alias("p1")))
     assert got == _preds(MD.score(p["test"], model, "contact_id"))
+
+
+def test_fit_does_not_depend_on_layout_and_scores_unlabelled_rows(spark, small_dir):
+    p = _split(spark, small_dir)
+    a = MD.train_pipeline(p["train"].repartition(2), CONTACTS, "gbt", maxIter=4)
+    b = MD.train_pipeline(p["train"].repartition(9, "job"), CONTACTS, "gbt", maxIter=4)
+    assert _preds(MD.score(p["test"], a, "contact_id")) == _preds(MD.score(p["test"].drop("y"), b, "contact_id"))
+    assert dict(MD.score(p["test"], a).dtypes)["label"] == "double"
+    assert "label" not in MD.score(p["test"].drop("y"), a).columns

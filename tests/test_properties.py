@@ -198,12 +198,30 @@ def test_knn_constant_features(spark):
     assert got == want
 
 
-def test_contacts_same_rows_on_every_history_plan(spark, small_dir):
+def test_contacts_history_equals_plain_window(spark, small_dir):
+    from pyspark.sql import Window
     from prospect.sources.contacts import contacts
     from prospect.sources.tables import Tables
-    base = contacts(Tables(spark, small_dir))
-    # Customers above 8 orders take the two-level plan; then every customer does.
-    for hot_rows, max_keys in ((8, 100_000), (0, 3)):
-        c = contacts(Tables(spark, small_dir), hot_rows=hot_rows, max_hot_keys=max_keys)
-        assert c.count() == base.count()
-        assert c.exceptAll(base).count() == 0
+    t = Tables(spark, small_dir)
+    w = Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey")
+    plain = t.orders.select(F.col("o_orderkey").alias("contact_id"),
+                            (F.row_number().over(w) - 1).cast("bigint").alias("previous"),
+                            F.when(F.lag("o_orderdate").over(w).isNull(), 999).otherwise(
+                                F.least(F.datediff("o_orderdate", F.lag("o_orderdate").over(w)), F.lit(998)))
+                            .cast("bigint").alias("pdays"))
+    got = contacts(t).select("contact_id", "previous", "pdays")
+    assert got.count() == plain.count() and got.exceptAll(plain).count() == 0
+
+
+def test_auc_and_roc_leave_out_missing_scores(spark):
+    rows = [(1.0, 0.5), (0.0, 0.5), (0.0, None), (1.0, None), (0.0, float("nan")), (None, 0.9)]
+    df = spark.createDataFrame(rows, "label double, score double")
+    assert M.auc_exact(df).first()["auc"] == 0.5
+    assert [(r["threshold"], r["tpr"], r["fpr"]) for r in M.roc_curve(df).collect()] == [(0.5, 1.0, 1.0)]
+
+
+def test_histogram_by_many_classes(spark):
+    from prospect.operators.stats import histogram
+    df = spark.range(2400).select((F.col("id") % 1200).cast("string").alias("c"), F.col("id").cast("double").alias("v"))
+    h = histogram(df, ["v"], bins=2, by="c")
+    assert h.count() == 2400 and h.agg(F.sum("n")).first()[0] == 2400
