@@ -225,3 +225,17 @@ def test_histogram_by_many_classes(spark):
     df = spark.range(2400).select((F.col("id") % 1200).cast("string").alias("c"), F.col("id").cast("double").alias("v"))
     h = histogram(df, ["v"], bins=2, by="c")
     assert h.count() == 2400 and h.agg(F.sum("n")).first()[0] == 2400
+
+
+@pytest.mark.parametrize("shape", ["outlier", "dense cluster"])
+def test_knn_exact_where_points_are_unevenly_spread(spark, shape):
+    from prospect.operators.smote import knn
+    rng = np.random.default_rng(8)
+    x = rng.uniform(size=(700, 3))
+    if shape == "outlier":
+        x[0] = 100.0
+    else:
+        x[:400] = 0.5 + 1e-5 * rng.normal(size=(400, 3))
+    df = spark.createDataFrame([(i, *map(float, r)) for i, r in enumerate(x)], "id long, a double, b double, c double")
+    got = {(r["qid"], r["nid"], r["rank"], round(r["dist"], 9)) for r in knn(df, "id", ["a", "b", "c"], k=4).collect()}
+    assert got == _brute_knn(x, np.arange(len(x)), 4)
