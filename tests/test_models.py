@@ -98,3 +98,19 @@ def test_fit_does_not_depend_on_layout_and_scores_unlabelled_rows(spark, small_d
     assert _preds(MD.score(p["test"], a, "contact_id")) == _preds(MD.score(p["test"].drop("y"), b, "contact_id"))
     assert dict(MD.score(p["test"], a).dtypes)["label"] == "double"
     assert "label" not in MD.score(p["test"].drop("y"), a).columns
+
+
+def test_train_and_score_jobs(spark, small_dir):
+    from prospect import jobs
+    c = cts(spark, small_dir)
+    base = scratch_path(spark, "jobs")
+    c.write.parquet(f"{base}/in")
+    c.drop("y").write.parquet(f"{base}/new")
+    jobs.main(["train", "--input", f"{base}/in", "--model", f"{base}/model"])
+    for source, day in (("in", "2018-08-03"), ("new", "2018-08-04"), ("new", "2018-08-04")):
+        jobs.main(["score", "--input", f"{base}/{source}", "--model", f"{base}/model", "--output", f"{base}/out", "--run-date", day])
+    got = spark.read.parquet(f"{base}/out/scores")
+    assert {str(r["run_date"]): r["n"] for r in got.groupBy("run_date").agg(F.count(F.lit(1)).alias("n")).collect()} == {
+        "2018-08-03": c.count(), "2018-08-04": c.count()}
+    m = spark.read.parquet(f"{base}/out/metrics").collect()
+    assert len(m) == 1 and str(m[0]["run_date"]) == "2018-08-03" and 0 <= m[0]["accuracy"] <= 1
