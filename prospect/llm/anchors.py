@@ -305,5 +305,18 @@ def substring_dedup(df: DataFrame, id_col: str, text_col: str, window: int = WIN
     return done.withColumnRenamed("id", id_col)
 
 
+ORACLE_SQL = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w, row_number() OVER () AS r FROM documents),
+p AS (SELECT r, i, w[i] AS word, CASE WHEN i + 34 <= len(w) THEN md5(array_to_string(w[i:i + 34], ' ')) END AS h
+      FROM d, unnest(range(1, len(w) + 1)) t(i)),
+again AS (SELECT h FROM p WHERE h IS NOT NULL GROUP BY h HAVING count(*) > 1),
+m AS (SELECT r, i, word, max(CASE WHEN again.h IS NULL THEN 0 ELSE 1 END) OVER (PARTITION BY r ORDER BY i ROWS BETWEEN 34 PRECEDING AND CURRENT ROW) AS gone
+      FROM p LEFT JOIN again ON p.h = again.h),
+a AS (SELECT r, count(*) AS n, sum(gone) AS g, string_agg(word, ' ' ORDER BY i) FILTER (WHERE gone = 0) AS kept FROM m GROUP BY r)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_words, coalesce(g, 0)::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN a USING (r)
+"""
+
+
 def op5_anchor_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(table(spark, sf_dir, "documents"), "doc_id", "text")

@@ -384,5 +384,19 @@ def audit(df: DataFrame, id_col: str, vec_col: str, label_col: str, linked: Data
     return {"links": float(links), "found": float(found), "recall": found / links if links else 1.0}
 
 
+#: Exact links: what the graph finds where its recall is 1, as on tables of a cluster a label.
+ORACLE_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE label IS NOT NULL AND len(embedding) = list_count(embedding) AND isfinite(list_sum(embedding))
+    AND list_inner_product(embedding, embedding) > 0),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+      WHERE list_cosine_similarity(a.e, b.e) >= 0.98),
+reach AS (SELECT vec_id AS a, vec_id AS b FROM embeddings UNION SELECT r.a, l.b FROM reach r JOIN l ON r.b = l.a)
+SELECT a AS vec_id, (SELECT count(*) FROM l WHERE l.a = reach.a) AS n_links, min(b) AS component_id, a = min(b) AS kept
+FROM reach GROUP BY a
+"""
+
+
 def op1_flat_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
     return link_vectors(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", "label")

@@ -21,4 +21,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_secret_scan": secret_scan.op10_secret_scan,
 }
 
-ORACLE_SQL: dict[str, str] = {"op4_temperature_mix": mixing.ORACLE_SQL}
+ORACLE_SQL: dict[str, str] = {
+    "op1_flat_graph": flat_graph.ORACLE_SQL,
+    "op4_temperature_mix": mixing.ORACLE_SQL,
+    "op5_anchor_dedup": anchors.ORACLE_SQL,
+    "op9_url_filter": url_filter.ORACLE_SQL,
+}

@@ -78,11 +78,16 @@ def ratio_table(grams: DataFrame) -> DataFrame:
     return out.select("g", (F.log(pa) - F.log(pr)).alias("llr"))
 
 
+def kept_out(s: Column) -> Column:
+    """Whether a ruled URL is kept for the threshold: a hash that any SQL engine finds the same."""
+    return F.conv(F.substring(F.md5(F.concat(F.lit("fold:"), s)), 1, 8), 16, 10).cast("long") % FOLDS == 0
+
+
 def url_scores(urls: DataFrame) -> tuple[DataFrame, float]:
     """``urls``: distinct ``s`` with ``verdict`` (null where no rule decides). Scores ``(s, score)``
     of the undecided ones, and the threshold."""
     named = urls.select("s", "verdict", F.xxhash64("s").alias("u"), F.xxhash64(F.lit("url"), "s").alias("v"),
-                        (F.pmod(F.xxhash64(F.lit("fold"), "s"), F.lit(FOLDS)) == 0).alias("kept"))
+                        kept_out(F.col("s")).alias("kept"))
     runs = _runs(named)
     learn = ~F.col("kept")
     grams = written(runs.groupBy("g").agg(
@@ -117,7 +122,48 @@ def filter_urls(df: DataFrame, id_col: str, url_col: str, rules=RULES) -> DataFr
     judged = rows.join(scores, F.when(F.col("ruled").isNull(), F.col("s")) == F.col("text"), "left")
     own = F.when(F.col("score") < F.lit(threshold), "block").otherwise("allow")
     return judged.select(F.col("id").alias(id_col), "host", "path", "rule",
-                         F.coalesce("ruled", own).alias("verdict"), "score")
+                         F.coalesce("ruled", own).alias("verdict"), F.round("score", 6).alias("score"))
+
+
+def _sql() -> str:
+    """The same models in SQL: one count table over runs of every order."""
+    orders = range(ORDER + 1)
+    case = lambda pick: "CASE " + " ".join(
+        f"WHEN (host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}') THEN '{pick(v, h, p)}'"
+        for v, h, p in sorted(RULES, key=lambda r: -len(r[1] + r[2]))) + " END"
+    value = {"a": f"{1 / FLOOR}::DOUBLE", "r": f"{1 / FLOOR}::DOUBLE"}
+    for k in orders:
+        value = {c: f"((n{k}.{c} + {WEIGHT} * {v}) / (c{k}.{c} + {WEIGHT}))" for c, v in value.items()}
+    run = lambda k, g="g": f"substr({g}, {ORDER + 1 - k}, {k + 1})"
+    context = lambda k, g="g": f"substr({g}, {ORDER + 1 - k}, {k})"
+    tables = ", ".join(f"n{k} AS (SELECT {run(k)} AS x, sum(a) AS a, sum(r) AS r FROM grams GROUP BY 1), "
+                       f"c{k} AS (SELECT {context(k)} AS x, sum(a) AS a, sum(r) AS r FROM grams GROUP BY 1)" for k in orders)
+    joins = " ".join(f"JOIN n{k} ON n{k}.x = {run(k, 'grams.g')} JOIN c{k} ON c{k}.x = {context(k, 'grams.g')}" for k in orders)
+    lower = f"'{UPPER}', '{LOWER}'"
+    return f"""
+WITH cut AS (SELECT page_id, url, CASE WHEN position('://' IN url) > 0 THEN substr(url, position('://' IN url) + 3) END AS rest FROM pages),
+named AS (SELECT page_id, translate(regexp_extract(coalesce(rest, ''), '^[^/?#]*', 0), {lower}) AS host,
+                 regexp_extract(coalesce(rest, ''), '^[^/?#]*([^?#]*)', 1) AS path, translate(coalesce(rest, url), {lower}) AS s FROM cut),
+judged AS (SELECT *, {case(lambda v, h, p: h + p)} AS rule, {case(lambda v, h, p: v)} AS ruled FROM named),
+urls AS (SELECT s, max(ruled) AS verdict, ('0x' || substr(md5('fold:' || s), 1, 8))::BIGINT % {FOLDS} = 0 AS kept
+         FROM judged WHERE length(s) > 0 GROUP BY s),
+runs AS (SELECT s, verdict, kept, substr(repeat(chr(1), {ORDER}) || s || chr(2), i, {ORDER + 1}) AS g
+         FROM urls, unnest(range(1, length(s) + 2)) t(i)),
+grams AS (SELECT g, count(CASE WHEN verdict = 'allow' AND NOT kept THEN 1 END) AS a,
+          count(CASE WHEN verdict = 'block' AND NOT kept THEN 1 END) AS r FROM runs GROUP BY g),
+{tables},
+ratios AS (SELECT grams.g, ln({value['a']}) - ln({value['r']}) AS llr FROM grams {joins}),
+scores AS (SELECT s, max(verdict) AS verdict, avg(llr) AS score FROM runs JOIN ratios USING (g) WHERE verdict IS NULL OR kept GROUP BY s),
+stats AS (SELECT avg(score) FILTER (WHERE verdict = 'allow') AS am, stddev_pop(score) FILTER (WHERE verdict = 'allow') AS ad,
+                 avg(score) FILTER (WHERE verdict = 'block') AS bm, stddev_pop(score) FILTER (WHERE verdict = 'block') AS bd FROM scores),
+level AS (SELECT CASE WHEN am IS NULL OR bm IS NULL THEN 0 WHEN ad + bd > 0 THEN (am * bd + bm * ad) / (ad + bd) ELSE (am + bm) / 2 END AS t FROM stats)
+SELECT page_id, host, path, rule, coalesce(ruled, CASE WHEN score < t THEN 'block' ELSE 'allow' END) AS verdict,
+       round(CASE WHEN ruled IS NULL THEN score END, 6) AS score
+FROM judged CROSS JOIN level LEFT JOIN scores ON judged.ruled IS NULL AND judged.s = scores.s
+"""
+
+
+ORACLE_SQL = _sql()
 
 
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
