@@ -168,32 +168,32 @@ def histogram(df: DataFrame, cols: list[str], bins: int = 30, by: str | None = N
 def kde_by_class(df: DataFrame, cols: list[str], by: str, points: int = 100, digits: int = 6) -> DataFrame:
     """Gaussian kernel density per class on a grid of ``points`` from min to max.
 
-    Bandwidth per (feature, class) by Scott's rule ``h = sd * n^(-1/5)``. Rows are first reduced
-    to distinct (feature, class, value) with counts, so work grows with distinct values, and each
-    one adds its contribution to the ``points`` grid positions; the sum per grid position is a
-    partially-aggregated group-by. The density is reported times the feature's span
+    Bandwidth per (feature, class) by Scott's rule ``h = sd * n^(-1/5)``. One partial aggregate holds a
+    sum per grid point for every (feature, class): rows add to the sums where they are read, and
+    only the sums are shuffled. The density is reported times the feature's span
     (``density_x_span``), a dimensionless value of order one, rounded.
     """
     long = _long(df, cols, "double", keep=[by]).where(F.col("value").isNotNull())
     stats = long.groupBy("feature", by).agg(
         F.count(F.lit(1)).alias("n_c"), F.stddev_samp("value").alias("sd"))
     rng = long.groupBy("feature").agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
+    # (features x classes) rows; the planner broadcasts them if they are small.
     stats = stats.join(rng, "feature").withColumn("h", F.col("sd") * F.pow(F.col("n_c"), -0.2))
-    distinct = long.groupBy("feature", by, "value").agg(F.count(F.lit(1)).alias("cnt"))
-    # stats has (#features x #classes) rows: a bounded broadcast.
-    j = distinct.join(F.broadcast(stats), ["feature", by]).where(F.col("h") > 0)
-    g = j.select("feature", by, "value", "cnt", "n_c", "h", "lo", "hi",
-                 F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("gi"))
-    x = F.col("lo") + F.col("gi") * (F.col("hi") - F.col("lo")) / F.lit(points - 1)
-    z = (x - F.col("value")) / F.col("h")
-    contrib = F.col("cnt") * F.exp(-0.5 * z * z)
-    dens = g.groupBy("feature", by, "gi").agg(
-        F.sum(contrib).alias("s"), F.first("n_c").alias("n_c"), F.first("h").alias("h"),
-        F.first("lo").alias("lo"), F.first("hi").alias("hi"))
-    d = F.col("s") / (F.col("n_c") * F.col("h") * F.lit(math.sqrt(2 * math.pi)))
+    j = long.join(stats, ["feature", by]).where(F.col("h") > 0)
+
+    def at(i: int) -> Column:
+        return F.col("lo") + F.lit(i) * (F.col("hi") - F.col("lo")) / F.lit(points - 1)
+
+    def kernel(i: int) -> Column:
+        z = (at(i) - F.col("value")) / F.col("h")
+        return F.exp(-0.5 * z * z)
+
+    sums = j.groupBy("feature", by, "n_c", "h", "lo", "hi").agg(*[F.sum(kernel(i)).alias(f"_s{i}") for i in range(points)])
+    grid = F.explode(F.array(*[F.struct(F.lit(i).alias("gi"), at(i).alias("x"), F.col(f"_s{i}").alias("s")) for i in range(points)]))
+    dens = sums.select("feature", by, "n_c", "h", "lo", "hi", grid.alias("g"))
+    d = F.col("g.s") / (F.col("n_c") * F.col("h") * F.lit(math.sqrt(2 * math.pi)))
     return dens.select(
-        "feature", by, F.col("gi").cast("bigint").alias("gi"),
-        F.round(F.col("lo") + F.col("gi") * (F.col("hi") - F.col("lo")) / F.lit(points - 1), digits).alias("x"),
+        "feature", by, F.col("g.gi").cast("bigint").alias("gi"), F.round("g.x", digits).alias("x"),
         F.round(d * (F.col("hi") - F.col("lo")), digits).alias("density_x_span"))
 
 

@@ -18,8 +18,8 @@ NUMERICS = ["duration", "campaign", "pdays", "previous", "emp_var_rate", "cons_c
 CATEGORICALS = list(CONTACTS.categorical) + ["y"]
 PLAIN_CATS = list(CONTACTS.plain_categorical)
 WITH_NULLS = ["job", "marital", "poutcome", "duration", "euribor3m"]
-KDE_COLS = ["cons_conf_idx", "euribor3m"]
-PAIR_COLS = ["campaign", "cons_conf_idx", "euribor3m", "nr_employed"]
+KDE_COLS = NUMERICS
+PAIR_COLS = NUMERICS
 SQRT_2PI = 2.5066282746310002
 
 
