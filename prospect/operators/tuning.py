@@ -16,7 +16,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.ml import Pipeline
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from prospect.operators.features import encoding_stages, labelled
@@ -77,6 +77,13 @@ def cross_validate(train: DataFrame, spec: TableSpec, name: str, grid: dict[str,
     return model, report
 
 
+def best_parameters(spark: SparkSession, cv_model) -> DataFrame:
+    """H3: ``(param, value)`` of the best model's classifier, values as JSON text."""
+    best = cv_model.bestModel.stages[-1]
+    rows = sorted((p.name, json.dumps(v, default=str)) for p, v in best.extractParamMap().items())
+    return spark.createDataFrame(rows, "param string, value string")
+
+
 def _tree_columns(model, x: DataFrame, features: str) -> tuple[DataFrame, list[str]]:
     """Add one column per tree with that tree's prediction (each a JVM-side projection)."""
     cols = []

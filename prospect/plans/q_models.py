@@ -7,9 +7,11 @@ probabilities equal the per-category rates, which SQL computes exactly.
 
 from __future__ import annotations
 
+from itertools import product
+
 import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import OneHotEncoder, StringIndexer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
@@ -209,6 +211,13 @@ def q_cv_report(spark, d):
 SWEEP_PARTITIONS = 1
 
 
+@register("cv_best_params")
+def q_cv_best_params(spark, d):
+    """H3: parameters of the best model of a 2-fold cross validation over regularisation."""
+    model, _ = TU.cross_validate(_parts(spark, d)["train"], CONTACTS, "lr", {"regParam": [0.0, 0.1]}, folds=2, parallelism=2)
+    return TU.best_parameters(spark, model)
+
+
 def _balanced_features(spark, d):
     p = _parts(spark, d)
     bal = SA.hash_sample_by(p["train"], "contact_id", "y", BALANCE, seed=SEED + 1)
@@ -243,29 +252,38 @@ def q_sweep_trees(spark, d):
         ho.unpersist()
 
 
-# The boosting grid: depth x subsampling x iterations (cartesian, first key slowest).
+# The parameter grids (cartesian, first key slowest) of boosting and of the forest.
 GBT_GRID = {"maxDepth": [5, 15, 20, 30], "subsamplingRate": [0.75, 1.0], "maxIter": [60]}
-_GRID_VALUES = ", ".join(f"({i}, {d}, {r}, {n})" for i, (d, r, n) in enumerate(
-    (d, r, n) for d in GBT_GRID["maxDepth"] for r in GBT_GRID["subsamplingRate"] for n in GBT_GRID["maxIter"]))
+GBT_ROUNDS_GRID = {"maxDepth": [2, 5, 15], "maxIter": [30, 60, 200]}
+FOREST_GRID = {"maxDepth": [2, 3, 4, 5, 6, 7], "numTrees": [100, 300]}
 
 
-@register("grid_rows", with_ctes(f"""
-SELECT g.candidate, g.maxDepth, g.subsamplingRate, g.maxIter, CAST(f.fold AS INTEGER) AS fold,
-       n.n - coalesce(v.valid_rows, 0) AS train_rows, coalesce(v.valid_rows, 0) AS valid_rows
+def _grid_sql(grid: dict) -> str:
+    names = list(grid)
+    kind = {n: "DOUBLE" if isinstance(grid[n][0], float) else "INTEGER" for n in names}
+    values = ", ".join(f"({i}, {', '.join(map(str, v))})" for i, v in enumerate(product(*grid.values())))
+    columns = ", ".join(f"CAST({n} AS {kind[n]}) AS {n}" for n in names)
+    return with_ctes(f"""
+SELECT g.*, CAST(f.fold AS INTEGER) AS fold, n.n - coalesce(v.valid_rows, 0) AS train_rows, coalesce(v.valid_rows, 0) AS valid_rows
 FROM g, range(0, 3) f(fold), (SELECT count(*) AS n FROM t) n
 LEFT JOIN (SELECT fold, count(*) AS valid_rows FROM t GROUP BY fold) v ON v.fold = f.fold
 """, extra=f"""
 t AS (SELECT least(floor({md5_unit('contact_id', 4201)} * 3), 2) AS fold
       FROM contacts WHERE {md5_unit('contact_id', SEED)} < 0.8),
-g AS (SELECT CAST(c AS INTEGER) AS candidate, CAST(d AS INTEGER) AS maxDepth, CAST(r AS DOUBLE) AS subsamplingRate,
-             CAST(n AS INTEGER) AS maxIter FROM (VALUES {_GRID_VALUES}) v(c, d, r, n))
-"""))
-def q_grid_rows(spark, d):
-    """H1 + H2: the reference boosting grid (8 candidates) x 3 hash folds of the train split, with
-    the fit / validation row counts each cross-validation run will see."""
-    from pyspark.ml.classification import GBTClassifier
-    maps = TU.param_grid(GBTClassifier(), GBT_GRID)
-    return TU.cv_plan(_parts(spark, d)["train"], "contact_id", maps, folds=3)
+g AS (SELECT CAST(candidate AS INTEGER) AS candidate, {columns} FROM (VALUES {values}) v(candidate, {', '.join(names)}))
+""")
+
+
+def _grid_query(estimator, grid: dict):
+    def q(spark, d):
+        return TU.cv_plan(_parts(spark, d)["train"], "contact_id", TU.param_grid(estimator(), grid), folds=3)
+    q.__doc__ = "H1 + H2: every candidate of a grid x 3 hash folds of the train split, with fit and validation row counts."
+    return q
+
+
+for _name, _est, _grid in (("grid_rows", GBTClassifier, GBT_GRID), ("grid_rows_rounds", GBTClassifier, GBT_ROUNDS_GRID),
+                           ("grid_rows_forest", RandomForestClassifier, FOREST_GRID)):
+    register(_name, _grid_sql(_grid))(_grid_query(_est, _grid))
 
 
 @register("sweep_lr")
