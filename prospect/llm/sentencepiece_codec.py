@@ -37,6 +37,20 @@ START, NO_PIECE = 65535, 65534
 RUNS = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 
 
+class Memory(dict):
+    """Ids of words, found when first asked for."""
+
+    def __init__(self, find):
+        super().__init__()
+        self.find = find
+
+    def __missing__(self, word: str) -> tuple[tuple[int, ...], str]:
+        if len(self) >= MOST_WORDS:
+            self.clear()
+        got = self[word] = self.find(word)
+        return got
+
+
 class PrefixTable:
     def __init__(self, path: str):
         sp = self.sp = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -57,7 +71,8 @@ class PrefixTable:
             self.trie.add_word(p, (i, len(p)))
         self.trie.make_automaton()
         self.pairs: dict[int, bool] = {}
-        self.words: dict[str, tuple[tuple[int, ...], str]] = {}
+        self.runs = Memory(self.word)
+        self.words = Memory(lambda w: self.word(MARK + w))
 
     def merge(self, text: str) -> list[str]:
         """The defining procedure, for the short texts of pair tests."""
@@ -110,26 +125,16 @@ class PrefixTable:
         return tuple(reversed(out))
 
     def word(self, w: str) -> tuple[tuple[int, ...], str]:
-        got = self.words.get(w)
-        if got is None:
-            ids = self.encode_word(w)
-            got = ids, ",".join(map(str, ids))
-            if len(self.words) >= MOST_WORDS:
-                self.words.clear()
-            self.words[w] = got
-        return got
+        ids = self.encode_word(w)
+        return ids, ",".join(map(str, ids))
 
     def encode_parts(self, text: str) -> list[tuple[tuple[int, ...], str]]:
         if not text:
             return []
         words = text.split(" ")
         if MARK in text or "" in words:
-            marked = self.sp.normalize(text)
-            found = RUNS.findall(marked)
-        else:
-            found = [MARK + w for w in words]
-        known = self.words.get
-        return [known(w) or self.word(w) for w in found]
+            return list(map(self.runs.__getitem__, RUNS.findall(self.sp.normalize(text))))
+        return list(map(self.words.__getitem__, words))
 
     def encode(self, text: str | None) -> list[int]:
         return list(chain.from_iterable(ids for ids, _ in self.encode_parts(text or "")))
