@@ -57,7 +57,8 @@ def learn_dictionaries(df: DataFrame, id_col: str, text_col: str, lang_col: str,
     picked = (rows.select("lang", h.alias("h")).withColumn("r", F.row_number().over(by_hash))
               .where(F.col("r") <= sample_docs).groupBy("lang").agg(F.max("h").alias("cut")))
     counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
-    sample = (rows.withColumn("h", h).join(picked, "lang").where("h <= cut")
+    # One row a language is broadcast; texts are picked where they are read.
+    sample = (rows.withColumn("h", h).join(F.broadcast(picked), "lang").where("h <= cut")
               .select("lang", "h", F.substring("text", 1, doc_bytes).alias("text")))
     texts: dict[str, list[str]] = {}
     for r in sample.groupBy("lang").agg(F.sort_array(F.collect_set(F.struct("h", "text"))).alias("s")).collect():
