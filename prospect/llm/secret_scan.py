@@ -14,7 +14,6 @@ are judged one by one, so ties, repeats, empty tables and other columns play no
 from __future__ import annotations
 
 import base64
-import hashlib
 import re
 from functools import lru_cache
 
