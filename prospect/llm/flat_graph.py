@@ -2,12 +2,15 @@
 
 Vectors are compared within their label. Equal vectors are one node with a count. Each label is cut
 into clusters of about ``SHARD_ROWS`` nodes around centres fitted on a bounded sample, and every
-node is put into its ``OVERLAP`` nearest clusters. Per cluster a flat proximity graph is built: nodes
+node is put into its ``OVERLAP`` nearest clusters. Sample rows closer than twice the link angle stand
+as one, so a dense group has the centres of one row, however many near copies it holds, and its links
+stay inside common clusters. Per cluster a flat proximity graph is built: nodes
 are inserted in batches, a greedy beam search from the medoid finds a node's neighbourhood, and robust
 pruning keeps those neighbours that no kept one is much closer to; back links are pruned likewise.
 A node's adjacency lists from all its clusters are united. Every node is then searched for in each of
 its clusters: greedily from the medoid, then outwards over the united lists as long as nodes within
-the range (widened by ``SLACK``) turn up. Links are checked in double precision, so none is wrong.
+the range (widened by ``SLACK``) turn up; where that takes more steps than there are pairs, all pairs
+are compared. Links are checked in double precision, so none is wrong.
 
 A pair that shares several clusters counts in the first of them only, so links are counted without
 being listed; clusters report stars, which are joined into components over all clusters. Recall is
@@ -151,6 +154,8 @@ def range_search(x: np.ndarray, graph: np.ndarray, start: int, queries: np.ndarr
         close = sims >= least - slack
         near[q[close], v[close]] = True
         q, v = q[close], v[close]
+        if len(q) * graph.shape[1] > seen.size:  # a dense group: its pairs cost less than its edges
+            return queries @ x.T >= least - slack
         next_q, next_v = np.repeat(q, graph.shape[1]), graph[v].ravel()
         keep = next_v >= 0
         next_q, next_v = next_q[keep], next_v[keep]
@@ -173,13 +178,38 @@ def fit_centres(sample: np.ndarray, k: int, rounds: int = FIT_ROUNDS) -> np.ndar
     return centres
 
 
+def leaders(sample: np.ndarray, least: float, block: int = 512) -> np.ndarray:
+    """Rows of ``sample``, in order, that no earlier kept row is as near as ``least`` to."""
+    kept, n = np.empty_like(sample), 0
+    for i in range(0, len(sample), block):
+        b = sample[i:i + block]
+        if n:
+            b = b[(b @ kept[:n].T).max(axis=1) < least]
+        near = b @ b.T >= least
+        take = np.zeros(len(b), dtype=bool)
+        for j in range(len(b)):
+            take[j] = not (near[j, :j] & take[:j]).any()
+        b = b[take]
+        kept[n:n + len(b)] = b
+        n += len(b)
+    return kept[:n]
+
+
+def thinned_centres(sample: np.ndarray, k: int, least: float) -> np.ndarray:
+    """Centres of the sample's leaders at twice the link angle, ``k`` less the thinned rows' share."""
+    apart = np.cos(min(2 * np.arccos(np.clip(least, -1, 1)), np.pi))
+    rows = leaders(sample, apart)
+    return fit_centres(rows, max(1, -(-k * len(rows) // len(sample))))
+
+
 def _matrix(column: pa.ChunkedArray) -> np.ndarray:
     flat = column.combine_chunks()
     return flat.values.to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(flat), -1)
 
 
-def label_centres(nodes: DataFrame, shard_rows: int, overlap: int) -> dict[tuple, np.ndarray]:
-    """Centres of every (label, length) with more nodes than a cluster takes. The driver sees at most
+def label_centres(nodes: DataFrame, shard_rows: int, overlap: int, least: float = MIN_COSINE) -> dict[tuple, np.ndarray]:
+    """Centres of every (label, length) with more nodes than a cluster takes; clusters of dense groups
+    are larger than ``shard_rows`` and cut by hash later on. The driver sees at most
     ``SAMPLE_A_CENTRE`` rows for each of at most ``MOST_CENTRES`` centres a label."""
     sizes = nodes.groupBy("label", "dim").count().where(F.col("count") > shard_rows)
     want = sizes.withColumn("k", F.least(F.ceil(F.col("count") * overlap / shard_rows), F.lit(MOST_CENTRES)).cast("int"))
@@ -189,7 +219,7 @@ def label_centres(nodes: DataFrame, shard_rows: int, overlap: int) -> dict[tuple
     rows: dict[tuple, list] = {}
     for r in sample.select("label", "dim", "k", "unit").toLocalIterator():
         rows.setdefault((r["label"], r["dim"], r["k"]), []).append(r["unit"])
-    return {(label, dim): fit_centres(np.array(v), k) for (label, dim, k), v in rows.items()}
+    return {(label, dim): thinned_centres(np.array(v), k, least) for (label, dim, k), v in rows.items()}
 
 
 def with_clusters(nodes: DataFrame, centres: dict[tuple, np.ndarray], overlap: int) -> DataFrame:
@@ -260,7 +290,7 @@ def link_vectors(df: DataFrame, id_col: str, vec_col: str, label_col: str, least
 def _search(nodes: DataFrame, least: float, shard_rows: int, overlap: int, most_rows: int, degree: int,
             beam: int) -> tuple[DataFrame, DataFrame]:
     """``(node, links)`` parts to be summed, and the edges ``(a, b)`` of stars."""
-    centres = label_centres(nodes, shard_rows, overlap)
+    centres = label_centres(nodes, shard_rows, overlap, least)
     placed = written(with_clusters(nodes, centres, overlap).withColumn("label", F.col("label").cast("string"))
                      .select("node", "copies", "unit", "cells", "label", "dim"), "graph-placed")
     member = placed.withColumn("cell", F.explode("cells"))

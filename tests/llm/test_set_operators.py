@@ -93,6 +93,42 @@ def test_flat_graph_hot_group_and_small_clusters(spark):
         assert {i: r.component_id for i, r in got.items()} == root
 
 
+def near_copies(n, group, noise=0.01, dims=64):
+    """``n`` unit vectors, the first ``group`` of them distinct near copies (cosine about 0.99)."""
+    rnd = np.random.default_rng(1)
+    x = rnd.normal(size=(n, dims))
+    x[0] /= np.linalg.norm(x[0])
+    x[:group] = x[0] + noise * rnd.normal(size=(group, dims))
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
+def test_flat_graph_large_group_keeps_common_clusters(spark):
+    """10,000 distinct near copies among 30,000 vectors of a label: linked nodes share a cluster."""
+    x = near_copies(30_000, 10_000)
+    nodes = spark.createDataFrame([(f"{i * 2654435761 % 2**32:08x}:{i}", "a", 64, v.tolist()) for i, v in enumerate(x)],
+                                  "node string, label string, dim int, unit array<double>")
+    centres = flat_graph.label_centres(nodes, flat_graph.SHARD_ROWS, flat_graph.OVERLAP)
+    cells = {int(r.node.split(":")[1]): set(r.cells) for r in
+             flat_graph.with_clusters(nodes, centres, flat_graph.OVERLAP).select("node", "cells").collect()}
+    a, b = np.random.default_rng(2).choice(10_000, (2, 20_000))
+    linked = [(i, j) for i, j in zip(a, b) if i != j and x[i] @ x[j] >= 0.98]
+    assert len(linked) > 10_000
+    assert sum(bool(cells[i] & cells[j]) for i, j in linked) >= 0.999 * len(linked)
+    assert len(centres["a", 64]) > 20  # the other vectors are still parted
+
+
+def test_flat_graph_dense_group_over_many_clusters(spark):
+    """Links of a dense group cut into parts, in a label of many clusters."""
+    x = near_copies(2400, 800)
+    df = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(x)], "vec_id long, v array<double>, label int")
+    links = (x @ x.T >= 0.98).sum(axis=1) - 1
+    assert (links[:800] > 700).all() and not links[800:].any()
+    got = {r.vec_id: r for r in flat_graph.link_vectors(df, "vec_id", "v", "label", shard_rows=60, most_rows=240).collect()}
+    assert all(r.n_links <= links[i] for i, r in got.items())
+    assert sum(r.n_links for r in got.values()) >= 0.999 * links.sum()
+    assert all(r.component_id == (0 if i < 800 else i) for i, r in got.items())
+
+
 def test_flat_graph_odd_rows(spark):
     one = [1.0, 0.0]
     rows = [(1, one, 0), (2, [2.0, 0.0], 0), (3, one, None), (4, None, 0), (5, [0.0, 0.0], 0), (6, [float("nan"), 1.0], 0),
