@@ -3,9 +3,9 @@
 A byte-pair vocabulary learned on ordinary text writes words in a few long tokens and random
 strings in many short ones, so the characters per token of a key or password are low. Every
 whole text is read; a candidate is a maximal run of ``[A-Za-z0-9+/=_-]`` of ``MIN_RUN``
-characters or more that mixes digits with letters or upper with lower case. Left out are known
-digests and identifiers (UUIDs, hex of digest length, numbers with separators, names made of
-words) and runs inside a span that a pattern already found.
+characters or more, in one case or mixed. Left out are known digests and identifiers (UUIDs, hex
+of digest length, numbers with separators) and runs inside a span that a pattern already found;
+names made of words pass the test by their ratio.
 
 Nulls and empty texts have no spans; a very long text is one pass of the patterns over it; rows
 are judged one by one, so ties, repeats, empty tables and other columns play no part.
@@ -43,7 +43,6 @@ DIGEST = re.compile(r"(?:[0-9a-f]+|[0-9A-F]+)\Z")
 DIGEST_LENGTHS = (32, 40, 48, 56, 64, 96, 128)
 UUID = re.compile(r"[0-9A-Fa-f]{8}(?:-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}\Z")
 NUMBER = re.compile(r"[0-9+/=_-]+\Z")
-WORDS = re.compile(r"(?:[A-Z]?[a-z]+|[A-Z]+|[0-9]{1,4}|[+/=_-]+)")
 PATTERN = (r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+""")
 
 
@@ -71,13 +70,8 @@ def _order(span: tuple[int, str, int]) -> tuple[int, int]:
 
 
 def known(run: str) -> bool:
-    """Digests, numbers and identifiers: strings that are opaque by design but no secret."""
-    if NUMBER.match(run) or UUID.match(run) or len(run) in DIGEST_LENGTHS and DIGEST.match(run):
-        return True
-    if run.isalpha() and (run.islower() or run.isupper() or run.istitle()):
-        return True
-    parts = WORDS.findall(run)  # fooBarBaz-2024: few parts, each a word or a short number
-    return len(run) >= 5 * len([p for p in parts if p.isalnum()])
+    """Digests, numbers and UUIDs: strings that are opaque by design but no secret."""
+    return bool(NUMBER.match(run) or UUID.match(run) or len(run) in DIGEST_LENGTHS and DIGEST.match(run))
 
 
 def opaque_spans(text: str, enc: tiktoken.Encoding, taken: list[tuple[int, str, int]],

@@ -169,6 +169,21 @@ def test_token_efficiency():
         assert secret_scan.opaque_spans(fine, enc, []) == []
 
 
+def test_one_case_keys_are_found():
+    """Random letters of one case or in title case, alone or as joined halves; words are not."""
+    enc = secret_scan._vocabulary(secret_scan.vocabulary_path())
+    rnd = random.Random(5)
+    lower = ["".join(rnd.choices("abcdefghijklmnopqrstuvwxyz", k=40)) for _ in range(200)]
+    forms = {"lower": lower, "upper": [x.upper() for x in lower], "title": [x.title() for x in lower],
+             "halves": [f"{x[:20]}-{x[20:].upper()}" for x in lower], "joined": [f"{x[:20]}_{x[20:]}" for x in lower]}
+    for form, keys in forms.items():
+        found = sum(secret_scan.opaque_spans(f"key {k} end", enc, []) == [(4, "opaque", 4 + len(k))] for k in keys)
+        assert found >= 0.95 * len(keys), form
+    for fine in ("pneumonoultramicroscopicsilicovolcanoconiosis", "Donaudampfschifffahrtsgesellschaft", "MAX_CONNECTION_POOL_SIZE",
+                 "read-only-file-system-2024", "=" * 40, "a" * 40):
+        assert secret_scan.opaque_spans(fine, enc, []) == []
+
+
 def test_secrets_odd_rows(spark, odd_docs, empty_docs):
     out = secret_scan.secret_stage(spark, odd_docs, "")
     assert out.columns == odd_docs.columns and out.count() == odd_docs.count()
