@@ -45,6 +45,18 @@ def test_gbt_auc_above_chance_on_planted_signal(spark):
     assert auc > 0.6
 
 
+def test_sweeps_train_on_all_training_partitions(spark, small_dir):
+    from prospect.operators.models import TRAIN_PARTITIONS
+    from prospect.plans.q_models import _balanced_features
+    t, ho = _balanced_features(spark, small_dir)
+    try:
+        rows = t.x.rdd.mapPartitions(lambda part: [sum(1 for _ in part)]).collect()
+        assert len(rows) == TRAIN_PARTITIONS and sum(n > 0 for n in rows) > 1 and max(rows) < sum(rows) / 2
+    finally:
+        t.close()
+        ho.unpersist()
+
+
 def test_smote_balanced_and_between_parents(spark, small_dir):
     from prospect.operators.smote import smote, synthetic_rows
     cols = ["cons_conf_idx", "nr_employed"]
