@@ -9,9 +9,11 @@ more than the language.
 The margin is the share by which the runner-up is longer; below ``MIN_MARGIN`` the text is
 rejected. ``score`` grows with the margin from 1 / languages (a tie) to 1.
 
-Learning reads text and non-null lang of the rows offered, at most ``SAMPLE_DOCS`` documents a
-language by a hash of the id and ``DICT_BYTES`` of text from them: a bounded sample of labelled
-rows (a parameter); prediction covers every whole text. Only text enters a prediction.
+Learning reads text and non-null lang of the rows offered: at most ``MOST_LANGS`` languages, the
+most frequent ones, ``SAMPLE_DOCS`` documents a language by a hash of id and text, and from each an
+equal share of ``DICT_BYTES``, taken at a place that the hash chooses (texts of fewer sampled
+documents give more each). This is a bounded sample of labelled rows (its bounds are parameters);
+prediction covers every whole text. Only text enters a prediction.
 
 Null texts and texts without a letter are ``und`` with score 0, and rejected. With no language
 learned (an empty table) all are ``und``. Ties go to the language that comes first in the order
@@ -29,7 +31,7 @@ from pyspark.sql import functions as F
 from prospect.llm.common import col, ship, table, temp_name
 
 SAMPLE_DOCS = 400
-DOC_BYTES = 2048
+MOST_LANGS = 256
 DICT_BYTES = 64 * 1024
 PIECE = 4096
 LEVEL = 6
@@ -41,30 +43,33 @@ LETTER = regex.compile(r"\p{L}")
 BLANK = bytes(c if c >= 128 or chr(c).isalpha() else 32 for c in range(256))
 
 
-def learn_dictionaries(df: DataFrame, id_col: str, text_col: str, lang_col: str,
-                       sample_docs: int = SAMPLE_DOCS, dict_bytes: int = DICT_BYTES,
-                       doc_bytes: int = DOC_BYTES) -> dict[str, bytes]:
+def learn_dictionaries(df: DataFrame, id_col: str, text_col: str, lang_col: str, sample_docs: int = SAMPLE_DOCS,
+                       dict_bytes: int = DICT_BYTES, most_langs: int = MOST_LANGS) -> dict[str, bytes]:
     """Language -> sample text, most frequent language first.
 
-    Document ids are picked per language by hash before any text moves; a hot language is cut
-    to ``sample_docs`` in every task by the window's group limit. The driver receives at most
-    ``dict_bytes`` a language.
+    A hash threshold from the language's row count lets some four times the sample through where
+    rows are read, so no task sees more than that of a hot language; the smallest hashes are taken.
+    The driver receives at most ``most_langs`` counts and ``dict_bytes`` a language.
     """
     rows = df.select(col(id_col).alias("id"), col(text_col).alias("text"), col(lang_col).alias("lang")).where(
         "text is not null and lang is not null")
+    counts = [(r["lang"], r["n"]) for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+              .orderBy(F.desc("n"), "lang").limit(most_langs).collect()]
+    if not counts:
+        return {}
+    share = [(k, max(1, dict_bytes // min(n, sample_docs)), min(1.0, 4 * sample_docs / n)) for k, n in counts]
+    langs = F.broadcast(df.sparkSession.createDataFrame(share, "lang string, chars int, part double"))
     h = F.xxhash64(F.col("id"), F.xxhash64("text"))
-    by_hash = Window.partitionBy("lang").orderBy("h")
-    picked = (rows.select("lang", h.alias("h")).withColumn("r", F.row_number().over(by_hash))
-              .where(F.col("r") <= sample_docs).groupBy("lang").agg(F.max("h").alias("cut")))
-    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
-    # One row a language is broadcast; texts are picked where they are read.
-    sample = (rows.withColumn("h", h).join(F.broadcast(picked), "lang").where("h <= cut")
-              .select("lang", "h", F.substring("text", 1, doc_bytes).alias("text")))
+    place = F.pmod(F.xxhash64("h"), F.greatest(F.length("text") - F.col("chars"), F.lit(0)) + 1).cast("int")
+    picked = (rows.withColumn("h", h).join(langs, "lang")
+              .where(F.shiftrightunsigned("h", 11) < F.col("part") * F.lit(2.0 ** 53))
+              .select("lang", "h", F.substring(F.col("text"), place + 1, F.col("chars")).alias("text"))
+              .withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy("h", "text")))
+              .where(F.col("r") <= sample_docs))
     texts: dict[str, list[str]] = {}
-    for r in sample.groupBy("lang").agg(F.sort_array(F.collect_set(F.struct("h", "text"))).alias("s")).collect():
+    for r in picked.groupBy("lang").agg(F.sort_array(F.collect_set(F.struct("h", "text"))).alias("s")).collect():
         texts[r["lang"]] = list(dict.fromkeys(x["text"] for x in r["s"]))
-    order = sorted(texts, key=lambda k: (-counts[k], k))
-    return {k: _fill(texts[k], dict_bytes) for k in order}
+    return {k: _fill(texts.get(k, []), dict_bytes) for k, _ in counts}
 
 
 def plain(text: str) -> bytes:
@@ -108,7 +113,10 @@ def judge(text: str | None, comp: Compressors, min_margin: float = MIN_MARGIN) -
 
 def predict_language(df: DataFrame, text_col: str, dictionaries: dict[str, bytes], out: str = "language",
                      min_margin: float = MIN_MARGIN, level: int = LEVEL) -> DataFrame:
-    """Add ``out``: struct(lang string, score double, margin double, rejected boolean)."""
+    """Add ``out``: struct(lang string, score double, margin double, rejected boolean).
+
+    The function is marked as non-deterministic so that the optimizer doesn't copy it into a filter
+    and a projection on its fields, which would compress every text twice."""
     ship(df.sparkSession)
     sc = df.sparkSession.sparkContext
     shared = sc.broadcast(dictionaries)  # DICT_BYTES a language
@@ -122,7 +130,7 @@ def predict_language(df: DataFrame, text_col: str, dictionaries: dict[str, bytes
         return pa.StructArray.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)],
                                           ["lang", "score", "margin", "rejected"])
 
-    return df.withColumn(out, predict(col(text_col)))
+    return df.withColumn(out, predict.asNondeterministic()(col(text_col)))
 
 
 def _held_out(id_col: str):
