@@ -10,7 +10,7 @@ picks the one that fits, and the ids are read off backwards from the end.
 
 Characters without a piece stand for themselves, never merge, and come out as their UTF-8 byte
 pieces. No piece has a blank mark after another character, so no merge crosses the start of a word:
-words are encoded apart and remembered per process (bounded). Nulls count as empty; empty texts have
+words are encoded apart and remembered per process (bounded in bytes). Nulls count as empty; empty texts have
 no ids; very long texts are one walk over their words; rows are independent of each other.
 """
 
@@ -20,6 +20,7 @@ import hashlib
 import re
 from functools import lru_cache
 from itertools import chain
+from sys import getsizeof
 
 import ahocorasick
 import pyarrow as pa
@@ -30,24 +31,33 @@ from pyspark.sql import functions as F
 from prospect.llm.common import col, ship, table
 
 MARK = "▁"
-#: Words and pairs remembered per process; past it the memory is emptied and filled again.
-MOST_WORDS = 600_000
-MOST_PAIRS = 1_000_000
+#: Bytes of words, and pairs, remembered per process. Words stand in two halves: when the newer is
+#: full it becomes the older one, whose words are found again if they still occur.
+WORD_BYTES = 112 << 20
+MOST_PAIRS = 300_000
 START, NO_PIECE = 65535, 65534
 RUNS = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 
 
 class Memory(dict):
-    """Ids of words, found when first asked for."""
+    """Ids of words, found when first asked for; two generations of at most half of ``most`` bytes."""
 
-    def __init__(self, find):
+    def __init__(self, find, most: int = WORD_BYTES):
         super().__init__()
-        self.find = find
-
-    def __missing__(self, word: str) -> tuple[tuple[int, ...], str]:
-        if len(self) >= MOST_WORDS:
+        self.find, self.half = find, most // 2
+        self.older: dict = {}
+        self.used = 0
+
+    def __missing__(self, word: str) -> tuple[int, ...]:
+        got = self.older.get(word)
+        if got is None:
+            got = self.find(word)
+        self.used += getsizeof(word) + getsizeof(got) + 64  # 64: its share of the table
+        if self.used > self.half:
+            self.older = dict(self)
             self.clear()
-        got = self[word] = self.find(word)
+            self.used = 0
+        self[word] = got
         return got
 
 
@@ -71,8 +81,10 @@ class PrefixTable:
             self.trie.add_word(p, (i, len(p)))
         self.trie.make_automaton()
         self.pairs: dict[int, bool] = {}
-        self.runs = Memory(self.word)
-        self.words = Memory(lambda w: self.word(MARK + w))
+        self.numbers = list(range(n))  # one object an id, shared by all remembered words
+        self.names = list(map(str, self.numbers))
+        self.runs = Memory(self.encode_word, WORD_BYTES // 8)
+        self.words = Memory(lambda w: self.encode_word(MARK + w))
 
     def merge(self, text: str) -> list[str]:
         """The defining procedure, for the short texts of pair tests."""
@@ -122,22 +134,15 @@ class PrefixTable:
             else:
                 out.append(piece)
                 at -= len(self.piece[piece])
-        return tuple(reversed(out))
-
-    def word(self, w: str) -> tuple[tuple[int, ...], str]:
-        ids = self.encode_word(w)
-        return ids, ",".join(map(str, ids))
+        return tuple(map(self.numbers.__getitem__, reversed(out)))
 
-    def encode_parts(self, text: str) -> list[tuple[tuple[int, ...], str]]:
+    def encode(self, text: str | None) -> list[int]:
         if not text:
             return []
         words = text.split(" ")
         if MARK in text or "" in words:
-            return list(map(self.runs.__getitem__, RUNS.findall(self.sp.normalize(text))))
-        return list(map(self.words.__getitem__, words))
-
-    def encode(self, text: str | None) -> list[int]:
-        return list(chain.from_iterable(ids for ids, _ in self.encode_parts(text or "")))
+            return list(chain.from_iterable(map(self.runs.__getitem__, RUNS.findall(self.sp.normalize(text)))))
+        return list(chain.from_iterable(map(self.words.__getitem__, words)))
 
     def decode(self, ids: list[int]) -> str:
         return self.sp.decode(ids)
@@ -181,10 +186,9 @@ def round_trip(df: DataFrame, text: str, model: str, out: str = "round_trip") ->
         t = prefix_table(model)
         n, a, b = [], [], []
         for x in texts:
-            parts = t.encode_parts(x.as_py() or "")
-            ids = list(chain.from_iterable([p[0] for p in parts]))
+            ids = t.encode(x.as_py())
             n.append(len(ids))
-            a.append(hashlib.sha256(",".join([p[1] for p in parts]).encode()).hexdigest())
+            a.append(hashlib.sha256(",".join(map(t.names.__getitem__, ids)).encode()).hexdigest())
             b.append(hashlib.sha256(t.decode(ids).encode()).hexdigest())
         return pa.StructArray.from_arrays([pa.array(n, pa.int64()), pa.array(a, pa.string()), pa.array(b, pa.string())],
                                           ["n_tokens", "ids_sha256", "decoded_sha256"])
