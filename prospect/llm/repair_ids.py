@@ -3,148 +3,51 @@
 Documents are tokenised, an end id follows each, and ids are written in ascending document order.
 A shard is a run of whole documents of ``SHARD_IDS`` ids or a little more (a longer document is a
 shard of its own length). In each shard frequent id pairs are replaced by new symbols, round by
-round; a shard's record holds the rules (two symbols each), the expansion length of every rule, and
-the remaining symbols. Lengths let a reader find and expand any range of ids without the rest.
+round until no pair is used ``LEAST_USES`` times; a shard's record holds the rules (two symbols each),
+the expansion length of every rule, and the remaining symbols. Lengths let a reader find and expand any
+range of ids without the rest.
 
 The files are Parquet written by Spark (one record a shard, in ``path``), so any store that
 Spark knows holds them and a lost executor's shards are written again. Record columns:
 ``part, seq`` (order of shards), ``doc_ids``, ``doc_lengths`` (ids, end id included), ``base``
 (first symbol of a rule), ``rules`` (uint32 pairs), ``lengths`` (uint32), ``symbols`` (uint32).
 
-Null texts count as empty and have the end id alone; rows that repeat an id follow each other in
-the order of a text hash; null ids come last; an empty table gives no shard.
+Ids of documents are whole numbers (others raise when Spark casts them). Null texts count as empty and
+have the end id alone; rows that repeat an id follow each other in the order of a text hash; null ids
+come last; very long texts make long shards and are held whole by one task; an empty table gives no
+shard. Columns other than the two named play no part, whatever their names.
 """
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
 
+from prospect.llm.byte_ids import byte_ids, tokenizer_path
 from prospect.llm.common import col, parallelism, ship, table
 from prospect.session import scratch_path
 
 END_ID = 2
 SHARD_IDS = 1 << 20
-#: Rounds of pair replacement, new symbols a round at most, and uses a symbol must have.
-ROUNDS = 3
-RULES_A_ROUND = 8192
+#: Uses that a pair must have to be replaced; pairs looked at in one round (the others wait).
 LEAST_USES = 8
-#: Words remembered per process; past it the memory is emptied and filled again.
-MOST_WORDS = 1_000_000
-
-PIECES = regex.compile(r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+""")
-CUT = re.compile(r" (?=\S|[\x1c-\x1f])")
-ODD = re.compile(r"\s\s|[^\S \n]|\x1f| \Z|[.,][.,]")
-ODD_ASCII = ("..", ",,", ".,", ",.", "  ", " \n", "\n ", "\n\n", "\t", "\r", "\x0b", "\x0c", "\x1c", "\x1d", "\x1e", "\x1f")
-#: The byte-level alphabet: printable Latin-1 stands for itself, the rest from U+0100 on.
-_PLAIN = [*range(33, 127), *range(161, 173), *range(174, 256)]
-ALPHABET = {b: b for b in _PLAIN} | {b: 256 + n for n, b in enumerate(x for x in range(256) if x not in _PLAIN)}
-
-
-class Words(dict):
-    """Ids of words as little-endian uint32 bytes, found when first asked for."""
-
-    def __init__(self, find):
-        super().__init__()
-        self.find = find
-
-    def __missing__(self, word: str) -> bytes | None:
-        if len(self) >= MOST_WORDS:
-            self.clear()
-        got = self[word] = self.find(word)
-        return got
-
-
-class ByteBpe:
-    """Ids of the tokenizers library, each distinct pre-token encoded by its model once.
+RULES_A_ROUND = 8192
 
-    No pre-token reaches over a space that a non-space follows, so any text may be cut there.
-    Plain texts (single spaces and line ends) are cut at full stops and commas before a space
-    and at line ends as well, which leaves mostly bare words; a word that ends in a character
-    other than a letter or digit shows that such a cut may have parted a pre-token, and sends
-    its text to the first way. Texts with a special token's string, and words beyond Latin
-    letters, whose classes may differ by Unicode version, are given to the library as they are.
-    """
 
-    def __init__(self, path: str):
-        self.tok = Tokenizer.from_file(path)
-        self.model = self.tok.model
-        self.special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
-        self.words, self.plain_words = Words(self._word), Words(self._plain_word)
-
-    @staticmethod
-    def cut(text: str) -> list[str]:
-        first, *rest = CUT.split(text)
-        return [first, *[" " + w for w in rest]]
-
-    @staticmethod
-    def cut_plain(text: str) -> list[str] | None:
-        if text.endswith(" ") or any(x in text for x in ODD_ASCII) if text.isascii() else ODD.search(text):
-            return None
-        if text[-1] in ".,":
-            text = f"{text[:-1]}\x1f{text[-1]}"
-        text = text.replace(". ", "\x1f. ").replace(", ", "\x1f, ").replace(".\n", "\x1f.\n")
-        return text.replace("\n", "\x1f\n\x1f").replace(" ", "\x1f ").split("\x1f")
-
-    def _piece(self, piece: str) -> list[int]:
-        mapped = piece.encode().decode("latin-1").translate(ALPHABET)
-        return [t.id for t in self.model.tokenize(mapped)]
-
-    def _word(self, word: str) -> bytes:
-        if not word.isascii() and max(word) >= "ɐ":
-            ids = self.tok.encode(word, add_special_tokens=False).ids
-        elif word[1:].isalpha() and (word[0] == " " or word[0].isalpha()):
-            ids = self._piece(word)
-        else:
-            ids = list(chain.from_iterable(map(self._piece, PIECES.findall(word))))
-        return np.array(ids, dtype="<u4").tobytes()
-
-    def _plain_word(self, word: str) -> bytes | None:
-        """None for a word that a plain cut may have broken off."""
-        return self._word(word) if word in (".", ",", "\n", "") or word[-1].isalnum() else None
-
-    def encode(self, text: str | None, end: bytes = b"") -> bytes:
-        """Ids of a whole text as uint32 bytes, and ``end`` after them."""
-        if not text:
-            return end
-        if any(s in text for s in self.special):
-            return np.array(self.tok.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes() + end
-        plain = self.cut_plain(text)
-        if plain is not None:
-            plain.append("")
-            try:
-                return b"".join(map(self.plain_words.__getitem__, plain)) + end
-            except TypeError:  # a None among them
-                pass
-        return b"".join(map(self.words.__getitem__, self.cut(text))) + end
-
-
-@lru_cache(maxsize=2)
-def encoder(path: str) -> ByteBpe:
-    return ByteBpe(path)
-
-
-def compress(ids: np.ndarray, rounds: int = ROUNDS, most: int = RULES_A_ROUND,
-             least: int = LEAST_USES) -> tuple[int, np.ndarray, np.ndarray, np.ndarray]:
-    """``(base, rules (n, 2), lengths (n), symbols)`` of one shard."""
+def compress(ids: np.ndarray, most: int = RULES_A_ROUND, least: int = LEAST_USES) -> tuple[int, np.ndarray, np.ndarray, np.ndarray]:
+    """``(base, rules (n, 2), lengths (n), symbols)`` of one shard. Rounds go on until no pair stands
+    ``least`` times side by side; every round shortens the sequence, so they end."""
     seq = ids.astype(np.int64)
     base = int(seq.max()) + 1 if len(seq) else 0
     rules, lengths = [np.empty((0, 2), np.int64)], np.empty(0, np.int64)
     top = base
-    for _ in range(rounds):
-        if len(seq) < 2 * least:
-            break
+    while len(seq) > least:
         keys = seq[:-1] << 32 | seq[1:]
         ordered = np.sort(keys)
         edge = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
@@ -155,7 +58,7 @@ def compress(ids: np.ndarray, rounds: int = ROUNDS, most: int = RULES_A_ROUND,
         if not len(frequent):
             break
         pairs = np.sort(ordered[edge[frequent]])
-        slots = np.full(1 << 17, -1, dtype=np.int64)  # a hash table; of pairs that collide one is replaced
+        slots = np.full(1 << 17, -1, dtype=np.int64)  # a hash table; a pair that another one covers waits for the next round
         slots[_slot(pairs)] = np.arange(len(pairs))
         at = slots[_slot(keys)]
         hit = (at >= 0) & (pairs[at] == keys)
@@ -165,8 +68,6 @@ def compress(ids: np.ndarray, rounds: int = ROUNDS, most: int = RULES_A_ROUND,
         start = first[np.searchsorted(first, where, side="right") - 1]
         take = where[(where - start) & 1 == 0]
         used, new = np.unique(at[take], return_inverse=True)
-        if not len(used):
-            break
         seq[take] = top + new
         keep = np.ones(len(seq), dtype=bool)
         keep[take + 1] = False
@@ -233,7 +134,7 @@ def write_ids(df: DataFrame, id_col: str, text_col: str, tokenizer: str, path: s
     dealt = rows.repartitionByRange(parallelism(df.sparkSession), *order).sortWithinPartitions(*order)
 
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, part, seq = encoder(tokenizer), TaskContext.get().partitionId(), 0
+        enc, part, seq = byte_ids(tokenizer), TaskContext.get().partitionId(), 0
         docs: list[int] = []
         held: list[bytes] = []
         end = np.array([end_id], dtype="<u4").tobytes()
@@ -247,9 +148,7 @@ def write_ids(df: DataFrame, id_col: str, text_col: str, tokenizer: str, path: s
                 "symbols": symbols.astype("<u4").tobytes()}], RECORD)
 
         for batch in batches:
-            texts = batch.column("text")
-            for i, doc in enumerate(batch.column("id").to_pylist()):
-                ids = enc.encode(texts[i].as_py(), end)
+            for doc, ids in zip(batch.column("id").to_pylist(), enc.encode(batch.column("text"), end), strict=True):
                 docs.append(doc)
                 held.append(ids)
                 n += len(ids) // 4
@@ -301,11 +200,6 @@ def read_ids(spark: SparkSession, path: str, with_ids: bool = False) -> DataFram
         "doc_id", (F.col("shard_start") + F.col("offset")).alias("start"), "n_tokens", "ids_crc32", *["ids"] * with_ids)
 
 
-def tokenizer_path() -> str:
-    import public_tokenizers
-    return public_tokenizers.path("byte_bpe_50k.json")
-
-
 def op8_repair_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "repair-ids")
     write_ids(table(spark, sf_dir, "documents"), "doc_id", "text", tokenizer_path(), path)

@@ -3,19 +3,22 @@
 from __future__ import annotations
 
 import hashlib
+import json
 import random
 import re
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import sentencepiece
 import xxhash
+import zstandard
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from prospect.llm import langid, repair_ids, registry, secret_scan, sentencepiece_codec, simhash
+from prospect.llm import byte_ids, langid, repair_ids, registry, secret_scan, sentencepiece_codec, simhash
 from prospect.session import scratch_path
 
 WORD = re.compile("[^\x20\x09-\x0D]+")
@@ -40,6 +43,49 @@ def test_language_held_out_accuracy(spark, small_dir):
     assert len(out) >= 0.9 * sum(r.held_out for r in got)
 
 
+def test_language_against_plain_loop(spark, small_dir):
+    """Every row: each 4 KB piece of the cleaned text is compressed with each dictionary anew."""
+    docs = spark.read.parquet(f"{small_dir}/documents.parquet")
+    dicts = langid._learned(docs)
+    assert set(dicts) == {"en", "fr", "de", "es"}
+    assert all(2000 <= len(d) <= langid.DICT_BYTES for d in dicts.values())
+    got = {r.doc_id: r for r in registry.QUERIES["op2_language"](spark, small_dir).collect()}
+    for r in docs.collect():
+        g = got[r.doc_id]
+        if not any(c.isalpha() for c in r.text or ""):
+            assert (g.lang_pred, g.score, g.rejected) == ("und", 0.0, True)
+            continue
+        data = " ".join(re.sub("[\x00-@\\[-`{-\x7f]", " ", r.text.lower()).split()).encode()
+        size = {}
+        for lang, d in dicts.items():
+            z = zstandard.ZstdCompressor(level=langid.LEVEL, write_content_size=False, write_dict_id=False,
+                                         dict_data=zstandard.ZstdCompressionDict(d, dict_type=zstandard.DICT_TYPE_RAWCONTENT))
+            size[lang] = sum(len(z.compress(data[i:i + langid.PIECE])) for i in range(0, len(data), langid.PIECE))
+        a, b = sorted(size.values())[:2]
+        assert size[g.lang_pred] == a
+        assert g.margin == pytest.approx((b - a) / b) and g.rejected == ((b - a) / b < langid.MIN_MARGIN)
+
+
+def test_language_sample(spark):
+    """A hot language, more languages than are learned, and excerpts from all over the texts."""
+    rnd = random.Random(6)
+    letters = lambda n: "".join(rnd.choices("abcdefghij", k=n))
+    rows = [(i, letters(60) + "MID" + letters(60), "hot") for i in range(6000)]
+    rows += [(9000 + i, f"text number {i}", f"l{i // 2}") for i in range(40)]
+    df = spark.createDataFrame(rows, "id long, text string, lang string").repartition(5)
+    d = langid.learn_dictionaries(df, "id", "text", "lang", sample_docs=50, dict_bytes=1000, most_langs=3)
+    assert list(d) == ["hot", "l0", "l1"] and 800 <= len(d["hot"]) <= 1000
+    assert 0 < d["hot"].count(b"mid") < 50
+    assert d == langid.learn_dictionaries(df.repartition(2), "id", "text", "lang", sample_docs=50, dict_bytes=1000, most_langs=3)
+
+
+def test_stages_evaluate_their_function_once(spark, small_dir):
+    docs = spark.read.parquet(f"{small_dir}/documents.parquet")
+    for stage in (langid.language_stage, secret_scan.secret_stage, sentencepiece_codec.sentencepiece_stage):
+        plan = stage(spark, docs, small_dir)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("ArrowEvalPython") <= 1, stage.__name__
+
+
 def test_language_odd_rows(spark, odd_docs, empty_docs):
     d = langid.learn_dictionaries(odd_docs, "doc_id", "text", "lang")
     got = langid.predict_language(odd_docs, "text", d).select("doc_id", "language.*").collect()
@@ -214,11 +260,12 @@ def test_sentencepiece_odd_texts():
 
 
 def test_sentencepiece_memory_bound(monkeypatch):
-    monkeypatch.setattr(sentencepiece_codec, "MOST_WORDS", 3)
     monkeypatch.setattr(sentencepiece_codec, "MOST_PAIRS", 5)
     t = sentencepiece_codec.PrefixTable(sentencepiece_codec.model_path())
+    t.words.half = 600
     text = "some words that are many more than three and come again some words"
-    assert t.encode(text) == t.sp.encode(text) and len(t.words) <= 3 and len(t.pairs) <= 5
+    assert t.encode(text) == t.sp.encode(text) and len(t.pairs) <= 5
+    assert 0 < len(t.words) <= 4 and 0 < len(t.words.older) <= 4
 
 
 def test_sentencepiece_odd_rows(spark, odd_docs, empty_docs):
@@ -242,15 +289,39 @@ def test_repair_files_against_library(spark, small_dir):
         at += len(ids)
 
 
-def test_byte_bpe_odd_texts():
-    bpe = repair_ids.ByteBpe(repair_ids.tokenizer_path())
+def test_byte_ids_odd_texts():
+    bpe = byte_ids.ByteIds(byte_ids.tokenizer_path())
+    assert bpe.core is not None
     rnd = random.Random(4)
     odd = ["", " ", "  ", "a", "a  b", "a \n b", "a\n \nb", "x.\n\n\ny", "foo). Bar", "a.. b", "x,. y", "a . b", "it's. ok", "..\n", "., .",
            "<|endoftext|> a<|endoftext|>", "\x1c \x1d a", "日本 x", "a　 b", "word.", "a\n"]
     odd += ["".join(rnd.choice([" ", ". ", ", ", ".\n", "\n", "ab", "c", "é", "!", ")", "'s", "7", "  ", "日", "\t"])
                     for _ in range(rnd.randint(1, 25))) for _ in range(1500)]
-    want = [bpe.tok.encode(x, add_special_tokens=False).ids for x in odd]
-    assert [np.frombuffer(bpe.encode(x), "<u4").tolist() for x in odd] == want
+    odd += ["".join(rnd.choices(list("ab é ñ \n\t  .,'s'tx12日\u00a0\x85\x1c\x1e\x1f\u2003") + [" the", " \n", "don't", "ǆ", "ℵ"],
+                                k=rnd.randint(0, 40))) for _ in range(3000)]
+    want = [bpe.library(x).tobytes() + b"end." for x in odd]
+    assert bpe.encode(pa.array(odd), b"end.") == want
+    assert bpe.encode(pa.array(["a", None, "b c"]).slice(1)) == [b"", bpe.library("b c").tobytes()]
+    assert bpe.encode(pa.array([], pa.string())) == []
+
+
+def test_byte_ids_other_files(tmp_path):
+    """A file whose merges are not in the order of ids, and one with a token that no merge order gives."""
+    plain = byte_ids.ByteIds(byte_ids.tokenizer_path())
+    spec = json.loads(plain.tok.to_str())
+    texts = ["the tree there, then", "thistle and the rest", "a  b"]
+    spec["model"]["merges"][300:400] = reversed(spec["model"]["merges"][300:400])
+    (tmp_path / "a.json").write_text(json.dumps(spec))
+    other = byte_ids.ByteIds(str(tmp_path / "a.json"))
+    assert other.core is None
+    assert other.encode(pa.array(texts)) == [other.library(x).tobytes() for x in texts]
+    spec = json.loads(plain.tok.to_str())
+    del spec["model"]["merges"][0]  # its token is made no longer, and those that need it neither
+    (tmp_path / "b.json").write_text(json.dumps(spec))
+    other = byte_ids.ByteIds(str(tmp_path / "b.json"))
+    assert other.core is not None
+    more = texts + [t for t in list(spec["model"]["vocab"])[256:3000] if t.isascii()]
+    assert other.encode(pa.array(more)) == [other.library(x).tobytes() for x in more]
 
 
 @pytest.mark.parametrize("n, top", [(0, 5), (1, 5), (40, 2), (5000, 3), (20000, 500)])
@@ -262,17 +333,27 @@ def test_repair_round_trip(n, top):
     for a in range(0, n, max(1, n // 7)):
         m = min(n - a, 13)
         assert (repair_ids.read_range(base, rules, lengths, symbols, a, m) == ids[a:a + m]).all()
+    pairs = Counter(zip(symbols.tolist(), symbols.tolist()[1:], strict=False))
+    assert n <= 2 or max(pairs.values(), default=0) < 2  # nothing is left to replace
     if n >= 5000:
         assert len(symbols) < n
 
 
+def test_repair_long_repeats():
+    """A passage copied thousands of times becomes a few symbols."""
+    ids = np.tile(np.arange(100, 148, dtype=np.uint32), 4096)
+    base, rules, lengths, symbols = repair_ids.compress(ids)
+    assert len(symbols) < 100 and lengths.max() >= 48 * 512
+    assert (repair_ids.expand(base, rules, symbols) == ids).all()
+
+
 def test_repair_odd_rows(spark, odd_docs, empty_docs):
-    bpe = repair_ids.ByteBpe(repair_ids.tokenizer_path())
+    bpe = byte_ids.ByteIds(byte_ids.tokenizer_path())
     for docs, shard in ((odd_docs, 50), (odd_docs, 1 << 20), (empty_docs, 50)):
         path = scratch_path(spark, "test-ids")
         repair_ids.write_ids(docs, "doc_id", "text", repair_ids.tokenizer_path(), path, shard_ids=shard)
         got = repair_ids.read_ids(spark, path, with_ids=True).orderBy("start").collect()
         assert [r.doc_id for r in got] == sorted((r.doc_id for r in docs.select("doc_id").collect()), key=lambda x: (x is None, x))
         assert [r.start for r in got] == [sum(r.n_tokens for r in got[:i]) for i in range(len(got))]
-        texts = Counter(tuple(np.frombuffer(bpe.encode(r.text), "<u4").tolist()) + (2,) for r in docs.collect())
+        texts = Counter(tuple(bpe.library(r.text or "").tolist()) + (2,) for r in docs.collect())
         assert Counter(tuple(r.ids) for r in got) == texts
