@@ -38,50 +38,69 @@ SHARD_IDS = 1 << 20
 #: Uses that a pair must have to be replaced; pairs looked at in one round (the others wait).
 LEAST_USES = 8
 RULES_A_ROUND = 8192
+SLOT_BITS = 20
 
 
 def compress(ids: np.ndarray, most: int = RULES_A_ROUND, least: int = LEAST_USES) -> tuple[int, np.ndarray, np.ndarray, np.ndarray]:
     """``(base, rules (n, 2), lengths (n), symbols)`` of one shard. Rounds go on until no pair stands
-    ``least`` times side by side; every round shortens the sequence, so they end."""
-    seq = ids.astype(np.int64)
+    ``least`` times side by side; every round shortens the sequence, so they end.
+
+    A round replaces every hit of its pairs or takes one of its symbols away, so what is frequent
+    afterwards holds a symbol of the round: the next one looks at those places only, unless pairs
+    were left waiting."""
+    seq = ids.astype(np.uint64)
     base = int(seq.max()) + 1 if len(seq) else 0
     rules, lengths = [np.empty((0, 2), np.int64)], np.empty(0, np.int64)
-    top = base
+    top, fresh = base, 0  # symbols from ``fresh`` on are looked at
     while len(seq) > least:
-        keys = seq[:-1] << 32 | seq[1:]
+        if fresh:
+            new = seq >= np.uint64(fresh)
+            place = np.flatnonzero(new[:-1] | new[1:])
+            keys = seq[place] << np.uint64(32) | seq[place + 1]
+        else:
+            place, keys = None, seq[:-1] << np.uint64(32) | seq[1:]
         ordered = np.sort(keys)
+        if len(ordered) < least:
+            break
         edge = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
         uses = np.diff(np.append(edge, len(ordered)))
         frequent = np.flatnonzero(uses >= least)
-        if len(frequent) > most:
-            frequent = frequent[np.argsort(-uses[frequent], kind="stable")[:most]]
         if not len(frequent):
             break
+        waiting = len(frequent) > most
+        if waiting:
+            frequent = frequent[np.argsort(-uses[frequent], kind="stable")[:most]]
         pairs = np.sort(ordered[edge[frequent]])
-        slots = np.full(1 << 17, -1, dtype=np.int64)  # a hash table; a pair that another one covers waits for the next round
-        slots[_slot(pairs)] = np.arange(len(pairs))
+        slots = np.full(1 << SLOT_BITS, -1, dtype=np.int32)  # a hash table; a pair that another one covers waits
+        own = _slot(pairs)
+        slots[own] = np.arange(len(pairs), dtype=np.int32)
+        waiting |= bool((slots[own] != np.arange(len(pairs))).any())
         at = slots[_slot(keys)]
-        hit = (at >= 0) & (pairs[at] == keys)
+        hit = np.flatnonzero(at >= 0)
+        hit = hit[pairs[at[hit]] == keys[hit]]
+        at, where = at[hit], hit if place is None else place[hit]
         # pairs overlap: of a chain of hits every other one is replaced, from the left
-        first = np.flatnonzero(hit & ~np.concatenate(([False], hit[:-1])))
-        where = np.flatnonzero(hit)
-        start = first[np.searchsorted(first, where, side="right") - 1]
-        take = where[(where - start) & 1 == 0]
-        used, new = np.unique(at[take], return_inverse=True)
-        seq[take] = top + new
+        first = np.concatenate(([True], where[1:] != where[:-1] + 1))
+        odd = (where - where[first][np.cumsum(first) - 1]) & 1 == 0
+        take, at = where[odd], at[odd]
+        is_used = np.zeros(len(pairs), dtype=np.int64)
+        is_used[at] = 1
+        used, number = np.flatnonzero(is_used), np.cumsum(is_used) - 1
+        seq[take] = (top + number[at]).astype(np.uint64)
         keep = np.ones(len(seq), dtype=bool)
         keep[take + 1] = False
         seq = seq[keep]
-        rule = np.stack([pairs[used] >> 32, pairs[used] & 0xFFFFFFFF], axis=1)
+        rule = np.stack([pairs[used] >> np.uint64(32), pairs[used] & np.uint64(0xFFFFFFFF)], axis=1).astype(np.int64)
         lengths = np.append(lengths, _size(rule[:, 0], base, lengths) + _size(rule[:, 1], base, lengths))
         rules.append(rule)
+        fresh = 0 if waiting else top
         top += len(used)
     return base, np.concatenate(rules).astype(np.uint32), lengths.astype(np.uint32), seq.astype(np.uint32)
 
 
 def _slot(pairs: np.ndarray) -> np.ndarray:
-    """17 bits of a multiplicative hash."""
-    return (pairs.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(47)
+    """Some bits of a multiplicative hash."""
+    return ((pairs * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - SLOT_BITS)).view(np.int64)
 
 
 def _size(symbols: np.ndarray, base: int, lengths: np.ndarray) -> np.ndarray:
@@ -91,8 +110,8 @@ def _size(symbols: np.ndarray, base: int, lengths: np.ndarray) -> np.ndarray:
     return out
 
 
-def expand(base: int, rules: np.ndarray, symbols: np.ndarray) -> np.ndarray:
-    """Ids of a run of symbols."""
+def _unfold(base: int, rules: np.ndarray, symbols: np.ndarray) -> np.ndarray:
+    """Ids of a run of symbols, rule by rule until none is left."""
     seq = symbols
     while len(seq):
         made = seq >= base
@@ -107,13 +126,33 @@ def expand(base: int, rules: np.ndarray, symbols: np.ndarray) -> np.ndarray:
     return seq.astype(np.uint32)
 
 
+def expand(base: int, rules: np.ndarray, lengths: np.ndarray, symbols: np.ndarray) -> np.ndarray:
+    """Ids of a run of symbols. Every rule that occurs is unfolded once; the stored lengths say where its
+    ids go, so the run itself is written in one pass, however deep the rules are."""
+    made = symbols >= base
+    used, which = np.unique(symbols[made], return_inverse=True)
+    flat = _unfold(base, rules, used)
+    size = lengths[used - base].astype(np.int64)
+    begin = np.cumsum(size) - size
+    long = np.ones(len(symbols), np.int64)
+    long[made] = n = size[which]
+    ends = np.cumsum(long)
+    out = np.empty(int(ends[-1]) if len(ends) else 0, dtype=np.uint32)
+    starts = ends - long
+    out[starts[~made]] = symbols[~made]
+    before = np.cumsum(n) - n
+    step = np.arange(int(n.sum()))
+    out[step + np.repeat(starts[made] - before, n)] = flat[step + np.repeat(begin[which] - before, n)]
+    return out
+
+
 def read_range(base: int, rules: np.ndarray, lengths: np.ndarray, symbols: np.ndarray, start: int, n: int) -> np.ndarray:
     """``n`` ids from position ``start`` of a shard: only the symbols that cover them are expanded."""
     ends = np.cumsum(_size(symbols, base, lengths.astype(np.int64)))
     a = int(np.searchsorted(ends, start, side="right"))
     b = int(np.searchsorted(ends, start + n, side="left")) + 1
     skip = start - (int(ends[a - 1]) if a else 0)
-    return expand(base, rules, symbols[a:b])[skip:skip + n]
+    return expand(base, rules, lengths, symbols[a:b])[skip:skip + n]
 
 
 RECORD = pa.schema([("part", pa.int32()), ("seq", pa.int32()), ("doc_ids", pa.list_(pa.int64())),
@@ -181,7 +220,8 @@ def read_ids(spark: SparkSession, path: str, with_ids: bool = False) -> DataFram
         for batch in batches:
             for i in range(batch.num_rows):
                 r = {c: batch.column(c)[i].as_py() for c in RECORD.names}
-                ids = expand(r["base"], np.frombuffer(r["rules"], "<u4").reshape(-1, 2), np.frombuffer(r["symbols"], "<u4"))
+                rules, lengths, symbols = (np.frombuffer(r[c], "<u4") for c in ("rules", "lengths", "symbols"))
+                ids = expand(r["base"], rules.reshape(-1, 2), lengths, symbols)
                 ends = np.cumsum(r["doc_lengths"])
                 begins = ends - r["doc_lengths"]
                 raw = ids.astype("<u4").tobytes()

@@ -329,7 +329,7 @@ def test_repair_round_trip(n, top):
     rnd = np.random.default_rng(n)
     ids = (rnd.zipf(1.3, n) % top).astype(np.uint32)
     base, rules, lengths, symbols = repair_ids.compress(ids, least=2)
-    assert (repair_ids.expand(base, rules, symbols) == ids).all()
+    assert (repair_ids.expand(base, rules, lengths, symbols) == ids).all()
     for a in range(0, n, max(1, n // 7)):
         m = min(n - a, 13)
         assert (repair_ids.read_range(base, rules, lengths, symbols, a, m) == ids[a:a + m]).all()
@@ -344,7 +344,7 @@ def test_repair_long_repeats():
     ids = np.tile(np.arange(100, 148, dtype=np.uint32), 4096)
     base, rules, lengths, symbols = repair_ids.compress(ids)
     assert len(symbols) < 100 and lengths.max() >= 48 * 512
-    assert (repair_ids.expand(base, rules, symbols) == ids).all()
+    assert (repair_ids.expand(base, rules, lengths, symbols) == ids).all()
 
 
 def test_repair_odd_rows(spark, odd_docs, empty_docs):
