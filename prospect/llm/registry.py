@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from prospect.llm import anchors, flat_graph, langid, mixing, repair_ids, secret_scan, sentencepiece_codec, simhash, spotsigs, url_filter
+from prospect.llm import (anchors, flat_graph, langid, mixing, packing, prefix_trie, repair_ids, secret_scan, sentencepiece_codec,
+                          simhash, spotsigs, url_filter, whitening)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_flat_graph": flat_graph.op1_flat_graph,
@@ -19,6 +20,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_repair_ids": repair_ids.op8_repair_ids,
     "op9_url_filter": url_filter.op9_url_filter,
     "op10_secret_scan": secret_scan.op10_secret_scan,
+    "op11_shortest_pack": packing.op11_shortest_pack,
+    "op12_bit_sliced_whitening": whitening.op12_bit_sliced_whitening,
+    "op13_conversation_trie": prefix_trie.op13_conversation_trie,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -26,4 +30,5 @@ ORACLE_SQL: dict[str, str] = {
     "op4_temperature_mix": mixing.ORACLE_SQL,
     "op5_anchor_dedup": anchors.ORACLE_SQL,
     "op9_url_filter": url_filter.ORACLE_SQL,
+    "op13_conversation_trie": prefix_trie.ORACLE_SQL,
 }
