@@ -19,9 +19,10 @@ binary digits. A node finds the child of the centroid that it lies under by look
 conversation's path at the depth below the centroid; no ancestors are walked. Components of at
 most ``SMALL`` weight (and so nodes) are finished inside tasks, many in each, by the same recursion.
 
-Conversation ids are whole numbers or strings. Rows without one are left out. Turns are ordered by turn (null first), then by the MD5 of
-role and text; null role or text count as empty; equal rows are turns of their own. Very long texts
-are hashed where they are read. An empty table has no node. Columns other than those named play no part.
+Conversation ids are whole numbers or strings. Rows without one are left out. Turns are ordered by turn
+(null first), then by the MD5 of role and text; null role or text count as empty; equal rows are turns
+of their own. Very long texts are hashed where they are read. An empty table has no node. Columns other
+than those named play no part.
 """
 
 from __future__ import annotations
@@ -41,6 +42,8 @@ from prospect.llm.common import col, parallelism, ship, table, written
 BLOCK = 4096
 SMALL = 4096
 CHUNK = 1 << 16
+#: Components that a round sends to every task at most (a row each); more are joined by shuffle.
+BROADCAST_COMPONENTS = 50_000
 LANES = ["s0", "s1", "s2", "s3"]
 
 
@@ -238,6 +241,8 @@ def rollup(nodes: DataFrame, paths: DataFrame, values: list[str], small: int = S
     parts = nodes.select(*name, "parent", "weight", *values, F.lit(one["top_conv"]).cast(nodes.schema["conv"].dataType).alias("top_conv"),
                          F.lit(one["top_depth"]).cast("long").alias("top_depth"), F.lit(one["all"]).cast("long").alias("all"))
     top = ["top_conv", "top_depth"]
+    # Components of more than ``small`` weight are disjoint, so there are at most all / small of them.
+    few = (lambda d: F.broadcast(d)) if one["all"] // small <= BROADCAST_COMPONENTS else (lambda d: d)
     added: list[DataFrame] = []
     done: list[DataFrame] = []
     while True:
@@ -249,7 +254,7 @@ def rollup(nodes: DataFrame, paths: DataFrame, values: list[str], small: int = S
         centroids = (parts.where(on_path).groupBy(*top).agg(F.min(F.struct("weight", "depth", "conv")).alias("c"))
                      .select(*top, F.col("c.weight").alias("c_weight"), F.col("c.depth").alias("c_depth"), F.col("c.conv").alias("c_conv")))
         step = paths.select(F.col("conv").alias("l_conv"), F.col("depth").alias("l_depth"), F.col("node").alias("child"), F.col("parent").alias("child_parent"))
-        seen = (parts.join(centroids, top).withColumn("on_path", on_path)
+        seen = (parts.join(few(centroids), top).withColumn("on_path", on_path)
                 .withColumn("look", F.when(~F.col("on_path") & (F.col("depth") > F.col("c_depth")), F.col("c_depth") + 1))
                 .join(step, (F.col("conv") == F.col("l_conv")) & (F.col("look") == F.col("l_depth")), "left"))
         is_centroid = (F.col("depth") == F.col("c_depth")) & (F.col("conv") == F.col("c_conv"))
@@ -265,7 +270,7 @@ def rollup(nodes: DataFrame, paths: DataFrame, values: list[str], small: int = S
         totals = (below.select(*top, *values).unionAll(split.where("is_centroid").select(*top, *values))
                   .groupBy(*top).agg(*[F.sum(v).alias(f"t_{v}") for v in values]))
         # What the centroid's path gains; its own values are counted at the end.
-        added.append(split.where("on_path").join(totals, top).select(
+        added.append(split.where("on_path").join(few(totals), top).select(
             *name, *[(F.col(f"t_{v}") - F.when(F.col("is_centroid"), F.col(v)).otherwise(0)).alias(v) for v in values]))
         done.append(split.where("is_centroid").select(
             *name, "parent", "weight", *values, F.col("conv").alias("top_conv"), F.col("depth").alias("top_depth"), F.lit(1).cast("long").alias("all")))

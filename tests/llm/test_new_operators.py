@@ -217,7 +217,8 @@ def test_whitening_odd_rows(spark):
     assert whitening.fit_whitening(df.where("false"), "v") is None
     assert whitening.fit_whitening(spark.createDataFrame([(1, [1.0, 2.0])] * 3, "id long, v array<float>"), "v") is None
     huge = spark.createDataFrame([(1, [1e300, 1.0]), (2, [-1e300, 2.0]), (3, [0.0, 5.0])], "id long, v array<double>")
-    assert {r.deviation for r in whitening.whiten(huge, "id", "v", whitening.fit_whitening(huge, "v")).collect()} == {None}
+    got = {r.id: r.deviation for r in whitening.whiten(huge, "id", "v", whitening.fit_whitening(huge, "v")).collect()}
+    assert got == {1: None, 2: None, 3: (3 * 320 - 512) ** 2}
 
 
 # ---- conversation trie ----
