@@ -31,7 +31,7 @@ import tiktoken
 from tokenizers import Tokenizer
 
 #: Bytes of text that are cut at a time.
-SLICE = 8 << 20
+SLICE = 4 << 20
 
 PIECES = regex.compile(r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+""")
 #: The same for words, where white space is one blank in front; words are joined by line ends.
