@@ -9,8 +9,7 @@ are inserted in batches, a greedy beam search from the medoid finds a node's nei
 pruning keeps those neighbours that no kept one is much closer to; back links are pruned likewise.
 A node's adjacency lists from all its clusters are united. Every node is then searched for in each of
 its clusters: greedily from the medoid, then outwards over the united lists as long as nodes within
-the range (widened by ``SLACK``) turn up; where that takes more steps than there are pairs, all pairs
-are compared. Links are checked in double precision, so none is wrong.
+the range (widened by ``SLACK``) turn up. Links are checked in double precision, so none is wrong.
 
 A pair that shares several clusters counts in the first of them only, so links are counted without
 being listed; clusters report stars, which are joined into components over all clusters. Recall is
@@ -29,7 +28,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from prospect.llm.common import col, connected_components, ship, table, written
@@ -42,6 +41,8 @@ OVERLAP = 3
 MOST_CENTRES = 4096
 SAMPLE_A_CENTRE = 16
 FIT_ROUNDS = 5
+#: Nodes of a large label that meet its centres in one task.
+CHUNK_ROWS = 20_000
 DEGREE = 24
 BEAM = 40
 ALPHA = 1.2
@@ -142,26 +143,42 @@ def build_graph(x: np.ndarray, degree: int = DEGREE, beam: int = BEAM, alpha: fl
 
 def range_search(x: np.ndarray, graph: np.ndarray, start: int, queries: np.ndarray, least: float,
                  slack: float = SLACK, beam: int = BEAM) -> np.ndarray:
-    """(queries, nodes) booleans: nodes within ``least`` found from the beam outwards."""
-    seen = np.zeros((len(queries), len(x)), dtype=bool)
+    """(queries, nodes) booleans: nodes within ``least`` found from the beam outwards.
+
+    All queries expand together: a step marks, for every query, the neighbours of its frontier, by one
+    OR over the edges sorted by their end, so it takes as long in a dense group, where every query's
+    frontier holds most nodes, as anywhere; only nodes that an edge reaches are compared.
+    """
+    n = len(x)
+    seen = np.zeros((len(queries), n), dtype=bool)
     near = np.zeros_like(seen)
     found = beam_search(x, graph, start, queries, beam)
     q, v = np.nonzero(found >= 0)
-    v = found[q, v]
-    while len(q):
-        seen[q, v] = True
-        sims = np.einsum("nd,nd->n", x[v], queries[q])
-        close = sims >= least - slack
-        near[q[close], v[close]] = True
-        q, v = q[close], v[close]
-        if len(q) * graph.shape[1] > seen.size:  # a dense group: its pairs cost less than its edges
-            return queries @ x.T >= least - slack
-        next_q, next_v = np.repeat(q, graph.shape[1]), graph[v].ravel()
-        keep = next_v >= 0
-        next_q, next_v = next_q[keep], next_v[keep]
-        keep = ~seen[next_q, next_v]
-        flat = np.unique(next_q[keep] * len(x) + next_v[keep])
-        q, v = flat // len(x), flat % len(x)
+    reached = np.zeros_like(seen)
+    reached[q, found[q, v]] = True
+    ends = graph.ravel()
+    order = np.flatnonzero(ends >= 0)
+    order = order[np.argsort(ends[order], kind="stable")]
+    sources, ends = order // graph.shape[1], ends[order]
+    first = np.flatnonzero(np.concatenate(([True], ends[1:] != ends[:-1]))) if len(ends) else ends
+    while reached.any():
+        seen |= reached
+        q, v = np.nonzero(reached)
+        close = np.zeros(len(q), dtype=bool)
+        for i in range(0, len(q), 1 << 15):
+            part = slice(i, i + (1 << 15))
+            close[part] = np.einsum("nd,nd->n", x[v[part]], queries[q[part]]) >= least - slack
+        frontier = np.zeros_like(seen)
+        frontier[q[close], v[close]] = True
+        near |= frontier
+        reached = np.zeros_like(seen)
+        live = np.flatnonzero(frontier.any(axis=1))
+        if not len(live) or not len(ends):
+            return near
+        for i in range(0, len(live), 32):
+            some = live[i:i + 32]
+            reached[np.ix_(some, ends[first])] = np.logical_or.reduceat(frontier[some][:, sources], first, axis=1)
+        reached &= ~seen
     return near
 
 
@@ -207,41 +224,53 @@ def _matrix(column: pa.ChunkedArray) -> np.ndarray:
     return flat.values.to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(flat), -1)
 
 
-def label_centres(nodes: DataFrame, shard_rows: int, overlap: int, least: float = MIN_COSINE) -> dict[tuple, np.ndarray]:
-    """Centres of every (label, length) with more nodes than a cluster takes; clusters of dense groups
-    are larger than ``shard_rows`` and cut by hash later on. The driver sees at most
-    ``SAMPLE_A_CENTRE`` rows for each of at most ``MOST_CENTRES`` centres a label."""
+def label_centres(nodes: DataFrame, shard_rows: int, overlap: int, least: float = MIN_COSINE) -> DataFrame:
+    """``(label, dim, count, centres)`` of every (label, length) with more nodes than a cluster takes; clusters
+    of dense groups are larger than ``shard_rows`` and cut by hash later on.
+
+    A hash threshold from the label's count lets about ``SAMPLE_A_CENTRE`` nodes for each of at most
+    ``MOST_CENTRES`` centres through where nodes are read, so a hot label's rows don't meet; each label's
+    sample, bounded by that, is fitted in a task of its own. Centres are a table, flattened by rows.
+    """
     sizes = nodes.groupBy("label", "dim").count().where(F.col("count") > shard_rows)
     want = sizes.withColumn("k", F.least(F.ceil(F.col("count") * overlap / shard_rows), F.lit(MOST_CENTRES)).cast("int"))
-    by_hash = Window.partitionBy("label", "dim").orderBy("node")
-    ranked = nodes.join(want, ["label", "dim"]).withColumn("r", F.row_number().over(by_hash))
-    sample = ranked.where(F.col("r") <= MOST_CENTRES * SAMPLE_A_CENTRE).where(F.col("r") <= F.col("k") * SAMPLE_A_CENTRE)
-    rows: dict[tuple, list] = {}
-    for r in sample.select("label", "dim", "k", "unit").toLocalIterator():
-        rows.setdefault((r["label"], r["dim"], r["k"]), []).append(r["unit"])
-    return {(label, dim): thinned_centres(np.array(v), k, least) for (label, dim, k), v in rows.items()}
-
-
-def with_clusters(nodes: DataFrame, centres: dict[tuple, np.ndarray], overlap: int) -> DataFrame:
-    """Add ``cells``: sorted numbers of the node's clusters within its label."""
-    shared = nodes.sparkSession.sparkContext.broadcast(centres)  # bounded as label_centres says
-
-    @F.arrow_udf("array<int>")
-    def cells(label: pa.Array, dim: pa.Array, unit: pa.Array) -> pa.Array:
-        out: list = [[0]] * len(unit)
-        groups: dict[tuple, list[int]] = {}
-        for i, key in enumerate(zip(label.to_pylist(), dim.to_pylist(), strict=True)):
-            if key in shared.value:
-                groups.setdefault(key, []).append(i)
-        for key, at in groups.items():
-            x = np.array(unit.take(pa.array(at)).to_pylist())
-            c = shared.value[key]
-            near = np.argsort(-(x @ c.T), axis=1, kind="stable")[:, :overlap]
-            for i, own in zip(at, np.sort(near, axis=1).tolist(), strict=True):
-                out[i] = own
-        return pa.array(out, pa.list_(pa.int32()))
-
-    return nodes.withColumn("cells", cells("label", "dim", "unit"))
+    share = F.col("k") * SAMPLE_A_CENTRE / F.col("count")
+    sample = (nodes.join(want, ["label", "dim"])
+              .where(F.shiftrightunsigned(F.xxhash64(F.lit("sample"), "node"), 11) < share * F.lit(2.0 ** 53))
+              .select("label", "dim", "count", "k", "node", "unit"))
+    kind = nodes.schema["label"].dataType.simpleString()
+
+    def fit(t: pa.Table) -> pa.Table:
+        t = t.sort_by("node")
+        x = _matrix(t.column("unit"))
+        centres = thinned_centres(x, t.column("k")[0].as_py(), least)
+        return pa.table({"label": t.column("label").slice(0, 1), "dim": t.column("dim").slice(0, 1), "count": t.column("count").slice(0, 1),
+                         "centres": pa.array([centres.ravel()], pa.list_(pa.float64()))})
+
+    return written(sample.groupBy("label", "dim").applyInArrow(fit, f"label {kind}, dim int, count long, centres array<double>"), "graph-centres")
+
+
+def with_clusters(nodes: DataFrame, centres: DataFrame, overlap: int, chunk: int = CHUNK_ROWS) -> DataFrame:
+    """Add ``cells``: sorted numbers of the node's clusters within its label. Nodes of a label that has
+    centres meet them in chunks of about ``chunk``; the others have the one cluster 0."""
+    group = ["label", "dim"]
+    plain = nodes.join(centres.select(*group), group, "left_anti").withColumn("cells", F.array(F.lit(0)))
+    chunks = F.ceil(F.col("count") / chunk).cast("int")
+    own = nodes.join(centres.select(*group, chunks.alias("chunks")), group).withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
+    sent = centres.select(*group, "centres", F.explode(F.sequence(F.lit(0), chunks - 1)).alias("chunk"))
+    names = nodes.columns
+
+    def place(t: pa.Table, c: pa.Table) -> pa.Table:
+        if not len(t):
+            return t.select(names).append_column("cells", pa.array([], pa.list_(pa.int32())))
+        x = _matrix(t.column("unit"))
+        by = np.array(c.column("centres")[0].as_py()).reshape(-1, x.shape[1])
+        near = np.concatenate([np.argsort(-(x[i:i + 4096] @ by.T), axis=1, kind="stable")[:, :overlap] for i in range(0, len(x), 4096)])
+        return t.select(names).append_column("cells", pa.array(np.sort(near, axis=1).tolist(), pa.list_(pa.int32())))
+
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in nodes.schema.fields)
+    placed = (own.groupBy(*group, "chunk").cogroup(sent.groupBy(*group, "chunk")).applyInArrow(place, f"{kinds}, cells array<int>"))
+    return plain.unionByName(placed)
 
 
 # ---- the operator ----------------------------------------------------------------------------
@@ -291,7 +320,8 @@ def _search(nodes: DataFrame, least: float, shard_rows: int, overlap: int, most_
             beam: int) -> tuple[DataFrame, DataFrame]:
     """``(node, links)`` parts to be summed, and the edges ``(a, b)`` of stars."""
     centres = label_centres(nodes, shard_rows, overlap, least)
-    placed = written(with_clusters(nodes, centres, overlap).withColumn("label", F.col("label").cast("string"))
+    fields = nodes.select("node", "copies", "unit", "label", "dim")
+    placed = written(with_clusters(fields, centres, overlap).withColumn("label", F.col("label").cast("string"))
                      .select("node", "copies", "unit", "cells", "label", "dim"), "graph-placed")
     member = placed.withColumn("cell", F.explode("cells"))
     sizes = member.groupBy("label", "dim", "cell").count().withColumn("parts", F.ceil(F.col("count") / most_rows).cast("int"))
