@@ -31,7 +31,7 @@ def read_input(spark: SparkSession, path: str, sep: str | None = None) -> DataFr
 
 
 def train(rows: DataFrame, model_path: str, spec: TableSpec = CONTACTS, name: str = "gbt", test_share: float = 0.2,
-          seed: int = 420, partitions: int = MD.TRAIN_PARTITIONS, **params) -> DataFrame:
+          seed: int = 420, partitions: int | None = None, **params) -> DataFrame:
     """Fit on the train split, save both pipelines, and return the metrics of the test split."""
     parts = split_frames(rows, spec.id, {"train": 1.0 - test_share, "test": test_share}, seed)
     MD.save(MD.unfitted_pipeline(spec, name, **params), f"{model_path}/unfitted")
@@ -57,7 +57,7 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--run-date")
     p.add_argument("--sep")
     p.add_argument("--test-share", type=float, default=0.2)
-    p.add_argument("--partitions", type=int, default=MD.TRAIN_PARTITIONS)
+    p.add_argument("--partitions", type=int, help="of the training rows; by default their number decides")
     a = p.parse_args(argv)
     if a.job == "score" and not (a.output and a.run_date):
         p.error("score needs --output and --run-date")

@@ -15,11 +15,12 @@ original layout where ``dropLast`` removes the last seen category (n - 1 slots p
 from __future__ import annotations
 
 from pyspark.ml import Pipeline
-from pyspark.ml.feature import Imputer, OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.feature import Bucketizer, Imputer, OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from prospect.operators.stats import exact_quantiles
 from prospect.spec import TableSpec
 
 
@@ -29,8 +30,43 @@ def labelled(df: DataFrame, spec: TableSpec, out: str = "label") -> DataFrame:
     return df.withColumn(out, F.when(y == F.lit(spec.positive), F.lit(1.0)).when(y == F.lit(spec.negative), F.lit(0.0)))
 
 
+#: Values that a binned numeric has at most.
+BINS = 32
+
+
+def bin_borders(df: DataFrame, cols: list[str], bins: int = BINS) -> dict[str, list[float]]:
+    """Borders that cut each numeric into at most ``bins`` bins of about equal counts: exact quantiles, without
+    those that leave less than a quarter of an even share on a side. Tree learners draw their split
+    candidates from a sample of rows taken partition by partition; of a column of so few and so frequent
+    values every sample sees all, so the candidates, and the trees, don't depend on the partitions."""
+    wide = df.select(*[F.col(f"`{c}`").cast("double").alias(c) for c in cols])
+    long = wide.unpivot([], cols, "feature", "value")
+    found: dict[str, set[float]] = {c: set() for c in cols}
+    for r in exact_quantiles(long, "feature", "value", [i / bins for i in range(1, bins)]).collect():  # bins rows a column
+        found[r["feature"]].add(r["q"])
+    at = {c: [float("-inf"), *(sorted(v) or [0.0]), float("inf")] for c, v in found.items()}
+    cut = Bucketizer(splitsArray=[at[c] for c in cols], inputCols=cols, outputCols=[f"{c}_bin" for c in cols], handleInvalid="keep").transform(wide)
+    counts = cut.select(*[F.when(F.col(c).isNotNull(), F.col(f"{c}_bin")).alias(c) for c in cols]).unpivot([], cols, "feature", "bin")
+    sizes = {(r["feature"], int(r["bin"])): r["n"] for r in counts.where("bin is not null").groupBy("feature", "bin")
+             .agg(F.count(F.lit(1)).alias("n")).collect()}
+    out = {}
+    for c in cols:
+        inner = at[c][1:-1]
+        share = [sizes.get((c, i), 0) for i in range(len(inner) + 1)]
+        least = sum(share) / (4 * bins)
+        kept, left = [], 0
+        for i, border in enumerate(inner):
+            left += share[i]
+            if left >= least and sum(share[i + 1:]) >= least:
+                kept.append(border)
+                left = 0
+        out[c] = kept or inner[:1]
+    return out
+
+
 def encoding_stages(spec: TableSpec, drop_last: bool = True, handle_invalid: str = "keep",
-                    impute: bool = True) -> list:
+                    impute: bool = True, borders: dict[str, list[float]] | None = None) -> list:
+    """The stages of E1-E5; with ``borders`` (see ``bin_borders``) numerics enter as the number of their bin."""
     cats = list(spec.categorical)
     nums = list(spec.numeric)
     stages = []
@@ -38,6 +74,13 @@ def encoding_stages(spec: TableSpec, drop_last: bool = True, handle_invalid: str
     if impute and nums:
         num_cols = [f"{c}_imp" for c in nums]
         stages.append(Imputer(strategy="mean", inputCols=nums, outputCols=num_cols))
+    if borders and nums:
+        cut = [f"{c}_cut" for c in nums]
+        stages.append(Bucketizer(splitsArray=[[float("-inf"), *borders[c], float("inf")] for c in nums], inputCols=num_cols,
+                                 outputCols=cut, handleInvalid="keep"))
+        # Plain numbers: with the bins as categories a tree would regroup them freely.
+        stages.append(SQLTransformer(statement="SELECT *, " + ", ".join(f"`{c}` + 0D AS `{c[:-4]}_bin`" for c in cut) + " FROM __THIS__"))
+        num_cols = [f"{c}_bin" for c in nums]
     stages.append(StringIndexer(inputCols=cats, outputCols=[f"{c}_index" for c in cats],
                                 handleInvalid=handle_invalid, stringOrderType="frequencyDesc"))
     stages.append(OneHotEncoder(inputCols=[f"{c}_index" for c in cats], outputCols=[f"{c}_vec" for c in cats],

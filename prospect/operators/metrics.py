@@ -7,10 +7,11 @@ the original Spark 2 jobs did, instead of an ANSI error.
 
 from __future__ import annotations
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from prospect.functions.ordered import running_sums
+from prospect.functions.ordered import BUCKET, add_range_bucket, default_buckets, running_sums
 
 
 def _div(a: Column, b: Column) -> Column:
@@ -120,6 +121,70 @@ def roc_curve(df: DataFrame, label: str = "label", score: str = "score", digits:
     )
 
 
+def auc_many(df: DataFrame, scores: list[str], label: str = "label", digits: int = 6,
+             n_buckets: int | None = None) -> DataFrame:
+    """Exact area under ROC of any number of score columns (H8, G12): ``(score, auc)``.
+
+    Every column is cut into ranges by its own approximate quantiles (one aggregate over all columns),
+    the rows are unpivoted to (column, range, score) in the scan and reduced to distinct scores, ranks
+    are added up inside a range, and the negatives of lower ranges come from a table of one row per column
+    and range. So all columns share one shuffle of distinct scores, and no column is ranked in one task.
+    A missing score (NULL or NaN) leaves the row out of that column only; a column without both
+    classes has no area (NULL).
+    """
+    n_buckets = n_buckets or default_buckets(df)
+    names = [f"_s{i}" for i in range(len(scores))]
+    value = lambda c: F.when(~F.isnan(F.col(f"`{c}`").cast("double")), F.col(f"`{c}`").cast("double"))
+    wide = df.where(F.col(label).isNotNull()).select((F.col(label) == 1).alias("_pos"), *[
+        value(c).alias(n) for c, n in zip(scores, names, strict=True)])
+    probs = [i / n_buckets for i in range(1, n_buckets)]
+    row = wide.agg(*[F.percentile_approx(n, probs, 10_000).alias(n) for n in names]).first()
+    inner = [sorted({q for q in row[n] or [] if abs(q) != float("inf")}) or [0.0] for n in names]
+    splits = [[float("-inf"), *x, float("inf")] for x in inner]
+    cut = Bucketizer(splitsArray=splits, inputCols=names, outputCols=[f"{n}_b" for n in names], handleInvalid="keep").transform(wide)
+    long = cut.select("_pos", F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column"), F.col(n).alias("value"), F.col(f"{n}_b").alias("range"))
+        for c, n in zip(scores, names, strict=True)])).alias("s")).select("_pos", "s.*").where(F.col("value").isNotNull())
+    counts = long.groupBy("column", "range", "value").agg(
+        F.count_if("_pos").alias("pos"), F.count_if(~F.col("_pos")).alias("neg"))
+    w = Window.partitionBy("column", "range").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = counts.withColumn("below", F.sum("neg").over(w) - F.col("neg"))
+    ranges = ranked.groupBy("column", "range").agg(
+        F.sum(F.col("pos") * (F.col("below") + 0.5 * F.col("neg"))).alias("u"), F.sum("pos").alias("p"), F.sum("neg").alias("n"))
+    wr = Window.partitionBy("column").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)  # n_buckets rows
+    total = (ranges.withColumn("lower", F.coalesce(F.sum("n").over(wr), F.lit(0))).groupBy("column")
+             .agg(F.sum(F.col("u") + F.col("p") * F.col("lower")).alias("u"), F.sum("p").alias("p"), F.sum("n").alias("n")))
+    every = df.sparkSession.createDataFrame([(c,) for c in scores], "score string")
+    return every.join(total, F.col("score") == F.col("column"), "left").select(
+        "score", F.round(_div(F.col("u"), F.col("p") * F.col("n")), digits).alias("auc"))
+
+
+def roc_corners(df: DataFrame, label: str = "label", score: str = "score", digits: int = 6) -> DataFrame:
+    """The corner points of the ROC curve (H9): ``(threshold, tpr, fpr)`` without the points that lie on
+    the line between their neighbours, which a drawn curve doesn't need.
+
+    A point stays if the step to it and the step after it differ in direction (the counts' cross product
+    isn't zero), and the last one does. The step after the last score of a range is the first step of
+    the next range that has scores, taken from the table of one row per range.
+    """
+    b = add_range_bucket(_score_counts(df, label, score), "score").withColumn(BUCKET, -F.col(BUCKET))
+    step = F.struct(F.col("pos").cast("decimal(19,0)").alias("p"), F.col("neg").cast("decimal(19,0)").alias("n"))
+    ranges = b.groupBy(F.col(BUCKET).alias("_range")).agg(F.sum("pos").alias("_p"), F.sum("neg").alias("_n"), F.max_by(step, "score").alias("_first"))
+    wr = Window.orderBy("_range")  # one row a range
+    before = wr.rowsBetween(Window.unboundedPreceding, -1)
+    ranges = ranges.select("_range", F.coalesce(F.sum("_p").over(before), F.lit(0)).alias("_p"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_n"),
+                           F.sum("_p").over(Window.partitionBy()).alias("_all_p"), F.sum("_n").over(Window.partitionBy()).alias("_all_n"),
+                           F.lead("_first").over(wr).alias("_first"))
+    w = Window.partitionBy(BUCKET).orderBy(F.col("score").desc())
+    upto = w.rowsBetween(Window.unboundedPreceding, 0)
+    at = b.join(F.broadcast(ranges), F.col(BUCKET) == F.col("_range")).select(
+        "score", step.alias("here"), F.coalesce(F.lead(step).over(w), "_first").alias("next"), "_all_p", "_all_n",
+        (F.sum("pos").over(upto) + F.col("_p")).alias("pos"), (F.sum("neg").over(upto) + F.col("_n")).alias("neg"))
+    corner = F.col("next").isNull() | (F.col("here.p") * F.col("next.n") != F.col("next.p") * F.col("here.n"))
+    return at.where(corner).select(F.col("score").alias("threshold"), F.round(_div(F.col("pos"), F.col("_all_p")), digits).alias("tpr"),
+                                   F.round(_div(F.col("neg"), F.col("_all_n")), digits).alias("fpr"))
+
+
 def rmse(df: DataFrame, label: str, prediction: str, digits: int = 6) -> DataFrame:
     """Root mean square error."""
     return df.agg(F.round(F.sqrt(F.avg(F.pow(F.col(label) - F.col(prediction), 2))), digits).alias("rmse"))

@@ -3,9 +3,11 @@
 Training fits the encoding stages on the training rows, then persists only the narrow
 ``(label, features)`` frame that the iterative learners read many times, so the scan, joins and
 windows upstream run once per fit instead of once per iteration. The rows are hash-partitioned by
-their id into a stated number of partitions and sorted inside them, so a fit depends on the rows and
-that number, not on the input's layout or the cluster. The fitted feature stages and the classifier
-are saved together as one ``PipelineModel`` without the label, which scores new rows, labelled or
+their id, into partitions whose number grows with the rows, and sorted inside them, so a fit doesn't
+depend on the input's layout or the cluster. Numerics enter tree learners as at most ``BINS`` quantile
+bins, so that the split candidates, and with them decision and boosted trees, don't depend on the number
+of partitions either (a forest's bootstrap is drawn partition by partition and does). The fitted feature
+stages and the classifier are saved together as one ``PipelineModel`` without the label, which scores new rows, labelled or
 not, as a single narrow projection (no shuffle).
 """
 
@@ -20,8 +22,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from prospect.operators.features import encoding_stages, feature_count, labelled
-from prospect.session import checkpoint_root
+from prospect.operators.features import bin_borders, encoding_stages, feature_count, labelled
+from prospect.session import checkpoint_root, stored
 from prospect.spec import CONTACTS, TableSpec
 
 # The classifier settings of the original notebooks.
@@ -57,37 +59,50 @@ def make_classifier(name: str, n_features: int | None = None, features: str = "f
     raise ValueError(name)
 
 
-# Partitions of a training frame: a parameter of the fit, like a seed. Split candidates are sampled
-# per partition, so another number may give slightly other trees; the rows' order and the number of
-# cores don't. Larger data take a larger number.
-TRAIN_PARTITIONS = 8
+#: Rows of a training partition. The multilayer perceptron works far longer on a row.
+ROWS_A_PARTITION = 20_000
+ROWS_A_PARTITION_MLP = 2_000
+
+
+def train_partitions(n_rows: int, rows_a_partition: int = ROWS_A_PARTITION) -> int:
+    return max(1, -(-n_rows // rows_a_partition))
 
 
 class Trainer:
-    """Fit encoders once on training rows, then any number of classifiers on the cached features."""
+    """Fit encoders once on training rows, then any number of classifiers on the cached features.
+
+    ``binned`` numerics suit the tree learners, plain ones the others. ``oversample`` turns the labelled
+    training rows into more (see ``smote.oversampled``) after the encoders have been fitted on the rows
+    as they are; only the learner sees the new ones.
+    """
 
     def __init__(self, train: DataFrame, spec: TableSpec, handle_invalid: str = "keep", scale: bool = False,
-                 partitions: int = TRAIN_PARTITIONS):
+                 partitions: int | None = None, binned: bool = True, oversample=None):
         # Iterative learners cut their lineage every few iterations into the shared folder.
         checkpoint_root(train.sparkSession)
         self.spec = spec
-        stages = encoding_stages(spec, handle_invalid=handle_invalid)
-        if scale:
-            stages.append(StandardScaler(inputCol="features", outputCol="scaled", withMean=False, withStd=True))
         # The encoder fits (imputer means, category counts) and the learners read these rows again
         # and again: keep the narrow input once, in its fixed layout, instead of its joins per pass.
         keep = [c for c in (spec.id, *spec.categorical, *spec.numeric) if c in train.columns]
-        rows = labelled(train, spec).where(F.col("label").isNotNull()).select("label", *keep)
-        rows = rows.repartition(partitions, spec.id).sortWithinPartitions(*rows.columns).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            self.features_model = Pipeline(stages=stages).fit(rows)
-            x = self.features_model.transform(rows)
-            self.features_col = "scaled" if scale else "features"
-            self.x = x.select("label", self.features_col).persist(StorageLevel.MEMORY_AND_DISK)
-            self.x.count()
-            self.n_features = feature_count(x, "features")
-        finally:
-            rows.unpersist()
+        rows = stored(labelled(train, spec).where(F.col("label").isNotNull()).select("label", *keep), "train-rows")
+        borders = bin_borders(rows, list(spec.numeric)) if binned and spec.numeric else None
+        stages = encoding_stages(spec, handle_invalid=handle_invalid, borders=borders)
+        if scale:
+            stages.append(StandardScaler(inputCol="features", outputCol="scaled", withMean=False, withStd=True))
+        self.features_model = Pipeline(stages=stages).fit(rows)
+        if oversample is not None:
+            rows = stored(oversample(rows), "train-oversampled")
+        partitions = partitions or train_partitions(rows.count(), ROWS_A_PARTITION_MLP if scale else ROWS_A_PARTITION)
+        rows = rows.repartition(partitions, spec.id).sortWithinPartitions(*rows.columns)
+        x = self.features_model.transform(rows)
+        self.features_col = "scaled" if scale else "features"
+        self.x = x.select("label", self.features_col).persist(StorageLevel.MEMORY_AND_DISK)
+        self.n_features = feature_count(x, "features")
+
+    def features(self, df: DataFrame, *keep: str) -> DataFrame:
+        """Label (where ``df`` has one), features and the columns ``keep`` of other rows."""
+        x = self.features_model.transform(labelled(df, self.spec) if self.spec.label in df.columns else df)
+        return x.select(*[c for c in ("label",) if c in x.columns], self.features_col, *keep)
 
     def fit(self, name: str, **params) -> PipelineModel:
         clf = make_classifier(name, self.n_features, features=self.features_col, **params)
@@ -98,10 +113,14 @@ class Trainer:
         self.x.unpersist()
 
 
-def train_pipeline(train: DataFrame, spec: TableSpec, name: str = "gbt", partitions: int = TRAIN_PARTITIONS,
+#: Learners that take binned numerics.
+TREES = ("dt", "rf", "gbt")
+
+
+def train_pipeline(train: DataFrame, spec: TableSpec, name: str = "gbt", partitions: int | None = None, oversample=None,
                    **params) -> PipelineModel:
     """Encoding stages + classifier fitted on ``train`` as one saved-able model."""
-    t = Trainer(train, spec, scale=(name == "mlp"), partitions=partitions)
+    t = Trainer(train, spec, scale=(name == "mlp"), partitions=partitions, binned=name in TREES, oversample=oversample)
     try:
         return t.fit(name, **params)
     finally:

@@ -13,6 +13,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from prospect.session import stored
 from prospect.spec import MONTHS, WEEKDAYS
 
 
@@ -140,10 +141,11 @@ def histogram(df: DataFrame, cols: list[str], bins: int = 30, by: str | None = N
 
     ``(feature, [by,] bin, lo, hi, n)`` with every bin present (zero counts included).
     """
-    rng = column_ranges(df, cols)
     keep = [by] if by else []
+    df = stored(df.select(*keep, *cols), "histogram-columns")
+    rng = column_ranges(df, cols)
     binned = df.select(*keep, *[_bin(c, *rng[c], bins).alias(c) for c in cols])
-    long = binned.unpivot(keep, cols, "feature", "bin").where(F.col("bin").isNotNull())
+    long = binned.unpivot(keep, cols, "feature", "bin")
     counts = long.groupBy("feature", *keep, "bin").agg(F.count(F.lit(1)).alias("n"))
     spark = df.sparkSession
     grid_rows = [(c, float(rng[c][0]), float(rng[c][1])) for c in cols if rng[c][0] is not None]
@@ -151,10 +153,14 @@ def histogram(df: DataFrame, cols: list[str], bins: int = 30, by: str | None = N
         "feature", "lo", "hi", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin")
     ).withColumn("bin", F.col("bin").cast("bigint"))
     if by:
-        # Every (feature, class, bin) cell exists: the classes meet the grid as a frame.
-        grid = grid.withColumn("_one", F.lit(1)).join(df.select(by).distinct().withColumn("_one", F.lit(1)), "_one").drop("_one")
-        cell = [grid["feature"] == counts["feature"], grid["bin"] == counts["bin"], grid[by].eqNullSafe(counts[by])]
-        out = grid.join(counts, cell, "left").select(grid["feature"], grid[by], grid["bin"], "lo", "hi", "n")
+        # Every bin of every class: one explode per (feature, class) of the counts, where a class
+        # without a value of the feature still has its row of nulls.
+        at = F.map_from_entries(F.collect_list(F.when(F.col("bin").isNotNull(), F.struct("bin", "n"))))
+        filled = counts.groupBy("feature", by).agg(at.alias("at")).select(
+            "feature", by, "at", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("b")).select(
+            F.col("feature").alias("f"), by, F.col("b").cast("bigint").alias("bin"), F.try_element_at("at", F.col("b").cast("bigint")).alias("n"))
+        ranges = spark.createDataFrame(grid_rows, "feature string, lo double, hi double")
+        out = filled.join(ranges, F.col("f") == F.col("feature"))
     else:
         out = grid.join(counts, ["feature", "bin"], "left")
     w = (F.col("hi") - F.col("lo")) / bins
@@ -165,35 +171,53 @@ def histogram(df: DataFrame, cols: list[str], bins: int = 30, by: str | None = N
         F.coalesce(F.col("n"), F.lit(0)).cast("bigint").alias("n"))
 
 
+#: Terms of the density's expansion. With rows at most half a scale from their cell's centre a row's error
+#: is below the sum over n >= 20 of 1.09 * 2**(-n/2) / sqrt(n!), that is 1e-12 of its kernel's height.
+KDE_TERMS = 20
+#: Kernels end where they are below e**-100.
+KDE_REACH = 10.0
+
+
 def kde_by_class(df: DataFrame, cols: list[str], by: str, points: int = 100, digits: int = 6) -> DataFrame:
     """Gaussian kernel density per class on a grid of ``points`` from min to max.
 
-    Bandwidth per (feature, class) by Scott's rule ``h = sd * n^(-1/5)``. One partial aggregate holds a
-    sum per grid point for every (feature, class): rows add to the sums where they are read, and
-    only the sums are shuffled. The density is reported times the feature's span
-    (``density_x_span``), a dimensionless value of order one, rounded.
+    Bandwidth per (feature, class) by Scott's rule ``h = sd * n^(-1/5)``. A fast Gauss transform: with
+    the scale ``sqrt(2) h`` as width, rows fall into cells, and a cell keeps ``KDE_TERMS`` moments of
+    its rows about its centre, the coefficients of a Hermite expansion of the sum of their kernels.
+    Rows add to the moments where they are read (one partial aggregate of rows x terms, whatever the
+    number of points), and every cell's expansion is then evaluated at the grid points in reach. The
+    columns are written once. The density is reported times the feature's span (``density_x_span``), a
+    dimensionless value of order one, rounded.
     """
-    long = _long(df, cols, "double", keep=[by]).where(F.col("value").isNotNull())
+    long = _long(stored(df.select(by, *cols), "density-columns"), cols, "double", keep=[by]).where(F.col("value").isNotNull())
     stats = long.groupBy("feature", by).agg(
-        F.count(F.lit(1)).alias("n_c"), F.stddev_samp("value").alias("sd"))
-    rng = long.groupBy("feature").agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
-    # (features x classes) rows; the planner broadcasts them if they are small.
-    stats = stats.join(rng, "feature").withColumn("h", F.col("sd") * F.pow(F.col("n_c"), -0.2))
-    j = long.join(stats, ["feature", by]).where(F.col("h") > 0)
-
-    def at(i: int) -> Column:
-        return F.col("lo") + F.lit(i) * (F.col("hi") - F.col("lo")) / F.lit(points - 1)
-
-    def kernel(i: int) -> Column:
-        z = (at(i) - F.col("value")) / F.col("h")
-        return F.exp(-0.5 * z * z)
-
-    sums = j.groupBy("feature", by, "n_c", "h", "lo", "hi").agg(*[F.sum(kernel(i)).alias(f"_s{i}") for i in range(points)])
-    grid = F.explode(F.array(*[F.struct(F.lit(i).alias("gi"), at(i).alias("x"), F.col(f"_s{i}").alias("s")) for i in range(points)]))
-    dens = sums.select("feature", by, "n_c", "h", "lo", "hi", grid.alias("g"))
-    d = F.col("g.s") / (F.col("n_c") * F.col("h") * F.lit(math.sqrt(2 * math.pi)))
-    return dens.select(
-        "feature", by, F.col("g.gi").cast("bigint").alias("gi"), F.round("g.x", digits).alias("x"),
+        F.count(F.lit(1)).alias("n_c"), F.stddev_samp("value").alias("sd"), F.min("value").alias("mn"), F.max("value").alias("mx"))
+    per_f = Window.partitionBy("feature")  # a row a class
+    stats = stored(stats.select("feature", by, "n_c", F.min("mn").over(per_f).alias("lo"), F.max("mx").over(per_f).alias("hi"),
+                                (F.col("sd") * F.pow("n_c", F.lit(-0.2))).alias("h")).where(F.col("h") > 0), "density-stats")
+    scale = F.col("h") * math.sqrt(2)
+    inside = (long.join(stats, ["feature", by]).withColumn("cell", F.floor((F.col("value") - F.col("lo")) / scale))
+              .withColumn("u", (F.col("value") - F.col("lo")) / scale - F.col("cell") - 0.5))
+    term, moments = F.lit(1.0), []
+    for n in range(KDE_TERMS):
+        moments.append(F.sum(term))
+        term = term * F.col("u") / (n + 1)
+    cells = inside.groupBy("feature", by, "cell").agg(F.array(*moments).alias("moments")).join(stats, ["feature", by])
+    step = (F.col("hi") - F.col("lo")) / (points - 1)
+    centre = (F.col("cell") + 0.5) * scale
+    near = cells.withColumn("gi", F.explode(F.sequence(
+        F.greatest(F.ceil((centre - KDE_REACH * scale) / step), F.lit(0)), F.least(F.floor((centre + KDE_REACH * scale) / step), F.lit(points - 1)))))
+    # Hermite functions by their recurrence: h(n+1) = 2 x h(n) - 2 n h(n-1).
+    near = near.withColumn("x", (F.col("gi") * step - centre) / scale)
+    start = F.struct(F.lit(0.0).alias("n"), F.lit(0.0).alias("before"), F.exp(-F.col("x") * F.col("x")).alias("now"), F.lit(0.0).alias("total"))
+    total = F.aggregate("moments", start, lambda a, m: F.struct(
+        (a["n"] + 1.0).alias("n"), a["now"].alias("before"), (2.0 * F.col("x") * a["now"] - 2.0 * a["n"] * a["before"]).alias("now"),
+        (a["total"] + m * a["now"]).alias("total")), lambda a: a["total"])
+    sums = near.groupBy("feature", by, "gi").agg(F.sum(total).alias("s"))
+    grid = stats.withColumn("gi", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(points - 1).cast("bigint"))))
+    d = F.coalesce("s", F.lit(0.0)) / (F.col("n_c") * F.col("h") * F.lit(math.sqrt(2 * math.pi)))
+    return grid.join(sums, ["feature", by, "gi"], "left").select(
+        "feature", by, "gi", F.round(F.col("lo") + F.col("gi") * (F.col("hi") - F.col("lo")) / F.lit(points - 1), digits).alias("x"),
         F.round(d * (F.col("hi") - F.col("lo")), digits).alias("density_x_span"))
 
 
@@ -223,10 +247,6 @@ def pearson_matrix(df: DataFrame, cols: list[str], digits: int = 6) -> DataFrame
     return st.select("f1", "f2", F.round("r", digits).alias("r"))
 
 
-# Bound on the (key, p) pairs of one quantile answer, which is returned as a small frame.
-MAX_QUANTILE_ROWS = 100_000
-
-
 def _edges(probs: list[float], accuracy: int) -> list[float]:
     eps = 2.0 / accuracy
     return [max(0.0, p - eps) for p in probs] + [min(1.0, p + eps) for p in probs]
@@ -241,11 +261,11 @@ def quantile_sketch(value: str, probs: list[float], accuracy: int = 100_000) ->
 
 
 def exact_quantiles(long: DataFrame, key: str, value: str, probs: list[float],
-                    accuracy: int = 100_000, sketch: list | None = None) -> DataFrame:
+                    accuracy: int = 100_000, sketch: DataFrame | None = None) -> DataFrame:
     """Exact linear-interpolated quantiles per key, without holding a key's values in one task.
 
-    1. One pass builds a mergeable ``percentile_approx`` sketch per key (or ``sketch`` rows from
-       ``quantile_sketch`` computed by the caller). Its answer for ``p -/+ 2 / accuracy``
+    1. One pass builds a mergeable ``percentile_approx`` sketch per key (or ``sketch``, a frame with the
+       key and the columns of ``quantile_sketch``). Its answer for ``p -/+ 2 / accuracy``
        brackets the exact ranks ``floor(p(n-1))`` and ``ceil(p(n-1))``: the sketch's rank error
        is at most ``n / accuracy``.
     2. One counting pass gives, per (key, p), the rows below the bracket and inside it.
@@ -253,42 +273,33 @@ def exact_quantiles(long: DataFrame, key: str, value: str, probs: list[float],
        counts, so a hot value is one row, and a running count inside the bracket finds the two
        ranks.
     If a bracket ever misses its ranks, that (key, p) is redone with the key's whole range, so the
-    answer is exact either way. Returns ``(key, p, q)``.
+    answer is exact either way. Brackets and answers are tables in the shared folder, any number of
+    keys: few keys are broadcast by the planner, so rows aren't shuffled by key; many are joined by
+    shuffle. Returns ``(key, p, q)``.
     """
     v = long.where(F.col(value).isNotNull()).select(key, F.col(value).cast("double").alias("_v"))
     probs = [float(p) for p in probs]
-    spark = long.sparkSession
-    key_type = long.schema[key].dataType.simpleString()
-    if sketch is None:
-        # One row per key (keys are features or classes here): a bounded list.
-        sketch = long.groupBy(key).agg(*quantile_sketch(value, probs, accuracy)).where(F.col("n") > 0) \
-            .limit(MAX_QUANTILE_ROWS + 1).collect()
-    sketch = [r for r in sketch if r["n"]]
-    if len(sketch) * len(probs) > MAX_QUANTILE_ROWS:
-        raise ValueError(f"more than {MAX_QUANTILE_ROWS} (key, p) pairs")
-    sk = spark.createDataFrame([(r[key], r["n"], r["mn"], r["mx"], [float(x) for x in r["qs"]]) for r in sketch],
-                               f"`{key}` {key_type}, n bigint, mn double, mx double, qs array<double>")
     k = len(probs)
-    t = sk.select(key, "n", "mn", "mx", F.explode(F.array(*[
+    if sketch is None:
+        sketch = long.groupBy(key).agg(*quantile_sketch(value, probs, accuracy))
+    t = sketch.where(F.col("n") > 0).select(key, "n", "mn", "mx", F.explode(F.array(*[
         F.struct(F.lit(p).alias("p"), F.col("qs")[i].alias("lo"), F.col("qs")[k + i].alias("hi"))
         for i, p in enumerate(probs)])).alias("s")).select(key, "n", "mn", "mx", "s.*")
     pos = F.col("p") * (F.col("n") - 1)
-    t = t.select(key, "p", "mn", "mx", "lo", "hi", pos.alias("pos"),
-                 F.floor(pos).cast("bigint").alias("r_lo"), F.ceil(pos).cast("bigint").alias("r_hi"))
-    # The brackets are a small local frame (#keys x #probs rows), always broadcast, so the rows are
-    # never shuffled by key (that would be one task per feature).
+    t = stored(t.select(key, "p", "mn", "mx", "lo", "hi", pos.alias("pos"),
+                        F.floor(pos).cast("bigint").alias("r_lo"), F.ceil(pos).cast("bigint").alias("r_hi")), "quantile-brackets")
 
     def answer(t: DataFrame) -> DataFrame:
         # One aggregate: rows below the bracket collapse to one NULL-valued row per (key, p), rows
         # inside to one row per distinct value; rows above are dropped. NULLs sort first, so the
         # running count over that small table gives the rank range of every value.
-        j = v.join(F.broadcast(t.select(key, "p", "lo", "hi")), key).where(F.col("_v") <= F.col("hi"))
+        j = v.join(t.select(key, "p", "lo", "hi"), key).where(F.col("_v") <= F.col("hi"))
         d = j.groupBy(key, "p", F.when(F.col("_v") >= F.col("lo"), F.col("_v")).alias("vv")).agg(
             F.count(F.lit(1)).alias("c"))
         w = Window.partitionBy(key, "p").orderBy(F.col("vv").asc_nulls_first()).rowsBetween(
             Window.unboundedPreceding, 0)
         d = d.withColumn("cum", F.sum("c").over(w))
-        d = d.join(F.broadcast(t.select(key, "p", "pos", "r_lo", "r_hi")), [key, "p"])
+        d = d.join(t.select(key, "p", "pos", "r_lo", "r_hi"), [key, "p"])
         hit = lambda r: F.col("vv").isNotNull() & (F.col("cum") - F.col("c") <= F.col(r)) & (F.col(r) < F.col("cum"))
         g = d.groupBy(key, "p", "pos", "r_lo", "r_hi").agg(
             F.coalesce(F.max(F.when(F.col("vv").isNull(), F.col("c"))), F.lit(0)).alias("below"),
@@ -301,17 +312,12 @@ def exact_quantiles(long: DataFrame, key: str, value: str, probs: list[float],
         return out.select(key, "p", F.coalesce(ok, F.lit(False)).alias("ok"),
                           (F.col("v_lo") + (F.col("pos") - F.col("r_lo")) * (F.col("v_hi") - F.col("v_lo"))).alias("q"))
 
-    first = answer(t)
-    # The answer is computed once, checked, and handed back as a small frame instead of being
-    # recomputed by the caller.
-    rows = first.collect()  # as many rows as the brackets: bounded above
-    schema = f"`{key}` {key_type}, p double, q double"
-    good = spark.createDataFrame([(r[key], r["p"], r["q"]) for r in rows if r["ok"]], schema)
-    missed = [(r[key], r["p"]) for r in rows if not r["ok"]]
-    if not missed:
+    first = stored(answer(t), "quantile-answers")
+    good = first.where("ok").select(key, "p", "q")
+    missed = first.where("not ok").select(key, "p")
+    if missed.isEmpty():
         return good
-    miss = spark.createDataFrame(missed, f"`{key}` {key_type}, p double")
-    redo = t.join(miss, [key, "p"]).withColumn("lo", F.col("mn")).withColumn("hi", F.col("mx"))
+    redo = stored(t.join(missed, [key, "p"]).withColumn("lo", F.col("mn")).withColumn("hi", F.col("mx")), "quantile-redo")
     return good.unionByName(answer(redo).select(key, "p", "q"))
 
 
@@ -319,24 +325,25 @@ def profile_numeric(df: DataFrame, cols: list[str], probs=(0.25, 0.5, 0.75), dig
                     accuracy: int = 100_000) -> DataFrame:
     """Per numeric column: count, NULLs, distinct, mean, std, min, quartiles, max, zeros.
 
-    Three passes over the rows: one aggregate gives the moments and the quantile sketch, one the
-    exact distinct counts, and ``exact_quantiles`` reads the rows once more. The result has one
-    row per column.
+    The columns are written once. Three passes read them: one aggregate gives the moments and the
+    quantile sketch, one the exact distinct counts, and ``exact_quantiles`` the ranks. The result has
+    one row per column.
     """
     probs = [float(p) for p in probs]
-    long = _long(df, cols, "double")
-    stats = long.groupBy("feature").agg(
+    long = _long(stored(df.select(*cols), "profile-columns"), cols, "double")
+    sums = stored(long.groupBy("feature").agg(
         F.count_if(F.col("value").isNull()).alias("n_null"),
         F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
         F.count_if(F.col("value") == 0).alias("n_zero"),
-        *quantile_sketch("value", probs, accuracy)).collect()  # one row per column
+        *quantile_sketch("value", probs, accuracy)), "profile-sums")
+    stats = sums.collect()  # one row per column
     # Distinct values in their own aggregate: next to a distinct aggregate Spark would evaluate
     # the sketch per (column, value) group.
     distinct = {r["feature"]: r["n_distinct"] for r in long.where(F.col("value").isNotNull())
                 .select("feature", "value").distinct().groupBy("feature")
                 .agg(F.count(F.lit(1)).alias("n_distinct")).collect()}
     q = {(r["feature"], r["p"]): r["q"]
-         for r in exact_quantiles(long, "feature", "value", probs, accuracy, sketch=stats).collect()}
+         for r in exact_quantiles(long, "feature", "value", probs, accuracy, sketch=sums).collect()}
     names = [f"p{int(round(p * 100))}" for p in probs]
     rows = [(r["feature"], r["n"], r["n_null"], distinct.get(r["feature"], 0), r["mean"], r["std"], r["mn"],
              *[q.get((r["feature"], p)) for p in probs], r["mx"], r["n_zero"]) for r in stats]

@@ -1,10 +1,12 @@
 """Parameter grids, cross validation and sweeps.
 
-* Cross validation uses a hash fold column, so folds do not move with partitioning, and runs
-  candidate fits in parallel (``parallelism``).
-* Tree-count sweeps fit once at the largest count: a boosted model with ``k`` trees is the first
-  ``k`` trees of a longer run (same seed, no subsampling change), so every prefix is scored from
-  per-tree predictions by partial weighted sums, in one pass over the hold-out.
+* Folds come from a hash of the row's id, so they don't move with partitioning.
+* ``grid_search`` fits one ensemble for all candidates that differ in their number of trees only, at the
+  largest number: a boosted model of k trees is the first k trees of a longer run (same seed), and so a
+  forest's first k trees are a forest of k. The scores of all candidates of a fold stand side by side in one
+  table, and their areas under ROC are computed exactly in one pass (``metrics.auc_many``).
+* A row's scores after every wanted number of trees are one running sum over its leaves' values, so plans
+  don't grow with the number of trees or counts.
 * Results are small ``(parameters, metric)`` frames.
 """
 
@@ -12,18 +14,22 @@ from __future__ import annotations
 
 import json
 from concurrent.futures import ThreadPoolExecutor
+from itertools import product
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml import Pipeline
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from prospect.operators.features import encoding_stages, labelled
-from prospect.operators.metrics import binary_metrics
-from prospect.operators.models import make_classifier
+from prospect.operators.metrics import auc_many
+from prospect.operators.models import REFERENCE_PARAMS, Trainer, make_classifier, train_partitions, train_pipeline
 from prospect.operators.sampling import fold_index
-from prospect.session import checkpoint_root
+from prospect.session import checkpoint_root, scratch_path, stored
 from prospect.spec import TableSpec
 
 
@@ -56,43 +62,148 @@ def cv_plan(train: DataFrame, key: str, maps: list, folds: int = 3, fold_seed: i
 
 def cross_validate(train: DataFrame, spec: TableSpec, name: str, grid: dict[str, list], folds: int = 3,
                    seed: int = 420, parallelism: int = 4, fold_seed: int = 4201, **params):
-    """H2/H3: k-fold CV of encoding stages + classifier by exact AUC; returns (cv model, report frame).
+    """H2/H3: k-fold CV of encoding stages + any classifier by exact AUC; returns (cv model, report frame).
 
-    The encoders are refitted inside every fold, so no fold sees statistics of its own test part.
+    The encoders are refitted inside every fold, so no fold sees statistics of its own test part. Rows
+    are written once, partitioned by id and sorted inside, so fits don't depend on the input's layout.
     """
     checkpoint_root(train.sparkSession)
     clf = make_classifier(name, **params)
     est = Pipeline(stages=[*encoding_stages(spec), clf])
     maps = param_grid(clf, grid)
-    data = labelled(train, spec).withColumn("_fold", fold_index(spec.id, folds, fold_seed))
+    data = stored(labelled(train, spec).withColumn("_fold", fold_index(spec.id, folds, fold_seed)), "cv-rows")
+    data = data.repartition(train_partitions(data.count()), spec.id).sortWithinPartitions(spec.id)
     cv = CrossValidator(estimator=est, estimatorParamMaps=maps, numFolds=folds, foldCol="_fold", seed=seed,
                         evaluator=BinaryClassificationEvaluator(numBins=0), parallelism=parallelism)
     model = cv.fit(data)
-    spark = train.sparkSession
-    rows = [(i, json.dumps({p.name: v for p, v in m.items()}, sort_keys=True), float(a))
-            for i, (m, a) in enumerate(zip(maps, model.avgMetrics))]
-    best = max(range(len(rows)), key=lambda i: (rows[i][2], -i))
-    report = spark.createDataFrame([(*r, r[0] == best) for r in rows],
-                                   "candidate int, params string, avg_auc double, is_best boolean")
-    return model, report
+    return model, _report(train.sparkSession, [{p.name: v for p, v in m.items()} for m in maps], model.avgMetrics)
+
+
+def _report(spark: SparkSession, candidates: list[dict], areas: list[float]) -> DataFrame:
+    """``(candidate, params, avg_auc, is_best)``; ties: the first candidate."""
+    best = max(range(len(areas)), key=lambda i: (areas[i], -i))
+    return spark.createDataFrame([(i, json.dumps(c, sort_keys=True), float(a), i == best) for i, (c, a) in enumerate(zip(candidates, areas, strict=True))],
+                                 "candidate int, params string, avg_auc double, is_best boolean")
+
+
+#: The parameter that counts the trees, which one fit covers for all its values.
+TREE_COUNT = {"gbt": "maxIter", "rf": "numTrees"}
+
+
+def candidates_of(grid: dict[str, list]) -> list[dict]:
+    """H1: every combination, the first parameter slowest."""
+    return [dict(zip(grid, values, strict=True)) for values in product(*grid.values())]
+
+
+def grid_search(train: DataFrame, spec: TableSpec, name: str, grid: dict[str, list], folds: int = 3, fold_seed: int = 4201,
+                parallelism: int = 8, oversample=None, **params) -> DataFrame:
+    """H1-H3 for tree ensembles: ``(candidate, params, avg_auc, is_best)`` by k-fold cross validation.
+
+    ``folds`` x (combinations without the number of trees) fits, run concurrently; encoders, bins and
+    oversampling are fitted on the fold's own training rows.
+    """
+    count = TREE_COUNT[name]
+    counts = sorted(set(grid.get(count) or [REFERENCE_PARAMS[name][count]]))
+    others = candidates_of({k: v for k, v in grid.items() if k != count})
+    rows = stored(train.withColumn("_fold", fold_index(spec.id, folds, fold_seed)), "grid-rows")
+    areas: dict[tuple[int, int], list[float]] = {}
+    names = {(i, k): f"c{i}_{k}" for i in range(len(others)) for k in counts}
+    by_name = {v: k for k, v in names.items()}
+    workers = ThreadPoolExecutor(max_workers=max(1, parallelism))
+
+    def trainer(fold: int) -> Trainer:
+        return Trainer(rows.where(F.col("_fold") != fold).drop("_fold"), spec, oversample=oversample)
+
+    trainers = list(workers.map(trainer, range(folds)))
+    try:
+        jobs = [(t, o) for t in trainers for o in others]
+        models = list(workers.map(lambda j: j[0].fit(name, **{**params, **j[1], count: counts[-1]}).stages[-1], jobs))
+        for fold, t in enumerate(trainers):
+            x = t.features(rows.where(F.col("_fold") == fold))
+            x = score_columns(models[fold * len(others):(fold + 1) * len(others)], x, counts, names, t.features_col)
+            for r in auc_many(x, list(by_name), digits=12).collect():
+                areas.setdefault(by_name[r["score"]], []).append(r["auc"] if r["auc"] is not None else 0.0)
+    finally:
+        for t in trainers:
+            t.close()
+        workers.shutdown()
+    found = []
+    for c in candidates_of(grid):
+        key = (others.index({k: v for k, v in c.items() if k != count}), c.get(count, counts[-1]))
+        found.append(sum(areas[key]) / folds)
+    return _report(train.sparkSession, candidates_of(grid), found)
+
+
+def fit_best(train: DataFrame, spec: TableSpec, name: str, report: DataFrame, **params):
+    """H3: the best candidate of a report fitted on all rows: (model, its parameters as rows)."""
+    best = json.loads(report.where("is_best").first()["params"])
+    model = train_pipeline(train, spec, name, **{**params, **best})
+    return model, parameter_rows(train.sparkSession, model.stages[-1])
+
+
+def parameter_rows(spark: SparkSession, model) -> DataFrame:
+    """``(param, value)`` of a fitted classifier, values as JSON text."""
+    rows = sorted((p.name, json.dumps(v, default=str)) for p, v in model.extractParamMap().items())
+    return spark.createDataFrame(rows, "param string, value string")
 
 
 def best_parameters(spark: SparkSession, cv_model) -> DataFrame:
     """H3: ``(param, value)`` of the best model's classifier, values as JSON text."""
-    best = cv_model.bestModel.stages[-1]
-    rows = sorted((p.name, json.dumps(v, default=str)) for p, v in best.extractParamMap().items())
-    return spark.createDataFrame(rows, "param string, value string")
+    return parameter_rows(spark, cv_model.bestModel.stages[-1])
+
+
+def leaf_values(model) -> np.ndarray:
+    """(trees, leaves) what each leaf adds to the score: a boosted tree's weighted prediction, or a forest
+    tree's share of class 1. Leaves stand in preorder, as ``leafCol`` numbers them; read from the model's
+    own saved node table."""
+    spark = SparkSession.getActiveSession()
+    path = scratch_path(spark, "ensemble")
+    model.write().overwrite().save(path)
+    node = F.col("nodeData")
+    leaves = (spark.read.parquet(f"{path}/data").where(node["leftChild"] < 0)
+              .select("treeID", node["id"].alias("id"), node["prediction"].alias("prediction"), node["impurityStats"].alias("stats")).collect())
+    by: dict[int, list] = {}
+    for r in sorted(leaves, key=lambda r: (r["treeID"], r["id"])):
+        by.setdefault(r["treeID"], []).append(r)
+    out = np.zeros((len(by), max(map(len, by.values()))))
+    boosted = "GBT" in type(model).__name__
+    for tree, rows in by.items():
+        weight = model.treeWeights[tree]
+        for i, r in enumerate(rows):
+            out[tree, i] = weight * r["prediction"] if boosted else r["stats"][1] / max(sum(r["stats"]), 1e-300)
+    return out
 
 
-def _tree_columns(model, x: DataFrame, features: str) -> tuple[DataFrame, list[str]]:
-    """Add one column per tree with that tree's prediction (each a JVM-side projection)."""
-    cols = []
-    out = x
-    for i, tree in enumerate(model.trees):
-        c = f"_t{i}"
-        out = tree.setFeaturesCol(features).setPredictionCol(c).transform(out)
-        cols.append(c)
-    return out, cols
+def running_scores(model, x: DataFrame, counts: list[int], out: str, features: str = "features") -> DataFrame:
+    """Add ``out``: array<double>, the score of the first k trees for every k of ``counts`` (boosting: the
+    margin, forest: the mean share of class 1)."""
+    values = leaf_values(model)
+    mean = "GBT" not in type(model).__name__
+    shared = x.sparkSession.sparkContext.broadcast(values)  # as large as the model
+    at = np.array(counts) - 1
+
+    @F.arrow_udf("array<double>")
+    def scores(leaves: pa.Array) -> pa.Array:
+        table = shared.value
+        trees = len(table)
+        leaf = leaves.flatten().to_numpy(zero_copy_only=False).astype(np.int64).reshape(-1, trees)
+        total = np.cumsum(table[np.arange(trees), leaf], axis=1)[:, at]
+        if mean:
+            total = total / (at + 1)
+        offsets = np.arange(0, total.size + 1, len(at), dtype=np.int32)
+        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(total.ravel()))
+
+    leaf = "_leaf"
+    quiet = model.copy({model.leafCol: leaf, model.predictionCol: "", model.probabilityCol: "", model.rawPredictionCol: ""})
+    marked = quiet.setFeaturesCol(features).transform(x)
+    return marked.withColumn(out, scores(vector_to_array(F.col(leaf)))).drop(leaf)
+
+
+def score_columns(models: list, x: DataFrame, counts: list[int], names: dict[tuple[int, int], str], features: str = "features") -> DataFrame:
+    """``label`` and one score column for every (model, count) of ``names``, in one projection."""
+    for i, m in enumerate(models):
+        x = running_scores(m, x, counts, f"_r{i}", features)
+    return x.select("label", *[F.col(f"_r{i}")[counts.index(k)].alias(n) for (i, k), n in names.items()])
 
 
 def tree_prefix_scores(model, x: DataFrame, counts: list[int], features: str = "features",
@@ -100,62 +211,62 @@ def tree_prefix_scores(model, x: DataFrame, counts: list[int], features: str = "
     """H6: accuracy / recall / precision of the first ``k`` trees of a fitted GBT for every ``k``.
 
     Margin of ``k`` trees = sum of ``weight_i * tree_i(x)``; probability = 1 / (1 + exp(-2 margin))
-    (logistic loss). All prefixes are computed in one aggregate over ``x``.
+    (logistic loss). Every row's running margins are unpivoted and counted in one aggregate.
     """
-    t, cols = _tree_columns(model, x, features)
-    w = model.treeWeights
-    margin = F.lit(0.0)
-    aggs = []
-    done = 0
-    prefix = {}
-    for k in sorted(set(counts)):
-        for i in range(done, min(k, len(cols))):
-            margin = margin + F.lit(float(w[i])) * F.col(cols[i])
-        done = min(k, len(cols))
-        prefix[k] = margin
-    for k, m in prefix.items():
-        p = 1.0 / (1.0 + F.exp(-2.0 * m))
-        pred = (p > threshold).cast("double")
-        lab = F.col("label")
-        aggs += [F.count_if((lab == 1) & (pred == 1)).alias(f"tp_{k}"), F.count_if((lab == 0) & (pred == 1)).alias(f"fp_{k}"),
-                 F.count_if((lab == 1) & (pred == 0)).alias(f"fn_{k}"), F.count_if((lab == 0) & (pred == 0)).alias(f"tn_{k}")]
-    one = t.agg(*aggs)
-    rows = F.explode(F.array(*[F.struct(F.lit(k).alias("trees"), F.col(f"tp_{k}").alias("tp"), F.col(f"fp_{k}").alias("fp"),
-                                        F.col(f"fn_{k}").alias("fn"), F.col(f"tn_{k}").alias("tn")) for k in prefix]))
-    e = one.select(rows.alias("s")).select("s.*")
+    counts = sorted(set(counts))
+    have = len(model.treeWeights)
+    m = running_scores(model, x, [min(k, have) for k in counts], "_margins", features)
+    return _by_position(m.select("label", F.posexplode("_margins").alias("pos", "margin")), counts, threshold)
+
+
+def _by_position(margins: DataFrame, names: list, threshold: float = 0.5) -> DataFrame:
+    """``(trees, accuracy, recall, precision)`` of ``(label, pos, margin)`` rows; ``trees`` = names[pos]."""
+    pred = 1.0 / (1.0 + F.exp(-2.0 * F.col("margin"))) > threshold
+    yes = F.col("label") == 1
+    e = margins.groupBy("pos").agg(F.count_if(yes & pred).alias("tp"), F.count_if(~yes & pred).alias("fp"),
+                                   F.count_if(yes & ~pred).alias("fn"), F.count_if(~yes & ~pred).alias("tn"))
+    name = F.element_at(F.array(*[F.lit(n) for n in names]), F.col("pos") + 1)
     return e.select(
-        "trees",
+        name.alias("trees"),
         F.round((F.col("tp") + F.col("tn")) / (F.col("tp") + F.col("tn") + F.col("fp") + F.col("fn")), 6).alias("accuracy"),
         F.round(F.try_divide(F.col("tp"), F.col("tp") + F.col("fn")), 6).alias("recall"),
         F.round(F.try_divide(F.col("tp"), F.col("tp") + F.col("fp")), 6).alias("precision"))
 
 
-def holdout_metrics(model, x: DataFrame) -> dict:
-    """Accuracy, recall and precision of a fitted classifier on encoded hold-out rows."""
-    r = binary_metrics(model.transform(x), digits=6).first()
-    return {k: r[k] for k in ("accuracy", "recall", "precision")}
+#: Models whose scores of a hold-out row stand side by side in one pass.
+MODELS_A_PASS = 10
 
 
 def sweep(train_x: DataFrame, holdout_x: DataFrame, rates: list[float], trees: list[int], max_depth: int = 3,
-          seed: int = 420, parallelism: int = 4, features: str = "features") -> DataFrame:
-    """GBT over learning rates x tree counts; one fit per rate (at the largest count),
-    smaller counts from its prefixes, the largest from the model itself; fits and their scoring run
-    concurrently. ``(rate, trees, accuracy, recall, precision, is_best)``: a row a parameter is the
+          seed: int = 420, parallelism: int = 8, features: str = "features") -> DataFrame:
+    """GBT over learning rates x tree counts; one fit per rate (at the largest count), smaller
+    counts from its prefixes; fits run concurrently, and ``MODELS_A_PASS`` of them are scored in one pass
+    over the hold-out. ``(rate, trees, accuracy, recall, precision, is_best)``: a row a parameter is the
     curve, ``is_best`` marks the highest accuracy (C23; ties: the first by rate, then trees)."""
-    top = max(trees)
+    counts = sorted(set(trees))
     checkpoint_root(train_x.sparkSession)
 
-    def one(rate: float) -> list[tuple]:
-        m = make_classifier("gbt", features=features, maxIter=top, stepSize=rate, maxDepth=max_depth,
-                            seed=seed).fit(train_x)
-        smaller = [k for k in trees if k < top]
-        rows = [(r["trees"], r["accuracy"], r["recall"], r["precision"])
-                for r in tree_prefix_scores(m, holdout_x, smaller, features).collect()] if smaller else []
-        full = holdout_metrics(m, holdout_x)
-        return [(float(rate), int(k), *v) for k, *v in rows] + [(float(rate), top, *full.values())]
+    def fit(rate: float):
+        return make_classifier("gbt", features=features, maxIter=counts[-1], stepSize=rate, maxDepth=max_depth, seed=seed).fit(train_x)
 
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as ex:
-        rows = sorted(r for part in ex.map(one, rates) for r in part)
+        models = list(ex.map(fit, rates))
+    rows = []
+    for a in range(0, len(models), MODELS_A_PASS):
+        x = holdout_x
+        some = models[a:a + MODELS_A_PASS]
+        for i, m in enumerate(some):
+            if len(counts) == 1:  # the model's own margin
+                own = m.copy({m.rawPredictionCol: f"_w{i}", m.probabilityCol: "", m.predictionCol: ""})
+                x = own.transform(x).withColumn(f"_m{i}", F.array(vector_to_array(F.col(f"_w{i}"))[1])).drop(f"_w{i}")
+            else:
+                x = running_scores(m, x, counts, f"_m{i}", features)
+        every = F.flatten(F.array(*[F.col(f"_m{i}") for i in range(len(some))]))
+        names = list(range(len(some) * len(counts)))
+        for r in _by_position(x.select("label", F.posexplode(every).alias("pos", "margin")), names).collect():
+            i, k = divmod(r["trees"], len(counts))
+            rows.append((float(rates[a + i]), int(counts[k]), r["accuracy"], r["recall"], r["precision"]))
+    rows.sort()
     best = max(range(len(rows)), key=lambda i: (rows[i][2] if rows[i][2] is not None else -1.0, -i))
     return train_x.sparkSession.createDataFrame(
         [(*r, i == best) for i, r in enumerate(rows)],

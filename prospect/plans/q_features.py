@@ -14,6 +14,7 @@ from prospect.operators.recommend import index_interactions
 from prospect.plans.oracle import md5_unit, with_ctes
 from prospect.plans.q_stats import cts
 from prospect.plans.registry import register
+from prospect.session import stored
 from prospect.sources.contacts import ratings
 from prospect.sources.tables import Tables
 from prospect.spec import CONTACTS, TableSpec
@@ -202,8 +203,79 @@ r AS (SELECT m.contact_id, g.copy,
 def q_smote_exact(spark, d):
     """synthetic minority rows to parity on two numeric features; exact grid k-NN (k = 5)."""
     from prospect.operators.smote import synthetic_rows
-    c = cts(spark, d)
+    c = stored(cts(spark, d).select("contact_id", "y", *SMOTE_COLS), "smote-contacts")
     n_no = c.where(F.col("y") == "no").count()
     m = c.where(F.col("y") == "yes").select("contact_id", *SMOTE_COLS)
     syn = synthetic_rows(m, "contact_id", SMOTE_COLS, n_no - m.count(), k=5, seed=42)
     return syn.select("contact_id", "copy", "nid", *[F.round(x, 6).alias(x) for x in SMOTE_COLS])
+
+
+# Numerics whose missing values count as zero here, so that both sides of the comparison agree on them to the bit.
+MIXED_NUMERIC = ["duration", "campaign", "pdays", "previous", "emp_var_rate", "cons_conf_idx", "euribor3m", "nr_employed"]
+MIXED_NOMINAL = list(CONTACTS.categorical)
+#: Digits of the synthetic values: six for rates, three for columns of thousands and more.
+MIXED_DIGITS = {c: 6 if c in ("emp_var_rate", "euribor3m") else 3 for c in MIXED_NUMERIC}
+
+
+def _smote_mixed_sql():
+    key = "(CAST(m.contact_id AS VARCHAR) || ':' || CAST(g.copy AS VARCHAR))"
+    nums, cats = MIXED_NUMERIC, MIXED_NOMINAL
+    fill = ", ".join(f"coalesce(CAST({c} AS DOUBLE), 0.0) AS {c}" for c in nums)
+    scaled = ", ".join(f"CASE WHEN max({c}) OVER () > min({c}) OVER () THEN ({c} - min({c}) OVER ()) / (max({c}) OVER () - min({c}) OVER ()) "
+                       f"ELSE 0.0 END AS z{i}" for i, c in enumerate(nums))
+    differ = " + ".join(f"(CASE WHEN p.{c} <> q.{c} THEN 1 ELSE 0 END)" for c in cats)
+    square = f"2.0 * ({differ})::DOUBLE" + "".join(f" + (p.z{i} - q.z{i}) * (p.z{i} - q.z{i})" for i in range(len(nums)))
+    return with_ctes(f"""
+SELECT r.contact_id, CAST(r.copy AS INTEGER) AS copy, nn.nid,
+       {", ".join(f"round(x.{c} + r.u * (p.{c} - x.{c}), {MIXED_DIGITS[c]}) AS {c}" for c in nums)},
+       {", ".join(f"CASE WHEN r.u <= 0.5 THEN x.{c} ELSE p.{c} END AS {c}" for c in cats)}
+FROM r JOIN nn ON nn.qid = r.contact_id AND nn.rank = r.pick
+JOIN m x ON x.contact_id = r.contact_id JOIN m p ON p.contact_id = nn.nid
+""", extra=f"""
+m AS (SELECT contact_id, {fill}, {", ".join(cats)} FROM contacts WHERE y = 'yes'),
+st AS (SELECT count(*) AS n, (SELECT count(*) FROM contacts WHERE y = 'no') - count(*) AS n_new FROM m),
+z AS (SELECT contact_id, {", ".join(cats)}, {scaled} FROM m),
+nn AS (SELECT q.contact_id AS qid, p.contact_id AS nid,
+              row_number() OVER (PARTITION BY q.contact_id ORDER BY {square}, p.contact_id) AS rank
+       FROM z q JOIN z p ON p.contact_id <> q.contact_id QUALIFY rank <= 5),
+kk AS (SELECT qid, count(*) AS kk FROM nn GROUP BY qid),
+hr AS (SELECT contact_id, row_number() OVER (ORDER BY ('0x' || substr(md5('42:' || CAST(contact_id AS VARCHAR)), 1, 8))::BIGINT,
+                                               contact_id) - 1 AS rank0 FROM m),
+reps AS (SELECT hr.contact_id, n_new // n + CASE WHEN rank0 < n_new % n THEN 1 ELSE 0 END AS reps FROM hr, st),
+r AS (SELECT m.contact_id, g.copy,
+             CAST(floor({md5_unit(key, 43)} * kk.kk) + 1 AS INTEGER) AS pick, {md5_unit(key, 44)} AS u
+      FROM reps m JOIN kk ON kk.qid = m.contact_id, LATERAL (SELECT range AS copy FROM range(0, m.reps)) g)
+""")
+
+
+@register("smote_mixed", _smote_mixed_sql())
+def q_smote_mixed(spark, d):
+    """F4 over all inputs: neighbours over seven nominal and eight numeric columns together, synthetic minority
+    rows to parity."""
+    from prospect.operators.smote import synthetic_rows
+    c = stored(cts(spark, d), "smote-contacts")
+    n = {r["y"]: r["n"] for r in c.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
+    m = stored(c.where(F.col("y") == "yes").select("contact_id", *[F.coalesce(F.col(x).cast("double"), F.lit(0.0)).alias(x) for x in MIXED_NUMERIC],
+                                                   *MIXED_NOMINAL), "smote-minority")
+    syn = synthetic_rows(m, "contact_id", MIXED_NUMERIC, n.get("no", 0) - n.get("yes", 0), k=5, seed=42, nominal=MIXED_NOMINAL)
+    return syn.select("contact_id", "copy", "nid", *[F.round(x, MIXED_DIGITS[x]).alias(x) for x in MIXED_NUMERIC], *MIXED_NOMINAL)
+
+
+@register("smote_class_counts", with_ctes(f"""
+SELECT CAST(l AS DOUBLE) AS label, n_rows, CASE WHEN l = 1 THEN yes ELSE no END AS n_original,
+       n_rows - CASE WHEN l = 1 THEN yes ELSE no END AS n_synthetic, CAST(0 AS BIGINT) AS n_in_holdout
+FROM (SELECT count(*) FILTER (WHERE y = 'yes') AS yes, count(*) FILTER (WHERE y = 'no') AS no,
+             greatest(count(*) FILTER (WHERE y = 'yes'), count(*) FILTER (WHERE y = 'no')) AS n_rows
+      FROM contacts WHERE {md5_unit('contact_id', 420)} < 0.8), (SELECT unnest([0, 1]) AS l)
+"""))
+def q_smote_class_counts(spark, d):
+    """The training rows and synthetic ones that the balanced models are fitted on; none of the hold-out."""
+    from prospect.operators.smote import oversampled
+    p = SA.split_frames(stored(cts(spark, d), "smote-contacts"), "contact_id", {"train": 0.8, "test": 0.2}, seed=420)
+    rows = FE.labelled(p["train"], CONTACTS).select("label", "contact_id", *CONTACTS.categorical, *CONTACTS.numeric)
+    both = oversampled(rows, CONTACTS).select("label", "contact_id")
+    held = p["test"].select("contact_id", F.lit(True).alias("held"))
+    own = rows.select("contact_id", F.lit(True).alias("own"))
+    j = both.join(own, "contact_id", "left").join(held, "contact_id", "left")
+    return j.groupBy("label").agg(F.count(F.lit(1)).alias("n_rows"), F.count("own").alias("n_original"),
+                                  F.count_if(F.col("own").isNull()).alias("n_synthetic"), F.count("held").alias("n_in_holdout"))

@@ -111,6 +111,33 @@ def q_roc_curve(spark, d):
     return M.roc_curve(scored(spark, d))
 
 
+@register("roc_corners", with_ctes("""
+SELECT threshold, tpr, fpr FROM (
+  SELECT score AS threshold, round(sum(pos) OVER w / sum(pos) OVER (), 6) AS tpr, round(sum(neg) OVER w / sum(neg) OVER (), 6) AS fpr,
+         pos, neg, lead(pos) OVER (ORDER BY score DESC) AS next_pos, lead(neg) OVER (ORDER BY score DESC) AS next_neg
+  FROM (SELECT score, count(*) FILTER (WHERE label = 1) AS pos, count(*) FILTER (WHERE label <> 1) AS neg FROM scored GROUP BY score)
+  WINDOW w AS (ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
+WHERE next_pos IS NULL OR pos * next_neg <> next_pos * neg
+"""))
+def q_roc_corners(spark, d):
+    """H9: the drawn curve, without the points between its corners."""
+    return M.roc_corners(scored(spark, d))
+
+
+AUC_SCORES = ["nr_employed", "pdays", "duration", "emp_var_rate", "cons_conf_idx", "previous"]
+
+
+@register("auc_many", with_ctes("SELECT score, round(sum(pos * (cum_neg - neg + 0.5 * neg)) / (sum(pos) * sum(neg)), 6) AS auc FROM ("
+                                "SELECT *, sum(neg) OVER (PARTITION BY score ORDER BY value ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum_neg FROM ("
+                                "SELECT score, value, count(*) FILTER (WHERE label = 1) AS pos, count(*) FILTER (WHERE label <> 1) AS neg FROM ("
+                                + " UNION ALL ".join(f"SELECT CASE WHEN y = 'yes' THEN 1 ELSE 0 END AS label, '{c}' AS score, CAST({c} AS DOUBLE) AS value FROM contacts"
+                                                     for c in AUC_SCORES)
+                                + ") WHERE value IS NOT NULL GROUP BY score, value)) GROUP BY score"))
+def q_auc_many(spark, d):
+    """The areas of several score columns (some with missing values and heavy ties) in one pass."""
+    return M.auc_many(contacts(Tables(spark, d)).withColumn("label", F.when(F.col("y") == "yes", 1.0).otherwise(0.0)), AUC_SCORES)
+
+
 @register("best_param", with_ctes("""
 SELECT step, threshold, round(p, 6) AS precision, round(r, 6) AS recall, round(f1, 6) AS f1,
        step = min(step) FILTER (WHERE f1 = mf) OVER () AS is_best

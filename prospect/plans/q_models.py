@@ -22,10 +22,11 @@ from prospect.operators import recommend as R
 from prospect.operators import sampling as SA
 from prospect.operators import tuning as TU
 from prospect.operators.features import labelled
+from prospect.operators.smote import oversampled
 from prospect.plans.oracle import md5_unit, with_ctes
 from prospect.plans.q_stats import cts
 from prospect.plans.registry import register
-from prospect.session import scratch_path
+from prospect.session import scratch_path, stored
 from prospect.sources.contacts import ratings
 from prospect.sources.tables import Tables
 from prospect.spec import CONTACTS
@@ -40,10 +41,13 @@ def _parts(spark, d):
     return SA.split_frames(cts(spark, d), "contact_id", SPLIT, seed=SEED)
 
 
-def _fit_and_score(spark, d, name, balanced=False, **params):
+def _with_synthetic(rows):
+    return oversampled(rows, CONTACTS)
+
+
+def _fit_and_score(spark, d, name, **params):
     p = _parts(spark, d)
-    train = SA.hash_sample_by(p["train"], "contact_id", "y", BALANCE, seed=SEED + 1) if balanced else p["train"]
-    model = MD.train_pipeline(train, CONTACTS, name, **params)
+    model = MD.train_pipeline(p["train"], CONTACTS, name, **params)
     return MD.score(p["test"], model, "contact_id")
 
 
@@ -56,8 +60,17 @@ for _name in ("lr", "dt", "rf", "gbt", "svc", "mlp"):
 
 @register("model_gbt_balanced")
 def q_model_gbt_balanced(spark, d):
-    """Boosting on class-balanced training rows (depth 3, 100 trees, rate 0.1), judged on the hold-out."""
-    return _fit_and_score(spark, d, "gbt", balanced=True, maxIter=100, stepSize=0.1, maxDepth=3)
+    """Boosting on training rows oversampled to parity (depth 3, 100 trees, rate 0.1), judged on the hold-out."""
+    return _fit_and_score(spark, d, "gbt", oversample=_with_synthetic, maxIter=100, stepSize=0.1, maxDepth=3)
+
+
+@register("model_gbt_downsampled")
+def q_model_gbt_downsampled(spark, d):
+    """The same on training rows whose larger class is down-sampled."""
+    p = _parts(spark, d)
+    train = SA.hash_sample_by(p["train"], "contact_id", "y", BALANCE, seed=SEED + 1)
+    model = MD.train_pipeline(train, CONTACTS, "gbt", maxIter=100, stepSize=0.1, maxDepth=3)
+    return MD.score(p["test"], model, "contact_id")
 
 
 @register("train_pipeline")
@@ -71,15 +84,24 @@ def q_train_pipeline(spark, d):
     return MD.score(p["test"], model, "contact_id")
 
 
-@register("score_batch")
-def q_score_batch(spark, d):
-    """G11 + A8: fit and save a pipeline, load it, and score every contact as a new row without its
-    label (a narrow projection)."""
+def saved_model(spark, d) -> str:
+    """Fit the reference pipeline on the train split and save it; its path."""
     path = scratch_path(spark, "score-model")
     MD.save(MD.train_pipeline(_parts(spark, d)["train"], CONTACTS, "gbt"), path)
+    return path
+
+
+def score_saved(spark, d, path: str):
+    """Every contact scored as a new row, without its label (a narrow projection)."""
     return MD.score(cts(spark, d).drop("y"), MD.load(path), "contact_id")
 
 
+@register("score_batch")
+def q_score_batch(spark, d):
+    """G11 + A8: fit and save a pipeline, load it, and score every contact with it."""
+    return score_saved(spark, d, saved_model(spark, d))
+
+
 @register("score_lone_model")
 def q_score_lone_model(spark, d):
     """A9 + A15: the fitted classifier saved on its own, loaded with its model class, applied to
@@ -106,13 +128,53 @@ def _same(a, b):
 _TEST_SAME = with_ctes(f"SELECT count(*) AS n_rows, 0 AS n_differ, 0 AS n_outside FROM contacts WHERE {md5_unit('contact_id', SEED)} >= 0.8")
 
 
-@register("layout_diff", _TEST_SAME)
-def q_layout_diff(spark, d):
-    """One fit from two input layouts gives the same predictions on every test row."""
+def _all_same(scored: list):
+    """The first scoring against each of the others; one row when all agree."""
+    rows = [_same(scored[0], x) for x in scored[1:]]
+    out = rows[0]
+    for r in rows[1:]:
+        out = out.unionByName(r)
+    return out.distinct()
+
+
+def _layout_diff(name: str, **params):
+    def q(spark, d):
+        p = _parts(spark, d)
+        inputs = [(3, p["train"].repartition(3)), (8, p["train"].repartition(11, "nr_employed")), (31, p["train"])]
+        return _all_same([MD.score(p["test"], MD.train_pipeline(x, CONTACTS, name, partitions=n, **params), "contact_id") for n, x in inputs])
+    return q
+
+
+for _name, _params in (("gbt", {"maxIter": 5}), ("dt", {})):
+    _q = _layout_diff(_name, **_params)
+    _q.__doc__ = f"G2/G4: {_name} fitted on 3, 8 and 31 partitions of differently laid out rows predicts alike on every test row."
+    register("layout_diff" if _name == "gbt" else f"layout_diff_{_name}", _TEST_SAME)(_q)
+
+
+@register("layout_diff_cv", "SELECT CAST(3 AS BIGINT) AS n_candidates, CAST(0 AS BIGINT) AS n_differ, CAST(1 AS BIGINT) AS n_best")
+def q_layout_diff_cv(spark, d):
+    """H2: the areas of a cross-validated grid don't depend on the input's layout."""
+    train = _parts(spark, d)["train"]
+    grid = {"maxDepth": [2, 3, 5]}
+    a = TU.cross_validate(train.repartition(2), CONTACTS, "dt", grid, folds=2)[1]
+    b = TU.cross_validate(train.repartition(9, "nr_employed"), CONTACTS, "dt", grid, folds=2)[1]
+    j = a.join(b.select("candidate", F.col("avg_auc").alias("other")), "candidate", "full")
+    return j.agg(F.count(F.lit(1)).alias("n_candidates"), F.count_if(~F.round("avg_auc", 9).eqNullSafe(F.round("other", 9))).alias("n_differ"),
+                 F.count_if("is_best").alias("n_best"))
+
+
+@register("prefix_diff", _TEST_SAME)
+def q_prefix_diff(spark, d):
+    """H2/H6: the first 4 trees of a 12-tree boosted model score every test row like a model fitted with 4."""
     p = _parts(spark, d)
-    a = MD.train_pipeline(p["train"].repartition(3), CONTACTS, "gbt", maxIter=5)
-    b = MD.train_pipeline(p["train"].repartition(11, "nr_employed"), CONTACTS, "gbt", maxIter=5)
-    return _same(MD.score(p["test"], a, "contact_id"), MD.score(p["test"], b, "contact_id"))
+    t = MD.Trainer(p["train"], CONTACTS)
+    try:
+        long, short = t.fit("gbt", maxIter=12, stepSize=0.1), t.fit("gbt", maxIter=4, stepSize=0.1)
+    finally:
+        t.close()
+    x = TU.running_scores(long.stages[-1], t.features(p["test"], "contact_id"), [4], "m")
+    p1 = 1.0 / (1.0 + F.exp(-2.0 * F.col("m")[0]))
+    return _same(x.select("contact_id", (p1 > 0.5).cast("double").alias("prediction"), p1.alias("p1")), MD.score(p["test"], short, "contact_id"))
 
 
 @register("reload_diff", _TEST_SAME)
@@ -132,30 +194,37 @@ def q_unfitted_refit(spark, d):
     p = _parts(spark, d)
     path = scratch_path(spark, "unfitted")
     MD.save(MD.unfitted_pipeline(CONTACTS, "dt", maxDepth=4), path)
-    rows = labelled(p["train"], CONTACTS).repartition(MD.TRAIN_PARTITIONS, "contact_id").sortWithinPartitions("contact_id")
+    rows = labelled(p["train"], CONTACTS).repartition(8, "contact_id").sortWithinPartitions("contact_id")  # unbinned: one number
     fit = lambda: Pipeline.load(path).fit(rows)
     return _same(MD.score(p["test"], fit(), "contact_id"), MD.score(p["test"], fit(), "contact_id"))
 
 
 @register("model_comparison")
 def q_model_comparison(spark, d):
-    """Every classifier on the same split and cached features; one report row each."""
+    """Every classifier on the same split; one report row each. The scores of all models stand side
+    by side on the test rows; their counts are one aggregate and their areas another."""
     p = _parts(spark, d)
-    rows = None
-    for scale, names in ((False, ["lr", "dt", "rf", "gbt", "svc"]), (True, ["mlp"])):
-        t = MD.Trainer(p["train"], CONTACTS, scale=scale)
+    models = {}
+    for names, kw in ((["dt", "rf", "gbt"], {}), (["lr", "svc"], {"binned": False}), (["mlp"], {"binned": False, "scale": True})):
+        t = MD.Trainer(p["train"], CONTACTS, **kw)
         try:
-            for n in names:
-                s = MD.score(p["test"], t.fit(n), "contact_id").persist()
-                m = M.binary_metrics(s).first()  # one row each
-                a = M.auc_exact(s, score="p1").first()
-                r = spark.createDataFrame([(n, a["auc"], m["accuracy"], m["precision"], m["recall"])],
-                                          "model string, auc double, accuracy double, precision double, recall double")
-                s.unpersist()
-                rows = r if rows is None else rows.unionByName(r)
+            models |= {n: t.fit(n) for n in names}
         finally:
             t.close()
-    return rows
+    wide = None
+    for n, m in models.items():
+        s = MD.score(p["test"], m, "contact_id").select("contact_id", "label", F.struct("prediction", "p1").alias(n))
+        wide = s if wide is None else wide.join(s.drop("label"), "contact_id")
+    wide = stored(wide, "comparison-scores")
+    long = wide.select("label", F.explode(F.array(*[F.struct(F.lit(n).alias("model"), F.col(n)["prediction"].alias("prediction")) for n in models])).alias("s"))
+    c = long.select("label", "s.*").groupBy("model").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("label") == F.col("prediction")).alias("right"),
+        F.count_if((F.col("label") == 1) & (F.col("prediction") == 1)).alias("tp"), F.count_if(F.col("prediction") == 1).alias("called"),
+        F.count_if(F.col("label") == 1).alias("positive"))
+    areas = M.auc_many(wide.select("label", *[F.col(n)["p1"].alias(n) for n in models]), list(models))
+    return c.join(areas, F.col("model") == F.col("score")).select(
+        "model", "auc", F.round(F.col("right") / F.col("n"), 4).alias("accuracy"),
+        F.round(F.try_divide(F.col("tp"), F.col("called")), 4).alias("precision"), F.round(F.try_divide(F.col("tp"), F.col("positive")), 4).alias("recall"))
 
 
 @register("lr_saturated", with_ctes(
@@ -174,9 +243,12 @@ def q_lr_saturated(spark, d):
 
 
 def _ratings_split(spark, d):
-    r = ratings(Tables(spark, d)).withColumn("key", F.concat_ws(":", "userId", "itemId"))
+    """Ratings, ids and the split, each written once: the fit, the scoring and the top list read them."""
+    r = stored(ratings(Tables(spark, d)).withColumn("key", F.concat_ws(":", "userId", "itemId")), "ratings")
     indexed, users, items = R.index_interactions(r)
-    return SA.hash_split(indexed, "key", SPLIT, seed=SEED), users, items
+    users, items = stored(users, "user-ids"), stored(items, "item-ids")
+    indexed = r.join(users, "userId").join(items, "itemId")
+    return stored(SA.hash_split(indexed, "key", SPLIT, seed=SEED), "ratings-split"), users, items
 
 
 @register("als_fit")
@@ -194,41 +266,55 @@ def q_als_topn(spark, d):
     """Top 10 items for the most active user."""
     s, users, items = _ratings_split(spark, d)
     model = R.fit_als(s.where(F.col("split") == "train"))
-    r = ratings(Tables(spark, d))
-    who = spark.range(1).select(F.lit(R.most_active_user(r)).alias("userId"))
+    who = spark.range(1).select(F.lit(R.most_active_user(s)).alias("userId"))
     return R.recommend_for(model, who, users, items, n=10)
 
 
+@register("layout_diff_als", with_ctes("SELECT CAST(0 AS BIGINT) AS n_differ"))
+def q_layout_diff_als(spark, d):
+    """Factors fitted from two input layouts predict alike."""
+    s, _, _ = _ratings_split(spark, d)
+    train, test = s.where("split = 'train'"), s.where("split = 'test'")
+    a, b = R.fit_als(train.repartition(3), max_iter=3), R.fit_als(train.repartition(7, "rating"), max_iter=3)
+    j = a.transform(test).select("key", F.col("prediction").alias("p")).join(b.transform(test).select("key", F.col("prediction").alias("q")), "key", "full")
+    return j.agg(F.count_if(~F.coalesce(F.abs(F.col("p") - F.col("q")) < 1e-4, F.lit(False))).alias("n_differ"))
+
+
 @register("cv_report")
 def q_cv_report(spark, d):
-    """H2/H3: 3-fold CV of GBT over iterations {20, 40, 60} by AUC; avg metric per candidate, best marked."""
-    p = _parts(spark, d)
-    _, report = TU.cross_validate(p["train"], CONTACTS, "gbt", {"maxIter": [20, 40, 60]}, folds=3, parallelism=3)
-    return report
+    """H2/H3: 3-fold CV of GBT over iterations {20, 40, 60} by AUC; avg metric per candidate, best marked.
+    One fit a fold: smaller numbers of iterations are its prefixes."""
+    return TU.grid_search(_parts(spark, d)["train"], CONTACTS, "gbt", {"maxIter": [20, 40, 60]})
 
 
 @register("cv_best_params")
 def q_cv_best_params(spark, d):
-    """H3: parameters of the best model of a 2-fold cross validation over regularisation."""
-    model, _ = TU.cross_validate(_parts(spark, d)["train"], CONTACTS, "lr", {"regParam": [0.0, 0.1]}, folds=2, parallelism=2)
-    return TU.best_parameters(spark, model)
+    """H3: the parameters of the best boosted model of that cross validation, refitted on all training rows."""
+    train = stored(_parts(spark, d)["train"], "cv-train")
+    report = TU.grid_search(train, CONTACTS, "gbt", {"maxIter": [20, 40, 60]})
+    return TU.fit_best(train, CONTACTS, "gbt", report)[1]
+
+
+@register("cv_report_lr")
+def q_cv_report_lr(spark, d):
+    """H2: 3-fold CV of a learner that isn't an ensemble, over regularisation."""
+    return TU.cross_validate(_parts(spark, d)["train"], CONTACTS, "lr", {"regParam": [0.0, 0.1]}, folds=3)[1]
 
 
 def _balanced_features(spark, d):
+    """A trainer on oversampled rows, and the encoded hold-out."""
     p = _parts(spark, d)
-    bal = SA.hash_sample_by(p["train"], "contact_id", "y", BALANCE, seed=SEED + 1)
-    t = MD.Trainer(bal, CONTACTS)
-    ho = t.features_model.transform(labelled(p["test"], CONTACTS)).select("label", "features").persist()
-    return t, ho
+    t = MD.Trainer(p["train"], CONTACTS, oversample=_with_synthetic)
+    return t, t.features(p["test"]).persist()
 
 
 @register("sweep_grid")
 def q_sweep_grid(spark, d):
-    """H4: trees {50, 100, 200} x rate {0.1, 0.01, 0.005, 0.001} on balanced training, hold-out
+    """H4: trees {50, 100, 200} x rate {0.1, 0.01, 0.005, 0.001} on oversampled training, hold-out
     accuracy and recall; one fit per rate, tree counts from prefixes."""
     t, ho = _balanced_features(spark, d)
     try:
-        out = TU.sweep(t.x, ho, [0.1, 0.01, 0.005, 0.001], [50, 100, 200], parallelism=4)
+        out = TU.sweep(t.x, ho, [0.1, 0.01, 0.005, 0.001], [50, 100, 200])
         return out
     finally:
         t.close()
@@ -241,7 +327,7 @@ def q_sweep_trees(spark, d):
     t, ho = _balanced_features(spark, d)
     try:
         counts = sorted({int(x) for x in np.linspace(2, 100, 50)})
-        out = TU.sweep(t.x, ho, [0.01], counts, parallelism=1)
+        out = TU.sweep(t.x, ho, [0.01], counts)
         return out
     finally:
         t.close()
@@ -282,14 +368,22 @@ for _name, _est, _grid in (("grid_rows", GBTClassifier, GBT_GRID), ("grid_rows_r
     register(_name, _grid_sql(_grid))(_grid_query(_est, _grid))
 
 
+for _name, _learner, _grid in (("grid_fit", "gbt", GBT_GRID), ("grid_fit_rounds", "gbt", GBT_ROUNDS_GRID),
+                               ("grid_fit_forest", "rf", FOREST_GRID)):
+    def _q(spark, d, _n=_learner, _g=_grid):
+        return TU.grid_search(_parts(spark, d)["train"], CONTACTS, _n, _g)
+    _q.__doc__ = f"H1-H3: the whole {_learner} grid by 3-fold cross validation; area per candidate, the best one marked."
+    register(_name)(_q)
+
+
 @register("sweep_lr")
 def q_sweep_lr(spark, d):
-    """H5: 50 learning rates evenly spaced in [0.0001, 0.1], 100 trees each, balanced training,
+    """H5: 50 learning rates evenly spaced in [0.0001, 0.1], 100 trees each, oversampled training,
     hold-out accuracy / recall / precision at 100 trees; fits run concurrently."""
     t, ho = _balanced_features(spark, d)
     try:
         rates = [float(x) for x in np.linspace(0.0001, 0.1, 50)]
-        out = TU.sweep(t.x, ho, rates, [100], parallelism=8)
+        out = TU.sweep(t.x, ho, rates, [100])
         return out
     finally:
         t.close()

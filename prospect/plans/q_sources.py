@@ -21,7 +21,7 @@ from prospect.plans.registry import register
 from prospect.session import scratch_path
 from prospect.sources import sinks
 from prospect.sources.contacts import MACRO_DOTTED, dotted, ratings, rule_scored
-from prospect.sources.tables import Tables, read_all_string, read_delimited, read_positional
+from prospect.sources.tables import Tables, read_all_string, read_delimited, read_positional, read_quarantined
 
 RUN_DATE = "2018-08-03"
 
@@ -60,6 +60,34 @@ def q_load_contacts(spark, d):
     return load_contacts(spark, _write_contacts_csv(spark, d), contact_schema())
 
 
+def _broken(column: str) -> str:
+    return (f"CASE WHEN contact_id % 29 = 3 THEN 'broken' WHEN contact_id % 31 = 4 THEN 'short' ELSE {column} END")
+
+
+@register("quarantine_counts", with_ctes(f"""
+SELECT kind, count(*) AS n, sum(contact_id) FILTER (WHERE kind = 'good') AS id_sum, '{RUN_DATE}' AS run_date
+FROM (SELECT contact_id, {_broken("'good'")} AS kind FROM contacts) GROUP BY kind
+"""))
+def q_quarantine_counts(spark, d):
+    """A1: a file in which some lines have text for a number and some too few fields: typed good rows, and the
+    rejected lines in a dated sink, counted."""
+    base = scratch_path(spark, "quarantine")
+    c = dotted(cts(spark, d))
+    text = {x: F.coalesce(F.col(f"`{x}`").cast("string"), F.lit("")) for x in c.columns}
+    bad = {**text, "nr.employed": F.when(F.col("contact_id") % 29 == 3, F.lit("n/a")).otherwise(text["nr.employed"])}
+    line = F.concat_ws(";", *bad.values())
+    short = F.concat_ws(";", *list(bad.values())[:9])
+    is_short = (F.col("contact_id") % 31 == 4) & (F.col("contact_id") % 29 != 3)
+    c.select(F.when(is_short, short).otherwise(line).alias("value")).write.text(f"{base}/in")
+    good, rejected = read_quarantined(spark, f"{base}/in", contact_schema(), sep=";", header=False)
+    sinks.write_dated(rejected, f"{base}/rejected", RUN_DATE)
+    fields = F.size(F.split("record", ";"))
+    bad_rows = sinks.read_dated(spark, f"{base}/rejected", RUN_DATE).select(
+        F.when(fields < len(c.columns), "short").otherwise("broken").alias("kind"), F.lit(None).cast("long").alias("contact_id"))
+    rows = good.select(F.lit("good").alias("kind"), F.col("contact_id")).unionByName(bad_rows)
+    return rows.groupBy("kind").agg(F.count(F.lit(1)).alias("n"), F.sum("contact_id").alias("id_sum"), F.lit(RUN_DATE).alias("run_date"))
+
+
 _AS_TEXT = ["contact_id", "job", "marital", "duration", "campaign", "pdays", "cons_conf_idx", "y"]
 
 
@@ -209,6 +237,17 @@ def q_schema_listing(spark, d):
                  F.lit(":".join(c.dtypes[0])).alias("first_column"))
 
 
+@register("schema_rows", with_ctes("\nUNION ALL ".join(
+    f"SELECT {i} AS pos, '{n}' AS name, '{t.simpleString()}' AS type, count({n}) AS n_values FROM contacts" for i, (n, t) in enumerate(_CONTACT_TYPES))))
+def q_schema_rows(spark, d):
+    """A row a column: position, name, type, and how many rows have a value."""
+    c = cts(spark, d)
+    one = c.agg(*[F.count(F.col(n)).alias(n) for n in c.columns])
+    rows = F.array(*[F.struct(F.lit(i).alias("pos"), F.lit(n).alias("name"), F.lit(t).alias("type"), F.col(n).alias("n_values"))
+                     for i, (n, t) in enumerate(c.dtypes)])
+    return one.select(F.explode(rows).alias("r")).select("r.*")
+
+
 @register("position_slice", with_ctes("SELECT contact_id, job, marital, education FROM contacts"))
 def q_position_slice(spark, d):
     """Columns picked by position."""

@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from prospect.session import stored
+
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
@@ -36,6 +39,24 @@ def read_delimited(spark: SparkSession, path: str, schema: T.StructType | None =
     return r.csv(path)
 
 
+CORRUPT = "_rejected"
+
+
+def read_quarantined(spark: SparkSession, path: str, schema: T.StructType, sep: str = ";",
+                     header: bool = True) -> tuple[DataFrame, DataFrame]:
+    """Delimited scan that keeps malformed rows apart (A1): ``(typed rows, rejected rows)``.
+
+    A row is rejected if a field doesn't parse as its type or the number of fields differs; the rejected
+    frame has the whole line as ``record``. The file is parsed once, both frames read the parsed rows.
+    """
+    wide = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    parsed = (spark.read.option("header", header).option("sep", sep).option("mode", "PERMISSIVE")
+              .option("columnNameOfCorruptRecord", CORRUPT).option("columnPruning", False).schema(wide).csv(path))
+    rows = stored(parsed, "parsed")
+    good = rows.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
+    return good, rows.where(F.col(CORRUPT).isNotNull()).select(F.col(CORRUPT).alias("record"))
+
+
 def read_all_string(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
     """CSV with header where every column stays a string (A2)."""
     return spark.read.option("header", True).option("sep", sep).csv(path)

@@ -45,16 +45,86 @@ def test_gbt_auc_above_chance_on_planted_signal(spark):
     assert auc > 0.6
 
 
-def test_sweeps_train_on_all_training_partitions(spark, small_dir):
-    from prospect.operators.models import TRAIN_PARTITIONS
-    from prospect.plans.q_models import _balanced_features
-    t, ho = _balanced_features(spark, small_dir)
+def test_training_partitions_follow_the_rows(spark, small_dir):
+    assert [MD.train_partitions(n) for n in (0, 1, 20_000, 20_001, 10 ** 9)] == [1, 1, 1, 2, 50_000]
+    t = MD.Trainer(_split(spark, small_dir)["train"], CONTACTS, partitions=5)
     try:
         rows = t.x.rdd.mapPartitions(lambda part: [sum(1 for _ in part)]).collect()
-        assert len(rows) == TRAIN_PARTITIONS and sum(n > 0 for n in rows) > 1 and max(rows) < sum(rows) / 2
+        assert len(rows) == 5 and min(rows) > 0 and max(rows) < sum(rows) / 2
+    finally:
+        t.close()
+
+
+def test_bin_borders(spark):
+    from prospect.operators.features import bin_borders
+    rnd = np.random.default_rng(3)
+    n = 4000
+    cols = {"even": rnd.normal(size=n), "few": rnd.integers(0, 3, n).astype(float), "one": np.full(n, 7.0),
+            "hot": np.where(rnd.random(n) < 0.9, 999.0, rnd.random(n)), "odd": np.where(np.arange(n) == 5, -5.0, np.where(np.arange(n) % 2, 1.0, 2.0))}
+    df = spark.createDataFrame([tuple(float(v[i]) if i % 50 or k != "even" else None for k, v in cols.items()) for i in range(n)],
+                               ", ".join(f"{k} double" for k in cols)).repartition(6)
+    got = bin_borders(df, list(cols), bins=32)
+    assert len(got["even"]) == 31 and got["even"] == sorted(got["even"])
+    assert got["few"] == [1.0, 2.0] and got["one"] == [7.0]
+    for k, v in cols.items():
+        x = np.array([c for i, c in enumerate(v) if i % 50 or k != "even"])
+        share = np.bincount(np.searchsorted(got[k], x, side="right"), minlength=len(got[k]) + 1)
+        assert k == "one" or share.min() >= len(x) / 128
+    assert bin_borders(df.where("false"), ["even"])["even"] == [0.0]
+
+
+def test_grid_search_scores_prefixes_like_separate_fits(spark, small_dir):
+    """Every candidate's area equals that of models fitted one by one on the same folds."""
+    from prospect.operators import tuning as TU
+    from prospect.operators.sampling import fold_index
+    train = _split(spark, small_dir)["train"]
+    grid = {"maxDepth": [2, 3], "maxIter": [3, 8]}
+    rows = TU.grid_search(train, CONTACTS, "gbt", grid, folds=2, stepSize=0.1).collect()
+    assert [r["candidate"] for r in rows] == [0, 1, 2, 3] and sum(r["is_best"] for r in rows) == 1
+    assert max(rows, key=lambda r: (r["avg_auc"], -r["candidate"]))["is_best"]
+    import json
+    for r in rows:
+        areas = []
+        for fold in range(2):
+            f = fold_index("contact_id", 2, 4201)
+            m = MD.train_pipeline(train.where(f != fold), CONTACTS, "gbt", stepSize=0.1, **json.loads(r["params"]))
+            areas.append(M.auc_exact(MD.score(train.where(f == fold), m, "contact_id"), score="p1", digits=12).first()["auc"])
+        assert abs(r["avg_auc"] - sum(areas) / 2) < 1e-9
+    forest = TU.grid_search(train, CONTACTS, "rf", {"maxDepth": [2], "numTrees": [4, 9]}, folds=2).collect()
+    assert len(forest) == 2 and all(0.4 < r["avg_auc"] <= 1 for r in forest)
+
+
+def test_running_scores_of_a_forest(spark, small_dir):
+    """After all trees the mean share of class 1 is the forest's own probability."""
+    from prospect.operators import tuning as TU
+    p = _split(spark, small_dir)
+    t = MD.Trainer(p["train"], CONTACTS)
+    try:
+        model = t.fit("rf", numTrees=7, maxDepth=4)
+    finally:
+        t.close()
+    x = TU.running_scores(model.stages[-1], t.features(p["test"], "contact_id"), [1, 7], "s").select("contact_id", "s")
+    own = {r["contact_id"]: r["p1"] for r in MD.score(p["test"], model, "contact_id").collect()}
+    rows = x.collect()
+    assert len(rows) == len(own) and all(abs(own[r["contact_id"]] - r["s"][1]) < 1e-12 for r in rows)
+
+
+def test_sweep_counts_match_the_model(spark, small_dir):
+    from prospect.operators import tuning as TU
+    p = _split(spark, small_dir)
+    t = MD.Trainer(p["train"], CONTACTS)
+    try:
+        x = t.features(p["test"]).persist()
+        got = {(r["rate"], r["trees"]): r for r in TU.sweep(t.x, x, [0.1, 0.3], [2, 6]).collect()}
+        one = {r["rate"]: r for r in TU.sweep(t.x, x, [0.1, 0.3], [6]).collect()}
+        for rate in (0.1, 0.3):
+            m = t.fit("gbt", maxIter=6, stepSize=rate, maxDepth=3).stages[-1]
+            want = M.binary_metrics(m.transform(x), digits=6).first()
+            for r in (got[rate, 6], one[rate]):
+                assert (r["accuracy"], r["recall"], r["precision"]) == (want["accuracy"], want["recall"], want["precision"])
+        assert len(got) == 4 and sum(r["is_best"] for r in got.values()) == 1
     finally:
         t.close()
-        ho.unpersist()
 
 
 def test_smote_balanced_and_between_parents(spark, small_dir):
@@ -77,6 +147,60 @@ def test_smote_balanced_and_between_parents(spark, small_dir):
         assert not us or max(us) - min(us) < 1e-6  # one weight for every feature: on the segment
 
 
+def test_mixed_neighbours_equal_brute_force(spark):
+    """Seven nominal and eight numeric columns, with ties, repeated rows, nulls, and a hot combination."""
+    from prospect.operators.smote import knn_mixed
+    rng = np.random.default_rng(5)
+    nominal, numeric = [f"c{i}" for i in range(7)], [f"x{i}" for i in range(8)]
+    rows = []
+    for i in range(140):
+        cats = ["a"] * 7 if i % 3 == 0 else [str(v) for v in rng.integers(0, 3, 7)]
+        nums = [float(v) for v in rng.normal(size=8).round(1 if i % 4 else 0)]
+        rows.append([i, *cats, *nums])
+    rows[7][1:] = rows[8][1:] = rows[9][1:]
+    rows[11][3] = rows[12][3] = None
+    rows[20][10] = None
+    df = spark.createDataFrame([tuple(r) for r in rows], "id long, " + ", ".join([f"{c} string" for c in nominal] + [f"{c} double" for c in numeric])).repartition(4)
+    for cats, nums, k in ((nominal, numeric, 5), (nominal[:2], numeric[:1], 3), (nominal, [], 4), ([], numeric[:2], 3)):
+        used = [r for r in rows if all(r[8 + numeric.index(c)] is not None for c in nums)]
+        lo = {c: min(r[8 + numeric.index(c)] for r in used) for c in nums}
+        hi = {c: max(r[8 + numeric.index(c)] for r in used) for c in nums}
+        z = {r[0]: [(r[8 + numeric.index(c)] - lo[c]) / (hi[c] - lo[c]) for c in nums] for r in used}
+        n = {r[0]: [r[1 + nominal.index(c)] for c in cats] for r in used}
+        got = {}
+        for r in knn_mixed(df, "id", cats, nums, k).collect():
+            got.setdefault(r["qid"], {})[r["rank"]] = (r["nid"], r["dist"])
+        assert set(got) == set(z)
+        for q in z:
+            def far(p):
+                s = 2.0 * sum(a != b for a, b in zip(n[p], n[q]))
+                for a, b in zip(z[p], z[q]):
+                    s += (a - b) * (a - b)
+                return s
+            want = sorted((far(p), p) for p in z if p != q)[:k]
+            assert [got[q][i + 1][0] for i in range(k)] == [p for _, p in want]
+            assert np.allclose([got[q][i + 1][1] for i in range(k)], [np.sqrt(s) for s, _ in want])
+    assert knn_mixed(df.where("false"), "id", nominal, numeric).count() == 0
+    assert {r["rank"] for r in knn_mixed(df.where("id < 3"), "id", nominal, numeric[:1], 5).collect()} == {1, 2}
+
+
+def test_oversampling_only_adds(spark, small_dir):
+    from prospect.operators.features import labelled
+    from prospect.operators.smote import oversampled
+    rows = labelled(_split(spark, small_dir)["train"], CONTACTS).select("label", "contact_id", *CONTACTS.categorical, *CONTACTS.numeric)
+    out = oversampled(rows, CONTACTS)
+    n = {r["label"]: r["n"] for r in out.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert n[0.0] == n[1.0] == rows.where("label = 0").count()
+    ids = rows.select("contact_id")
+    assert out.join(ids, "contact_id", "left_semi").count() == rows.count()
+    new = out.join(ids, "contact_id", "left_anti").collect()
+    assert {r["label"] for r in new} == {1.0} and len({r["contact_id"] for r in new}) == len(new)
+    seen = {c: {r[c] for r in rows.where("label = 1").select(c).collect()} for c in CONTACTS.categorical}
+    assert all(r[c] in seen[c] for r in new for c in CONTACTS.categorical)
+    again = {tuple(r) for r in oversampled(rows.repartition(3), CONTACTS).collect()}
+    assert again == {tuple(r) for r in out.collect()}
+
+
 def test_stream_scoring_equals_batch(spark, small_dir):
     from prospect.streaming import score_stream as SS
     c = cts(spark, small_dir)

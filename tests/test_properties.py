@@ -239,3 +239,38 @@ def test_knn_exact_where_points_are_unevenly_spread(spark, shape):
     df = spark.createDataFrame([(i, *map(float, r)) for i, r in enumerate(x)], "id long, a double, b double, c double")
     got = {(r["qid"], r["nid"], r["rank"], round(r["dist"], 9)) for r in knn(df, "id", ["a", "b", "c"], k=4).collect()}
     assert got == _brute_knn(x, np.arange(len(x)), 4)
+
+
+def test_auc_many_equals_brute_force(spark):
+    rng = np.random.default_rng(8)
+    n = 700
+    lab = rng.integers(0, 2, n)
+    cols = {"a": rng.normal(size=n) + lab, "ties": rng.integers(0, 4, n) * 1.0, "one": np.full(n, 3.0), "gaps": rng.normal(size=n),
+            "far": np.where(rng.random(n) < 0.1, np.inf, rng.normal(size=n))}
+    rows = [(float(lab[i]) if i % 41 else None, *[float(v[i]) if k != "gaps" or i % 3 else (None if i % 2 else float("nan")) for k, v in cols.items()])
+            for i in range(n)]
+    df = spark.createDataFrame(rows, "label double, " + ", ".join(f"`{k}` double" for k in cols)).withColumn("none", F.lit(None).cast("double"))
+    for buckets in (1, 2, 16):
+        got = {r["score"]: r["auc"] for r in M.auc_many(df, [*cols, "none"], n_buckets=buckets, digits=9).collect()}
+        for j, k in enumerate(cols):
+            x = [(r[0], r[1 + j]) for r in rows if r[0] is not None and r[1 + j] is not None and not np.isnan(r[1 + j])]
+            pos, neg = [s for y, s in x if y == 1], [s for y, s in x if y != 1]
+            want = sum((p > q) + 0.5 * (p == q) for p in pos for q in neg) / (len(pos) * len(neg))
+            assert got[k] == pytest.approx(want, abs=1e-9)
+        assert got["none"] is None
+
+
+def test_roc_corners_keep_the_curve(spark):
+    rng = np.random.default_rng(9)
+    rows = [(float(y), float(s)) for y, s in zip(rng.integers(0, 2, 900), rng.integers(0, 300, 900))]
+    rows += [(1.0, 400.0)] * 40 + [(1.0, 400.0 + i) for i in range(40)]
+    df = spark.createDataFrame(rows, "label double, score double").repartition(5)
+    full = sorted((r["fpr"], r["tpr"]) for r in M.roc_curve(df, digits=12).collect())
+    corners = sorted((r["fpr"], r["tpr"]) for r in M.roc_corners(df, digits=12).collect())
+    assert set(corners) < set(full) and corners[-1] == (1.0, 1.0) and len(corners) < len(full) - 35
+    xs, ys = zip(*([(0.0, 0.0)] + corners))
+    pts = [p for p in full if p[0] > 0]
+    assert np.allclose(np.interp([p[0] for p in pts], xs, ys), [p[1] for p in pts], atol=1e-9) or len({p[0] for p in pts}) < len(pts)
+    area = lambda c: sum((b[0] - a[0]) * (a[1] + b[1]) / 2 for a, b in zip([(0.0, 0.0)] + c, c))
+    assert area(corners) == pytest.approx(area(full), abs=1e-9)
+    assert M.roc_corners(df.where("false")).count() == 0
