@@ -96,7 +96,7 @@ def candidates_of(grid: dict[str, list]) -> list[dict]:
 
 
 def grid_search(train: DataFrame, spec: TableSpec, name: str, grid: dict[str, list], folds: int = 3, fold_seed: int = 4201,
-                parallelism: int = 8, oversample=None, **params) -> DataFrame:
+                parallelism: int = 12, oversample=None, **params) -> DataFrame:
     """H1-H3 for tree ensembles: ``(candidate, params, avg_auc, is_best)`` by k-fold cross validation.
 
     ``folds`` x (combinations without the number of trees) fits, run concurrently; encoders, bins and
@@ -238,7 +238,7 @@ MODELS_A_PASS = 10
 
 
 def sweep(train_x: DataFrame, holdout_x: DataFrame, rates: list[float], trees: list[int], max_depth: int = 3,
-          seed: int = 420, parallelism: int = 8, features: str = "features") -> DataFrame:
+          seed: int = 420, parallelism: int = 16, features: str = "features") -> DataFrame:
     """GBT over learning rates x tree counts; one fit per rate (at the largest count), smaller
     counts from its prefixes; fits run concurrently, and ``MODELS_A_PASS`` of them are scored in one pass
     over the hold-out. ``(rate, trees, accuracy, recall, precision, is_best)``: a row a parameter is the
