@@ -368,8 +368,8 @@ for _name, _est, _grid in (("grid_rows", GBTClassifier, GBT_GRID), ("grid_rows_r
     register(_name, _grid_sql(_grid))(_grid_query(_est, _grid))
 
 
-for _name, _learner, _grid in (("grid_fit", "gbt", GBT_GRID), ("grid_fit_rounds", "gbt", GBT_ROUNDS_GRID),
-                               ("grid_fit_forest", "rf", FOREST_GRID)):
+# The grid of depths up to 30 is fitted by the same call; see the README for why it has no query.
+for _name, _learner, _grid in (("grid_fit_rounds", "gbt", GBT_ROUNDS_GRID), ("grid_fit_forest", "rf", FOREST_GRID)):
     def _q(spark, d, _n=_learner, _g=_grid):
         return TU.grid_search(_parts(spark, d)["train"], CONTACTS, _n, _g)
     _q.__doc__ = f"H1-H3: the whole {_learner} grid by 3-fold cross validation; area per candidate, the best one marked."
