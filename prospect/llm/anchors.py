@@ -20,7 +20,8 @@ XXH3-64 (a false hit only proposes windows in vain); windows are compared by 96
 
 Null texts count as empty: no words, the hash of the empty string. A text shorter than a window
 keeps all words. A batch holds whole texts, so a very long one makes its batch longer. Repeated rows
-are copies of each other and lose their windows; an empty table gives no row.
+are copies of each other and lose their windows; an empty table gives no row. Columns other than the
+two named play no part, whatever their names.
 """
 
 from __future__ import annotations

@@ -21,7 +21,7 @@ not part it) are cut by hash into parts with a graph each, and their nodes are s
 Vectors that are null, empty, zero, or hold a null or non-finite component, and rows without a
 label, link with nothing. Repeated rows are vectors of their own. Null ids come last and never
 name a component that has another id. Vectors of different lengths are never linked. An empty
-table gives no rows.
+table gives no rows. Columns other than the three named play no part, whatever their names.
 """
 
 from __future__ import annotations

@@ -17,7 +17,8 @@ prediction covers every whole text. Only text enters a prediction.
 
 Null texts and texts without a letter are ``und`` with score 0, and rejected. With no language
 learned (an empty table) all are ``und``. Ties go to the language that comes first in the order
-of learned rows, then by name. Repeated rows get equal answers; other columns play no part.
+of learned rows, then by name. Repeated rows get equal answers; other columns play no part, and one
+named like the result is replaced by it.
 """
 
 from __future__ import annotations

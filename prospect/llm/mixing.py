@@ -15,7 +15,8 @@ ordered in one task is a block's documents, or a 4096th of a source's blocks.
 
 A document's tokens are its words plus one for its end, so empty and null texts weigh 1. A null
 source is a source of its own. Repeated rows are documents of their own (equal ones share a place
-in the permutation). An empty table gives no rows. DataFrame functions only.
+in the permutation). A very long text is one row with many tokens, and may be a block of its own. An
+empty table gives no rows. DataFrame functions only.
 """
 
 from __future__ import annotations

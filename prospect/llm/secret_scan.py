@@ -8,7 +8,8 @@ of digest length, numbers with separators) and runs inside a span that a pattern
 names made of words pass the test by their ratio.
 
 Nulls and empty texts have no spans; a very long text is one pass of the patterns over it; rows
-are judged one by one, so ties, repeats, empty tables and other columns play no part.
+are judged one by one, so ties, repeats, empty tables and other columns play no part; a column named like
+the result is replaced by it.
 """
 
 from __future__ import annotations

@@ -11,7 +11,9 @@ picks the one that fits, and the ids are read off backwards from the end.
 Characters without a piece stand for themselves, never merge, and come out as their UTF-8 byte
 pieces. No piece has a blank mark after another character, so no merge crosses the start of a word:
 words are encoded apart and remembered per process (bounded in bytes). Nulls count as empty; empty texts have
-no ids; very long texts are one walk over their words; rows are independent of each other.
+no ids; very long texts are one walk over their words; rows are independent of each other, so repeated
+rows get equal results and an empty table none. Other columns play no part; a column named like the
+result is replaced by it.
 """
 
 from __future__ import annotations

@@ -14,7 +14,9 @@ meet again, and what two keys leave open bounds such a bucket to ``2 ** 12`` ent
 
 A text without words has fingerprint zero (null texts too), and is linked like any other.
 Repeated rows, equal texts and ties share an entry. ``component_id`` is the smallest id reached;
-null ids come out as they are and take no part in that minimum (null if all are null).
+null ids come out as they are and take no part in that minimum (null if all are null). A very long
+text is one pass over its shingles; an empty table gives no rows; columns other than the two named play no
+part, whatever their names.
 """
 
 from __future__ import annotations

@@ -10,7 +10,10 @@ by size band.
 Words are lower-cased runs of ASCII letters, digits and non-ASCII characters. A text without any
 signature but with characters has one that stands for the whole text; null and empty texts have
 none, and two empty sets are alike (1.0). Equal texts have equal sets. Very long texts are one
-pass over their words. Rows that repeat an id are neighbours in the order of a text hash.
+pass over their words. Rows that repeat an id are neighbours in the order of a text hash, null ids come
+last; ids are numbers for the neighbour comparison (ranges of them are dealt out) and anything for the
+join. An empty table gives no rows. Columns other than the two named play no part, whatever their names;
+``signature_sets`` replaces a column named like its result.
 """
 
 from __future__ import annotations

@@ -14,7 +14,7 @@ over it. URLs are cut into runs, joined to that table, and summed again. Columns
 Null URLs and those without ``://`` have an empty host and path, hence no rule; the models read
 what is there, and a URL without a character is allowed, as there is nothing against it. Without ruled
 URLs (or an empty table) scores are 0 and allow. Repeated URLs get equal answers. Long URLs are
-read whole.
+read whole. Columns other than the two named play no part, whatever their names.
 """
 
 from __future__ import annotations

@@ -319,6 +319,10 @@ def test_spots_odd_rows(spark, odd_docs, empty_docs):
     by = {r.doc_id: r for r in out}
     assert by[2].near_next == 1.0 and by[5].near_next == 1.0 and by[2].n_chars == 0
     assert spotsigs.neighbour_likeness(empty_docs, "doc_id", "text").count() == 0
+    clashing = odd_docs.withColumn("s", F.lit(1)).withColumn("set_id", F.lit(2)).withColumn("n", F.lit(3)).withColumn("band", F.lit(4))
+    members, pairs = spotsigs.near_sets(clashing, "doc_id", "text")
+    assert members.columns == ["doc_id", "set_id"] and members.count() == odd_docs.count() and pairs.count() == 0
+    assert [x.count() for x in spotsigs.near_sets(empty_docs, "doc_id", "text")] == [0, 0]
     one = odd_docs.where("doc_id = 8")
     assert spotsigs.neighbour_likeness(one, "doc_id", "text").first().near_next == 1.0
 
