@@ -145,9 +145,10 @@ def range_search(x: np.ndarray, graph: np.ndarray, start: int, queries: np.ndarr
                  slack: float = SLACK, beam: int = BEAM) -> np.ndarray:
     """(queries, nodes) booleans: nodes within ``least`` found from the beam outwards.
 
-    All queries expand together: a step marks, for every query, the neighbours of its frontier, by one
-    OR over the edges sorted by their end, so it takes as long in a dense group, where every query's
-    frontier holds most nodes, as anywhere; only nodes that an edge reaches are compared.
+    All queries expand together: a step marks, for every query, the neighbours of its frontier. Where
+    frontiers hold many nodes, as in a dense group, that is one OR over the edges sorted by their end;
+    where they hold few, their edges are listed. Both mark the same nodes, and only nodes that an edge
+    reaches are compared.
     """
     n = len(x)
     seen = np.zeros((len(queries), n), dtype=bool)
@@ -175,6 +176,11 @@ def range_search(x: np.ndarray, graph: np.ndarray, start: int, queries: np.ndarr
         live = np.flatnonzero(frontier.any(axis=1))
         if not len(live) or not len(ends):
             return near
+        q, v = q[close], v[close]
+        if len(q) * graph.shape[1] <= len(live) * len(ends) >> 4:  # few nodes: their edges one by one
+            a, b = np.repeat(q, graph.shape[1]), graph[v].ravel()
+            reached[a[b >= 0], b[b >= 0]] = True
+            live = live[:0]
         for i in range(0, len(live), 32):
             some = live[i:i + 32]
             reached[np.ix_(some, ends[first])] = np.logical_or.reduceat(frontier[some][:, sources], first, axis=1)
