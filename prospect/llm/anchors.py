@@ -276,34 +276,38 @@ def substring_dedup(df: DataFrame, id_col: str, text_col: str, window: int = WIN
     batches = max(parallelism(spark), -(-size // batch_bytes))
     buckets = min(batches, MOST_BUCKETS)
     name = f"anchor_texts_{uuid.uuid4().hex}"
-    (rows.withColumn("batch", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(batches)).cast("int"))
-     .repartition(buckets, "batch").write.bucketBy(buckets, "batch")
-     .option("path", scratch_path(spark, "anchor-texts")).saveAsTable(name))
-    texts = spark.table(name)
-
-    probes = texts.select("batch", "text").groupBy("batch").applyInArrow(
-        lambda t: probe_messages(t, batches, block), MESSAGE_DDL)
-    hits = written(probes.groupBy("range").applyInArrow(probe_replies, REPLY_DDL), "anchor-hits")
-    windows = texts.select("batch", "text").groupBy("batch").cogroup(hits.groupBy("batch")).applyInArrow(
-        lambda t, r: window_messages(t, r, batches, window, block), MESSAGE_DDL)
-    repeats = written(windows.groupBy("range").applyInArrow(window_replies, REPLY_DDL), "anchor-repeats")
-
-    kind = df.schema[id_col].dataType.simpleString()
-    ddl = f"id {kind}, n_words long, n_removed long, kept_sha256 string" + ", kept string" * with_text
-
-    def take_out(t: pa.Table, r: pa.Table) -> pa.Table:
-        found = removed_words(t, r, window, block)
-        cols = {"id": t.column("id"), "n_words": pa.array([n for n, _, _ in found], pa.int64()),
-                "n_removed": pa.array([n for _, n, _ in found], pa.int64()),
-                "kept_sha256": pa.array([hashlib.sha256(k).hexdigest() for _, _, k in found], pa.string())}
-        if with_text:
-            cols["kept"] = pa.array([k.decode() for _, _, k in found], pa.string())
-        return pa.table(cols)
-
-    done = texts.groupBy("batch").cogroup(hits.unionAll(repeats).groupBy("batch")).applyInArrow(take_out, ddl)
-    done = written(done, "anchor-kept")
-    spark.sql(f"DROP TABLE {name}")
-    return done.withColumnRenamed("id", id_col)
+    # By content, so that a task that runs again deals its rows out alike, whatever their order; the input
+    # partition parts equal rows.
+    dealt = rows.withColumn("batch", F.pmod(F.xxhash64("id", "text", F.spark_partition_id()), F.lit(batches)).cast("int"))
+    try:
+        (dealt.repartition(buckets, "batch").write.bucketBy(buckets, "batch")
+         .option("path", scratch_path(spark, "anchor-texts")).saveAsTable(name))
+        texts = spark.table(name)
+
+        probes = texts.select("batch", "text").groupBy("batch").applyInArrow(
+            lambda t: probe_messages(t, batches, block), MESSAGE_DDL)
+        hits = written(probes.groupBy("range").applyInArrow(probe_replies, REPLY_DDL), "anchor-hits")
+        windows = texts.select("batch", "text").groupBy("batch").cogroup(hits.groupBy("batch")).applyInArrow(
+            lambda t, r: window_messages(t, r, batches, window, block), MESSAGE_DDL)
+        repeats = written(windows.groupBy("range").applyInArrow(window_replies, REPLY_DDL), "anchor-repeats")
+
+        kind = df.schema[id_col].dataType.simpleString()
+        ddl = f"id {kind}, n_words long, n_removed long, kept_sha256 string" + ", kept string" * with_text
+
+        def take_out(t: pa.Table, r: pa.Table) -> pa.Table:
+            found = removed_words(t, r, window, block)
+            cols = {"id": t.column("id"), "n_words": pa.array([n for n, _, _ in found], pa.int64()),
+                    "n_removed": pa.array([n for _, n, _ in found], pa.int64()),
+                    "kept_sha256": pa.array([hashlib.sha256(k).hexdigest() for _, _, k in found], pa.string())}
+            if with_text:
+                cols["kept"] = pa.array([k.decode() for _, _, k in found], pa.string())
+            return pa.table(cols)
+
+        done = texts.groupBy("batch").cogroup(hits.unionAll(repeats).groupBy("batch")).applyInArrow(take_out, ddl)
+        done = written(done, "anchor-kept")
+        return done.withColumnRenamed("id", id_col)
+    finally:  # a failed run leaves no table behind
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
 ORACLE_SQL = r"""
