@@ -28,6 +28,16 @@ def _rows(spark, n=600):
                                  "id long, job string, a double, b double, y string")
 
 
+def test_partitions_of_large_tables():
+    """Small tables keep their partitions; a large one's grow with the rows, but are few."""
+    assert [MD.fit_partitions(n) for n in (0, 20_000, 20_001, 120_000, 480_000)] == [1, 1, 2, 6, 24]
+    assert [MD.fit_partitions(n) for n in (7_200_000, 43_200_000, 432_000_000)] == [24, 108, 1080]
+    mlp = (MD.ROWS_A_PARTITION_MLP, MD.MOST_ROWS_A_PARTITION_MLP)
+    assert [MD.fit_partitions(n, *mlp) for n in (2_000, 12_000, 7_200_000)] == [1, 6, 72]
+    assert [MD.fit_partitions(n, together=16) for n in (0, 216_000, 7_200_000)] == [1, 1, 18]
+    assert MD.fit_partitions(216_000, together=4) == 3
+
+
 def test_deep_trees_keep_node_ids_and_their_trees(spark):
     rows = _rows(spark)
     for name, params in (("dt", {"maxDepth": 12}), ("rf", {"maxDepth": 12, "numTrees": 5})):
