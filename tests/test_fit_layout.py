@@ -44,3 +44,21 @@ def test_deep_trees_keep_node_ids_and_their_trees(spark):
         assert MD.make_classifier(name).getCacheNodeIds()
         a, b = (MD.train_pipeline(rows, SPEC, name, **params, **kw) for kw in ({}, {"cacheNodeIds": False}))
         assert a.stages[-1].toDebugString.split("\n")[1:] == b.stages[-1].toDebugString.split("\n")[1:]
+
+
+def test_als_cross_validation_equals_the_plain_one(spark, monkeypatch):
+    rnd = np.random.default_rng(2)
+    pairs = sorted({(int(u), int(i)) for u, i in zip(rnd.integers(0, 40, 900), rnd.integers(0, 30, 900), strict=True)})
+    r = spark.createDataFrame([(f"{u}:{i}", u, i, float((u * i) % 7)) for u, i in pairs], "key string, userIndex int, itemIndex int, rating double")
+    intervals = []
+    monkeypatch.setattr(R, "ALS", lambda **kw: intervals.append(kw.get("checkpointInterval", 10)) or ALS(**kw))
+    grid = {"regParam": [0.01, 0.1], "rank": [2, 3]}
+    got = [x["avg_rmse"] for x in R.cross_validate_als(r, "key", grid, folds=3, max_iter=4).orderBy("candidate").collect()]
+    als = ALS(maxIter=4, seed=42, userCol="userIndex", itemCol="itemIndex", ratingCol="rating", coldStartStrategy="drop")
+    maps = ParamGridBuilder().addGrid(als.regParam, grid["regParam"]).addGrid(als.rank, grid["rank"]).build()
+    data = r.repartition(1, "userIndex").sortWithinPartitions("userIndex", "itemIndex").withColumn("_fold", fold_index("key", 3, 4201))
+    plain = CrossValidator(estimator=als, estimatorParamMaps=maps, numFolds=3, foldCol="_fold",
+                           evaluator=RegressionEvaluator(metricName="rmse", labelCol="rating")).fit(data)
+    assert np.allclose(got, plain.avgMetrics, atol=1e-4)
+    R.fit_als(r, max_iter=1)
+    assert intervals and max(intervals) <= 2  # shuffles of earlier iterations go while the fit runs
