@@ -58,9 +58,10 @@ def q_stream_confusion(spark, d):
 def q_stream_batch_diff(spark, d):
     """Arriving files scored by a linear SVM into the dated sink equal the batch scores."""
     c = cts(spark, d)
+    src, per_trigger = _arrivals(spark, c, "svc-arrivals")
+    c = spark.read.schema(c.schema).parquet(src)  # the joins run once
     parts = SA.split_frames(c, "contact_id", {"train": 0.8, "test": 0.2}, seed=420)
     model = MD.train_pipeline(parts["train"], CONTACTS, "svc", maxIter=10)
-    src, per_trigger = _arrivals(spark, c, "svc-arrivals")
     base = scratch_path(spark, "svc-dated")
     SS.run_to_dated(SS.scored_stream(spark, src, c.schema, model, "contact_id", per_trigger), base,
                     scratch_path(spark, "svc-ckpt"), "2018-08-03")

@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 import numpy as np
+import pytest
 from pyspark.ml import Pipeline
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, RegressionEvaluator
 from pyspark.ml.recommendation import ALS
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import functions as F
 
 from prospect.operators import models as MD
 from prospect.operators import recommend as R
@@ -46,6 +46,21 @@ def test_deep_trees_keep_node_ids_and_their_trees(spark):
         assert a.stages[-1].toDebugString.split("\n")[1:] == b.stages[-1].toDebugString.split("\n")[1:]
 
 
+def test_cross_validation_equals_the_plain_one_and_fits_encoders_once_a_fold(spark, monkeypatch):
+    rows, grid = _rows(spark), {"regParam": [0.0, 0.1, 0.5]}
+    fits = []
+    monkeypatch.setattr(TU, "encoding_stages", lambda *a, **b: fits.append(1) or encoding_stages(*a, **b))
+    model, report = TU.cross_validate(rows, SPEC, "lr", grid, folds=3)
+    assert len(fits) == 4  # three folds and the last model, whatever the candidates
+    clf = MD.make_classifier("lr")
+    data = labelled(rows, SPEC).withColumn("_fold", fold_index("id", 3, 4201)).repartition(1, "id").sortWithinPartitions("id")
+    plain = CrossValidator(estimator=Pipeline(stages=[*encoding_stages(SPEC), clf]), estimatorParamMaps=TU.param_grid(clf, grid), numFolds=3,
+                           foldCol="_fold", evaluator=BinaryClassificationEvaluator(numBins=0)).fit(data)
+    got = [r["avg_auc"] for r in report.orderBy("candidate").collect()]
+    assert np.allclose(got, plain.avgMetrics, atol=1e-9) and np.allclose(model.avgMetrics, got)
+    assert np.allclose(model.bestModel.stages[-1].coefficients.toArray(), plain.bestModel.stages[-1].coefficients.toArray(), atol=1e-6)
+
+
 def test_als_cross_validation_equals_the_plain_one(spark, monkeypatch):
     rnd = np.random.default_rng(2)
     pairs = sorted({(int(u), int(i)) for u, i in zip(rnd.integers(0, 40, 900), rnd.integers(0, 30, 900), strict=True)})
@@ -62,3 +77,14 @@ def test_als_cross_validation_equals_the_plain_one(spark, monkeypatch):
     assert np.allclose(got, plain.avgMetrics, atol=1e-4)
     R.fit_als(r, max_iter=1)
     assert intervals and max(intervals) <= 2  # shuffles of earlier iterations go while the fit runs
+
+
+def test_contacts_are_joined_once(spark, small_dir, monkeypatch):
+    seen = []
+    plain = MD.labelled
+    monkeypatch.setattr(q_models, "labelled", lambda df, spec: seen.append(df.inputFiles()) or plain(df, spec))
+    assert q_models.q_unfitted_refit(spark, small_dir).first()["n_differ"] == 0
+    fit = MD.train_pipeline
+    monkeypatch.setattr(q_streaming.MD, "train_pipeline", lambda df, *a, **b: seen.append(df.inputFiles()) or fit(df, *a, **b))
+    assert q_streaming.q_stream_batch_diff(spark, small_dir).first()["n_differ"] == 0
+    assert len(seen) == 2 and all(files and not any("lineitem" in f for f in files) for files in seen)
