@@ -88,3 +88,16 @@ def test_contacts_are_joined_once(spark, small_dir, monkeypatch):
     monkeypatch.setattr(q_streaming.MD, "train_pipeline", lambda df, *a, **b: seen.append(df.inputFiles()) or fit(df, *a, **b))
     assert q_streaming.q_stream_batch_diff(spark, small_dir).first()["n_differ"] == 0
     assert len(seen) == 2 and all(files and not any("lineitem" in f for f in files) for files in seen)
+
+
+def test_fits_side_by_side_share_the_partitions(spark, monkeypatch):
+    class Asked(Exception):
+        pass
+
+    def trainer(*a, together, **b):
+        raise Asked(together)
+
+    monkeypatch.setattr(TU, "Trainer", trainer)
+    for name, grid, fits in (("gbt", {"maxDepth": [1, 2], "maxIter": [1, 2]}, 4), ("rf", {"maxDepth": [1, 2], "numTrees": [1, 2]}, 1)):
+        with pytest.raises(Asked, match=f"^{fits}$"):
+            TU.grid_search(_rows(spark), SPEC, name, grid, folds=2)
