@@ -147,6 +147,21 @@ def test_smote_balanced_and_between_parents(spark, small_dir):
         assert not us or max(us) - min(us) < 1e-6  # one weight for every feature: on the segment
 
 
+def test_cells_are_numbered_by_search(spark):
+    """A cell's number is the count of borders at most the value: repeats count, and what is no number lies past all of them."""
+    from prospect.operators.smote import _in_cells
+    nan = float("nan")
+    borders = {"a": [0.0, 0.25, 0.25, 0.25, 0.5], "b": [], "c": [0.1, nan], "d": [0.5]}
+    values = [-1.0, 0.0, 0.1, 0.2, 0.25, 0.3, 0.5, 0.75, nan]
+    df = spark.createDataFrame([(x,) for x in values], "z double")
+    out = _in_cells(df, {k: ("z", at) for k, at in borders.items()})
+    assert out.columns == ["z", *borders] and [t for _, t in out.dtypes[1:]] == ["int"] * 4
+    assert "lambda" not in out._jdf.queryExecution().executedPlan().toString()  # no pass over the borders a row
+    for r in out.collect():
+        for k, at in borders.items():
+            assert r[k] == (len(at) if r["z"] != r["z"] else sum(b <= r["z"] for b in at)), (k, r)
+
+
 def test_mixed_neighbours_equal_brute_force(spark):
     """Seven nominal and eight numeric columns, with ties, repeated rows, nulls, and a hot combination."""
     from prospect.operators.smote import knn_mixed
