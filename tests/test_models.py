@@ -94,6 +94,26 @@ def test_grid_search_scores_prefixes_like_separate_fits(spark, small_dir):
     assert len(forest) == 2 and all(0.4 < r["avg_auc"] <= 1 for r in forest)
 
 
+def test_forests_of_all_depths_come_from_one_fit(spark, small_dir, monkeypatch):
+    """Areas of a forest grid over depths equal those of forests fitted one by one; one fit a fold."""
+    import json
+    from prospect.operators import tuning as TU
+    from prospect.operators.sampling import fold_index
+    from prospect.session import stored
+    train = stored(_split(spark, small_dir)["train"], "grid-test")
+    fits, plain = [], MD.Trainer.fit
+    monkeypatch.setattr(MD.Trainer, "fit", lambda self, name, **p: fits.append(p) or plain(self, name, **p))
+    rows = TU.grid_search(train, CONTACTS, "rf", {"maxDepth": [2, 5], "numTrees": [5]}, folds=2).collect()
+    assert len(fits) == 2
+    for r in rows:
+        areas = []
+        for fold in range(2):
+            f = fold_index("contact_id", 2, 4201)
+            m = MD.train_pipeline(train.where(f != fold), CONTACTS, "rf", **json.loads(r["params"]))
+            areas.append(M.auc_exact(MD.score(train.where(f == fold), m, "contact_id"), score="p1", digits=12).first()["auc"])
+        assert abs(r["avg_auc"] - sum(areas) / 2) < 1e-9, r
+
+
 def test_running_scores_of_a_forest(spark, small_dir):
     """After all trees the mean share of class 1 is the forest's own probability."""
     from prospect.operators import tuning as TU
