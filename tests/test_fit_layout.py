@@ -101,3 +101,28 @@ def test_fits_side_by_side_share_the_partitions(spark, monkeypatch):
     for name, grid, fits in (("gbt", {"maxDepth": [1, 2], "maxIter": [1, 2]}, 4), ("rf", {"maxDepth": [1, 2], "numTrees": [1, 2]}, 1)):
         with pytest.raises(Asked, match=f"^{fits}$"):
             TU.grid_search(_rows(spark), SPEC, name, grid, folds=2)
+
+
+def test_deep_boosted_fits_cut_their_lineage_after_every_tree(spark):
+    assert MD.make_classifier("gbt", maxDepth=15).getCheckpointInterval() == 1
+    assert MD.make_classifier("gbt").getCheckpointInterval() == 10
+    assert MD.make_classifier("gbt", maxDepth=15, checkpointInterval=3).getCheckpointInterval() == 3
+    t = MD.Trainer(_rows(spark, 300), SPEC)
+    try:
+        a, b = (t.fit("gbt", maxIter=3, maxDepth=10, **p).stages[-1] for p in ({}, {"checkpointInterval": 10}))
+    finally:
+        t.close()
+    assert a.toDebugString.split("\n", 1)[1] == b.toDebugString.split("\n", 1)[1]
+
+
+def test_grid_rows_are_scored_once(spark, monkeypatch):
+    plans, areas = [], TU.auc_many
+
+    def seen(x, *args, **kw):
+        plans.append(x._jdf.queryExecution().optimizedPlan().toString())
+        return areas(x, *args, **kw)
+
+    monkeypatch.setattr(TU, "auc_many", seen)
+    TU.grid_search(_rows(spark, 200), SPEC, "gbt", {"maxDepth": [2, 3], "maxIter": [1, 2]}, folds=2).collect()
+    assert len(plans) == 2
+    assert all(p.startswith("Relation") for p in plans), plans
